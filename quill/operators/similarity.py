@@ -36,10 +36,18 @@ def dot_products(left: DataFrame, right: DataFrame, left_id: str = "id", right_i
 
 def cosine_pairs(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
                  term: str = "term", w: str = "w", out: tuple[str, str] = ("id_1", "id_2"),
-                 ) -> DataFrame:
+                 normalized: bool = False) -> DataFrame:
     """``(out[0], out[1], cos)``: ``dot / (|l| |r|)`` for pairs sharing a
-    non-zero term. Zero-norm vectors form no pair, so no NaN is produced."""
+    non-zero term. Zero-norm vectors form no pair, so no NaN is produced.
+
+    With ``normalized=True`` the inputs are unit (or zero) vectors and the
+    cosine is the dot product itself. Otherwise the norms are partial/final
+    aggregates per id joined to the (already aggregated) pairs; a norm is
+    never a window over a group id, which could hold a third of all rows.
+    """
     dots = dot_products(left, right, left_id, right_id, term, w, out)
+    if normalized:
+        return dots.select(out[0], out[1], F.col("dot").alias("cos"))
     nl = (left.groupBy(F.col(left_id).alias(out[0]))
           .agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("_nl")))
     nr = (right.groupBy(F.col(right_id).alias(out[1]))

@@ -4,26 +4,37 @@ No document x vocabulary product is ever built: a document vector is the set
 of its ``(id, term, w)`` rows, and two vectors meet only through an equi-join
 on ``term`` (see :mod:`quill.operators.similarity`).
 
-Plan at scale (per corpus): tokenise (narrow, codegen), term frequency
-(partial/final hash aggregate on ``(id, term)``), document frequency
-(partial/final hash aggregate on ``term`` over the tf rows), the corpus size
-as a scalar subquery (no driver action, no cross join), one equi-join on
-``term`` for the idf (AQE turns it into a broadcast join when the vocabulary
-is small at run time and splits hot-term partitions otherwise), one aggregate
-plus equi-join on ``id`` for the L2 norm.
+Plan at scale (per corpus): the documents are hash-partitioned by id once
+(:func:`by_document`; one shuffle of the raw text, which is smaller than the
+``(id, term, tf)`` rows it turns into). Tokenising, term frequency and the
+per-document L2 norm (a window over ``id``) then run inside that partitioning
+without another exchange; a document is one input row, so no per-document
+step can be more skewed than the input itself. Document frequency is a
+partial/final hash aggregate on ``term`` (map-side combine, so a term present
+everywhere is not a hot key), and the corpus size is a scalar subquery (no
+driver action, no cross join). The tf-df equi-join on ``term`` is left to the
+planner: AQE makes it a broadcast join when the measured vocabulary is small
+and splits hot-term partitions of a sort-merge join otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.functions.text import (divide_or_zero, log_tf_idf, query_log_tf_idf, safe_divide,
                                   split_tokens)
 
 
+def by_document(docs: DataFrame, id_col: str = "id") -> DataFrame:
+    """Hash-partition documents by id so that every later per-document step
+    (tokens, tf, norms) runs without another shuffle. Spark skips the
+    exchange when the input is already partitioned by id (e.g. bucketed)."""
+    return docs.repartition(F.col(id_col))
+
+
 def tokenize(docs: DataFrame, id_col: str = "id", text_col: str = "text",
              keep_empty: bool = True, carry: Iterable[str] = ()) -> DataFrame:
     """``(id, term, *carry)``, one row per token occurrence.
@@ -96,26 +107,30 @@ def query_tfidf(query_tf: DataFrame, corpus_df: DataFrame, n_docs: Column,
 
 
 def l2_norms(weights: DataFrame, id_col: str = "id", w: str = "w") -> DataFrame:
-    """``(id, norm)`` with ``norm = sqrt(sum(w^2))``."""
+    """``(id, norm)`` with ``norm = sqrt(sum(w^2))``, as a partial/final
+    aggregate (for vectors keyed by something coarser than a document)."""
     return weights.groupBy(id_col).agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("norm"))
 
 
 def l2_normalize(weights: DataFrame, id_col: str = "id", w: str = "w", out: str = "w_norm",
                  zero_norm: str = "null") -> DataFrame:
-    """Adds ``norm`` and ``out = w / norm``.
+    """Adds ``norm`` and ``out = w / norm`` for per-document vectors.
 
+    The norm is a window sum over ``id``: no exchange when the rows are
+    already partitioned by document (see :func:`by_document`).
     ``zero_norm='null'`` leaves ``out`` null for a document whose norm is 0
     (every term in every document); ``'zero'`` sets it to 0 instead.
     """
-    norms = l2_norms(weights, id_col, w)
     div = safe_divide if zero_norm == "null" else divide_or_zero
-    return weights.join(norms, on=id_col, how="inner").withColumn(out, div(w, "norm"))
+    norm = F.sqrt(F.sum(F.col(w) * F.col(w)).over(Window.partitionBy(id_col)))
+    return weights.withColumn("norm", norm).withColumn(out, div(w, "norm"))
 
 
 def tfidf_index(docs: DataFrame, id_col: str = "id", text_col: str = "text",
                 stop: Iterable[str] | DataFrame = (), keep_empty: bool = True) -> DataFrame:
     """Normalised TF-IDF of a corpus: ``(id, term, tf, df, w, norm, w_norm)``."""
-    tf = term_frequency(remove_stop_words(tokenize(docs, id_col, text_col, keep_empty), stop))
+    tf = term_frequency(remove_stop_words(tokenize(by_document(docs, id_col), id_col, text_col,
+                                                   keep_empty), stop))
     weights = tfidf(tf, document_frequency(tf), corpus_size(docs))
     return l2_normalize(weights, "id", "w", "w_norm", zero_norm="null")
 
@@ -126,7 +141,9 @@ def query_index(queries: DataFrame, corpus: DataFrame, id_col: str = "id",
     """Normalised query-side TF-IDF (weights from the corpus's df and N):
     ``(id, term, tf, df, w, norm, w_norm)``; ``w_norm`` is 0 for a query
     whose norm is 0."""
-    corpus_tf = term_frequency(remove_stop_words(tokenize(corpus, id_col, corpus_col, keep_empty), stop))
-    q_tf = term_frequency(remove_stop_words(tokenize(queries, id_col, query_col, keep_empty), stop))
+    corpus_tf = term_frequency(remove_stop_words(
+        tokenize(by_document(corpus, id_col), id_col, corpus_col, keep_empty), stop))
+    q_tf = term_frequency(remove_stop_words(
+        tokenize(by_document(queries, id_col), id_col, query_col, keep_empty), stop))
     weights = query_tfidf(q_tf, document_frequency(corpus_tf), corpus_size(corpus))
     return l2_normalize(weights, "id", "w", "w_norm", zero_norm="zero")

@@ -55,9 +55,9 @@ def daily_reviews_top15(spark, d):
 
 
 # ---------------------------------------------------------------- text: corpus side
-def _doc_tokens(spark, d, stop=True):
+def _doc_tokens(spark, d, stop=True, colocate=True):
     docs = FX.documents(spark, d)
-    toks = TX.tokenize(docs, "id", "abstract")
+    toks = TX.tokenize(TX.by_document(docs) if colocate else docs, "id", "abstract")
     return docs, (TX.remove_stop_words(toks, FX.STOP_WORDS) if stop else toks)
 
 
@@ -67,13 +67,13 @@ def text_clean(spark, d):
 
 
 def tokenize(spark, d):
-    _, toks = _doc_tokens(spark, d, stop=False)
+    _, toks = _doc_tokens(spark, d, stop=False, colocate=False)
     return toks.groupBy("id").agg(F.count(F.lit(1)).alias("n_tokens"),
                                   F.count_if(F.col("term") == "").alias("n_empty"))
 
 
 def stopword_filter(spark, d):
-    _, toks = _doc_tokens(spark, d)
+    _, toks = _doc_tokens(spark, d, colocate=False)
     return toks.groupBy("id").agg(F.count(F.lit(1)).alias("n_kept"))
 
 
@@ -83,7 +83,7 @@ def term_freq(spark, d):
 
 
 def doc_freq(spark, d):
-    _, toks = _doc_tokens(spark, d)
+    _, toks = _doc_tokens(spark, d, colocate=False)
     return TX.document_frequency(TX.term_frequency(toks))
 
 
@@ -104,7 +104,7 @@ def tfidf_norm(spark, d):
 
 # ---------------------------------------------------------------- text: page titles against bodies
 def _page_tf(spark, d):
-    pages = FX.titled_pages(spark, d)
+    pages = TX.by_document(FX.titled_pages(spark, d))
     body_tf = TX.term_frequency(TX.remove_stop_words(TX.tokenize(pages, "id", "body"), FX.STOP_WORDS))
     title_tf = TX.term_frequency(TX.remove_stop_words(TX.tokenize(pages, "id", "title"), FX.STOP_WORDS))
     return pages, body_tf, title_tf
@@ -134,7 +134,8 @@ def _title_scores(spark, d):
     body_df = TX.document_frequency(body_tf)
     body = TX.l2_normalize(TX.tfidf(body_tf, body_df, n))
     title = TX.l2_normalize(TX.query_tfidf(title_tf, body_df, n), zero_norm="zero")
-    scores = SM.cosine_pairs(body, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"))
+    scores = SM.cosine_pairs(body, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"),
+                             normalized=True)
     return pages, scores
 
 

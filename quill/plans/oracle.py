@@ -55,8 +55,15 @@ def _normalized(name: str, w: str, zero: bool) -> str:
             f"(SELECT id, sqrt(sum(w * w)) AS norm FROM {w} GROUP BY id) n ON x.id = n.id)")
 
 
-def _cosine(name: str, left: str, right: str, w: str, ids: tuple[str, str]) -> str:
+def _cosine(name: str, left: str, right: str, w: str, ids: tuple[str, str],
+            normalized: bool = False) -> str:
     a, b = ids
+    if normalized:  # unit vectors: the cosine is the dot product
+        return (f"{name} AS (SELECT l.id AS {a}, r.id AS {b}, "
+                f"sum(CAST(l.{w} AS DOUBLE) * CAST(r.{w} AS DOUBLE)) AS cos "
+                f"FROM {left} l JOIN {right} r ON l.term = r.term "
+                f"WHERE l.{w} IS NOT NULL AND l.{w} <> 0 AND r.{w} IS NOT NULL AND r.{w} <> 0 "
+                f"GROUP BY l.id, r.id)")
     return (
         f"{name} AS (SELECT d.{a}, d.{b}, d.dot / (nl.nrm * nr.nrm) AS cos FROM "
         f"(SELECT l.id AS {a}, r.id AS {b}, sum(CAST(l.{w} AS DOUBLE) * CAST(r.{w} AS DOUBLE)) AS dot "
@@ -78,7 +85,7 @@ PAGE_TEXT = [PAGES,
              _tokens("ttoks", "pg", "id", "title"), _tf("ttf", "ttoks"),
              _weights("bw", "btf", "bdf", "pg"), _query_weights("tw", "ttf", "bdf", "pg"),
              _normalized("bn", "bw", zero=False), _normalized("tn", "tw", zero=True),
-             _cosine("scores", "bn", "tn", "w_norm", ("abstract_id", "title_id"))]
+             _cosine("scores", "bn", "tn", "w_norm", ("abstract_id", "title_id"), normalized=True)]
 TOP1 = ("best AS (SELECT abstract_id, title_id AS best_title_id, cos FROM (SELECT *, row_number() OVER "
         "(PARTITION BY abstract_id ORDER BY round(cos, 9) DESC, title_id ASC) AS rn FROM scores "
         "WHERE cos IS NOT NULL AND NOT isnan(cos)) WHERE rn = 1), "
