@@ -1,0 +1,99 @@
+"""Every cell of the rating rule tables and every play-time boundary."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from quill.functions import ratings as R
+
+
+def _eval(spark, expr, schema, data):
+    df = spark.createDataFrame(data, schema)
+    return [r[0] for r in df.select(expr).collect()]
+
+
+@pytest.mark.parametrize("p,m,expected", [
+    (11.0, 10.0, 5),          # p > m
+    (10.0, 10.0, 1),          # p = m falls through
+    (9.0, 10.0, 4),           # m > p > 0.8m
+    (8.0, 10.0, 1),           # p = 0.8m falls through
+    (6.0, 10.0, 3),           # 0.8m > p > 0.5m
+    (5.0, 10.0, 1),           # p = 0.5m
+    (3.0, 10.0, 2),           # 0.5m > p > 0.2m
+    (2.0, 10.0, 1),           # p = 0.2m
+    (1.0, 10.0, 1),           # below 0.2m
+    (0.0, 10.0, 1),           # zero play time
+    (0.0, 0.0, 1),            # median 0, p = 0
+    (3.0, 0.0, 5),            # median 0, p > 0
+    (None, 10.0, 1),          # null play time
+    (5.0, None, 1),           # null median
+])
+def test_playtime_tier(spark, p, m, expected):
+    got = _eval(spark, R.playtime_tier("p", "m"), "p double, m double", [(p, m)])
+    assert got == [expected]
+
+
+@pytest.mark.parametrize("v,expected", [
+    (0.3, 1), (-0.2, -1), (0.0, 0), (None, -1), (float("nan"), -1), (1e-50, 0), (-1e-30, -1),
+])
+def test_sentiment_bucket(spark, v, expected):
+    # 1e-50 is 0 as a 4-byte float; a missing or NaN score is filled with -2
+    got = _eval(spark, R.sentiment_bucket("v"), "v double", [(v,)])
+    assert got == [expected]
+
+
+def test_sentiment_bucket_neutral_missing(spark):
+    got = _eval(spark, R.sentiment_bucket("v", missing=0.0), "v double", [(None,)])
+    assert got == [0]
+
+
+SENTIMENT_TABLE = {
+    # (r, s): fused
+    (5, 1): 5, (4, 1): 4, (3, 1): 4, (2, 1): 3, (1, 1): 2,
+    (5, 0): 4, (4, 0): 3, (3, 0): 3, (2, 0): 2, (1, 0): 1,
+    (5, -1): 4, (4, -1): 3, (3, -1): 2, (2, -1): 2, (1, -1): 1,
+}
+
+
+def test_fuse_with_sentiment_table(spark):
+    data = [(r, s) for (r, s) in SENTIMENT_TABLE]
+    got = _eval(spark, R.fuse_with_sentiment("r", "s"), "r int, s int", data)
+    assert dict(zip(data, got)) == SENTIMENT_TABLE
+
+
+RECOMMEND_TABLE = {
+    (5, 1): 5, (4, 1): 4, (3, 1): 5, (2, 1): 4, (1, 1): 3,
+    (5, 0): 3, (4, 0): 2, (3, 0): 1, (2, 0): 2, (1, 0): 1,
+    (5, -1): 5, (4, -1): 4, (3, -1): 3, (2, -1): 2, (1, -1): 1,
+}
+
+
+def test_fuse_with_recommend_table(spark):
+    data = list(RECOMMEND_TABLE)
+    got = _eval(spark, R.fuse_with_recommend("r", "c"), "r int, c int", data)
+    assert dict(zip(data, got)) == RECOMMEND_TABLE
+
+
+def test_recommend_flag(spark):
+    got = _eval(spark, R.recommend_flag("f"), "f boolean", [(True,), (False,), (None,)])
+    assert got == [1, 0, -1]
+
+
+def test_missing_review_counts_as_negative(spark):
+    """Default: no sentiment lowers a rating of 3 or more (like a negative review)."""
+    from quill.operators.ratings import fuse_sentiment
+    rated = spark.createDataFrame([("u", "i", 3), ("u", "j", 5), ("u", "k", 2)],
+                                  "user_id string, item_id string, rating int")
+    sent = spark.createDataFrame([], "user_id string, item_id string, vader_score double")
+    got = {r.item_id: r.ratings for r in fuse_sentiment(rated, sent).collect()}
+    assert got == {"i": 2, "j": 4, "k": 2}
+    neutral = {r.item_id: r.ratings for r in fuse_sentiment(rated, sent, missing=0.0).collect()}
+    assert neutral == {"i": 3, "j": 4, "k": 2}
+
+
+def test_log_weight_matches_python(spark):
+    from quill.functions.text import log_tf_idf
+    got = _eval(spark, log_tf_idf("tf", "df", "n"), "tf long, df long, n long", [(3, 2, 10)])
+    assert math.isclose(got[0], (1 + math.log(3, 10)) * math.log(10 / 2, 10), rel_tol=1e-12)
+    assert F is not None
