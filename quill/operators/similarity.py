@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.functions.text import safe_divide
+from quill.session import require_checkpoint_dir
 
 
 def _side(vectors: DataFrame, id_col: str, term: str, w: str, prefix: str) -> DataFrame:
@@ -77,6 +78,74 @@ def best_match(scores: DataFrame, keys: DataFrame | None = None, key: str = "id_
     return best
 
 
+def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
+                      term: str = "term", w: str = "w_norm", out: tuple[str, str] = ("id_1", "id_2"),
+                      max_pairs_per_term: int = 1_000_000, digits: int = 9) -> DataFrame:
+    """Per left vector, the right vector with the highest dot product:
+    ``(out[0], best, cos)`` -- the same result as :func:`best_match` over
+    :func:`cosine_pairs` with ``normalized=True``, without forming every pair
+    that shares a frequent term. Weights must be non-negative (TF-IDF).
+
+    A term is *hot* when (left rows) x (right rows) on it exceeds
+    ``max_pairs_per_term``; every other term group forms at most that many
+    pairs.
+
+    1. Candidates: pairs sharing a cold term, scored exactly (their cold part
+       from the term join, their hot part by joining the candidate pair with
+       the right vector's hot terms and then the left vector on
+       ``(left id, term)``).
+    2. Bound: a right vector sharing no cold term with left vector ``a``
+       scores at most ``U(a) = sum over a's hot terms h of w_a(h) * max_r
+       w_r(h)``.
+    3. ``a`` is settled when its best candidate beats ``U(a)`` by more than
+       ``10**-digits`` (so no uncounted vector can even tie after rounding),
+       or when it has no candidate and ``U(a) = 0``.
+    4. Unsettled left vectors are scored against all right vectors exactly.
+
+    The two flagged sides are checkpointed (two jobs run when this is
+    called) to the session's checkpoint folder.
+    """
+    require_checkpoint_dir(left.sparkSession)
+    a, b = out
+    margin = 10.0 ** (-digits)
+    L = _side(left, left_id, term, w, "l").withColumnRenamed("l_id", a)
+    R = _side(right, right_id, term, w, "r").withColumnRenamed("r_id", b)
+    n_l = L.groupBy("_term").agg(F.count(F.lit(1)).alias("_nl"))
+    n_r = R.groupBy("_term").agg(F.count(F.lit(1)).alias("_nr"))
+    hot = (n_l.join(n_r, "_term").where(F.col("_nl") * F.col("_nr") > F.lit(max_pairs_per_term))
+           .select("_term", F.lit(True).alias("_hot")))
+    # Both flagged sides feed several branches below: write them once to the
+    # checkpoint folder (shared storage on a cluster) instead of recomputing
+    # their lineage in every branch.
+    L = L.join(hot, "_term", "left").checkpoint(eager=True)
+    R = R.join(hot, "_term", "left").checkpoint(eager=True)
+    l_cold, l_hot = L.where(F.col("_hot").isNull()), L.where(F.col("_hot")).drop("_hot")
+    r_cold, r_hot = R.where(F.col("_hot").isNull()), R.where(F.col("_hot")).drop("_hot")
+
+    cold = (l_cold.drop("_hot").join(r_cold.drop("_hot"), "_term")
+            .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("_cold")))
+    hot_part = (cold.select(a, b).join(r_hot, b).join(l_hot, [a, "_term"])
+                .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("_hotp")))
+    scored = (cold.join(hot_part, [a, b], "left")
+              .select(a, b, (F.col("_cold") + F.coalesce(F.col("_hotp"), F.lit(0.0))).alias("cos")))
+    best = best_match(scored, None, a, b, "cos", digits)
+
+    max_r = r_hot.groupBy("_term").agg(F.max("r_w").alias("_mx"))
+    bound = l_hot.join(max_r, "_term").groupBy(a).agg(F.sum(F.col("l_w") * F.col("_mx")).alias("_ub"))
+    status = (L.select(a).distinct().join(best, a, "left").join(bound, a, "left")
+              .withColumn("_ub", F.coalesce(F.col("_ub"), F.lit(0.0))))
+    settled_cond = ((F.col("best").isNotNull() & (F.col("cos") - F.col("_ub") > F.lit(margin)))
+                    | (F.col("best").isNull() & (F.col("_ub") == 0)))
+    settled = status.where(settled_cond).select(a, "best", "cos")
+    unsettled = status.where(~settled_cond).select(a)
+
+    l_rest = L.drop("_hot").join(unsettled, a, "left_semi")
+    full = (l_rest.join(R.drop("_hot"), "_term")
+            .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
+    rest = best_match(full, unsettled, a, b, "cos", digits)
+    return settled.unionByName(rest)
+
+
 def match_indicator(best: DataFrame, key: str = "id_1", best_col: str = "best") -> DataFrame:
     """Adds ``match = 1`` when the best candidate is the key itself, else 0."""
     return best.withColumn(

@@ -129,11 +129,7 @@ def title_tfidf_norm(spark, d):
 
 
 def _title_scores(spark, d):
-    pages, body_tf, title_tf = _page_tf(spark, d)
-    n = TX.corpus_size(pages)
-    body_df = TX.document_frequency(body_tf)
-    body = TX.l2_normalize(TX.tfidf(body_tf, body_df, n))
-    title = TX.l2_normalize(TX.query_tfidf(title_tf, body_df, n), zero_norm="zero")
+    pages, body, title = _title_vectors(spark, d)
     scores = SM.cosine_pairs(body, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"),
                              normalized=True)
     return pages, scores
@@ -144,10 +140,24 @@ def title_match_scores(spark, d):
     return scores.select("abstract_id", "title_id", _r("cos"))
 
 
+MAX_PAIRS_PER_TERM = 1_000_000  # larger term groups take the bounded (hot-term) path
+
+
+def _title_vectors(spark, d):
+    pages, body_tf, title_tf = _page_tf(spark, d)
+    n = TX.corpus_size(pages)
+    body_df = TX.document_frequency(body_tf)
+    body = TX.l2_normalize(TX.tfidf(body_tf, body_df, n))
+    title = TX.l2_normalize(TX.query_tfidf(title_tf, body_df, n), zero_norm="zero")
+    return pages, body, title
+
+
 def _title_top1(spark, d):
-    pages, scores = _title_scores(spark, d)
+    pages, body, title = _title_vectors(spark, d)
+    best = SM.best_match_pruned(body, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"),
+                                max_pairs_per_term=MAX_PAIRS_PER_TERM)
     keys = pages.select(F.col("id").alias("abstract_id"))
-    best = SM.best_match(scores, keys, "abstract_id", "title_id", "cos")
+    best = keys.join(best, "abstract_id", "left")
     return pages, SM.match_indicator(best.withColumnRenamed("best", "best_title_id"),
                                      "abstract_id", "best_title_id")
 

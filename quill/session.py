@@ -59,3 +59,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="quill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def require_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder for operators that cut lineage: the one already
+    set on the context, else ``spark.checkpoint.dir`` from the session.
+    Operators never invent a local folder; tests and the bench set one
+    through :func:`ensure_checkpoint_dir`."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (or call "
+                           "SparkContext.setCheckpointDir) before using this operator")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured

@@ -186,3 +186,16 @@ def test_pivot_matrix_fills_missing_pairs(spark):
                                   "category_1 string, category_2 string, value double")
     wide = {r.category_1: (r.a, r.b) for r in SM.pivot_matrix(pairs, ["a", "b"]).collect()}
     assert wide == {"a": (1.0, 0.0), "b": (0.0, 1.0)}
+
+
+@pytest.mark.parametrize("max_pairs", [10**9, 5000, 100, 1])
+def test_pruned_top1_equals_full_enumeration(spark, max_pairs):
+    from quill.plans import catalogue as C
+    _, body, title = C._title_vectors(spark, "/root/testdata/sf0.001")
+    ids = ("abstract_id", "title_id")
+    full = SM.best_match(SM.cosine_pairs(body, title, "id", "id", "term", "w_norm", ids, normalized=True),
+                         None, *ids, "cos")
+    want = {r.abstract_id: (r.best, round(r.cos, 9)) for r in full.collect()}
+    got = SM.best_match_pruned(body, title, "id", "id", "term", "w_norm", ids, max_pairs_per_term=max_pairs)
+    have = {r.abstract_id: (r.best, None if r.cos is None else round(r.cos, 9)) for r in got.collect()}
+    assert {k: v for k, v in have.items() if v[0] is not None} == want
