@@ -80,7 +80,8 @@ def best_match(scores: DataFrame, keys: DataFrame | None = None, key: str = "id_
 
 def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
                       term: str = "term", w: str = "w_norm", out: tuple[str, str] = ("id_1", "id_2"),
-                      max_pairs_per_term: int = 1_000_000, digits: int = 9) -> DataFrame:
+                      max_pairs_per_term: int = 1_000_000, digits: int = 9,
+                      materialize: tuple[bool, bool] = (True, True)) -> DataFrame:
     """Per left vector, the right vector with the highest dot product:
     ``(out[0], best, cos)`` -- the same result as :func:`best_match` over
     :func:`cosine_pairs` with ``normalized=True``, without forming every pair
@@ -102,23 +103,33 @@ def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", ri
        or when it has no candidate and ``U(a) = 0``.
     4. Unsettled left vectors are scored against all right vectors exactly.
 
-    The two flagged sides are checkpointed (two jobs run when this is
-    called) to the session's checkpoint folder.
+    Both sides are checkpointed to the session's checkpoint folder (pass
+    ``materialize=(False, ...)`` for a side that is already a checkpoint or
+    a table, or cheap to recompute), and one small job checks whether any
+    term is hot; with no hot term the plain term join is used, since every
+    term group is then within the bound.
     """
     require_checkpoint_dir(left.sparkSession)
     a, b = out
     margin = 10.0 ** (-digits)
+    # Each side feeds several branches below: write it once to the checkpoint
+    # folder (shared storage on a cluster) instead of recomputing its lineage
+    # in every branch. The hot-term flags are then cheap scans of those files.
     L = _side(left, left_id, term, w, "l").withColumnRenamed("l_id", a)
     R = _side(right, right_id, term, w, "r").withColumnRenamed("r_id", b)
+    L = L.checkpoint(eager=True) if materialize[0] else L
+    R = R.checkpoint(eager=True) if materialize[1] else R
     n_l = L.groupBy("_term").agg(F.count(F.lit(1)).alias("_nl"))
     n_r = R.groupBy("_term").agg(F.count(F.lit(1)).alias("_nr"))
     hot = (n_l.join(n_r, "_term").where(F.col("_nl") * F.col("_nr") > F.lit(max_pairs_per_term))
            .select("_term", F.lit(True).alias("_hot")))
-    # Both flagged sides feed several branches below: write them once to the
-    # checkpoint folder (shared storage on a cluster) instead of recomputing
-    # their lineage in every branch.
-    L = L.join(hot, "_term", "left").checkpoint(eager=True)
-    R = R.join(hot, "_term", "left").checkpoint(eager=True)
+    if hot.limit(1).count() == 0:
+        # no term group exceeds the bound: the plain exact join is already bounded
+        full = (L.join(R, "_term").groupBy(a, b)
+                .agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
+        return best_match(full, None, a, b, "cos", digits)
+    L = L.join(hot, "_term", "left")
+    R = R.join(hot, "_term", "left")
     l_cold, l_hot = L.where(F.col("_hot").isNull()), L.where(F.col("_hot")).drop("_hot")
     r_cold, r_hot = R.where(F.col("_hot").isNull()), R.where(F.col("_hot")).drop("_hot")
 

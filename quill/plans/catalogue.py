@@ -18,6 +18,7 @@ from quill.operators import reviews as RV
 from quill.operators import similarity as SM
 from quill.operators import text as TX
 from quill.plans import fixtures as FX
+from quill.session import require_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,19 +144,27 @@ def title_match_scores(spark, d):
 MAX_PAIRS_PER_TERM = 1_000_000  # larger term groups take the bounded (hot-term) path
 
 
-def _title_vectors(spark, d):
+def _title_vectors(spark, d, materialize=False):
+    """Body and title unit vectors. With ``materialize`` the body vectors are
+    checkpointed once and the body df is read back from them (each body row
+    carries its term's df), so the title side does not tokenise the bodies
+    again."""
     pages, body_tf, title_tf = _page_tf(spark, d)
     n = TX.corpus_size(pages)
     body_df = TX.document_frequency(body_tf)
     body = TX.l2_normalize(TX.tfidf(body_tf, body_df, n))
+    if materialize:
+        require_checkpoint_dir(spark)
+        body = body.select("id", "term", "df", "w_norm").checkpoint(eager=True)
+        body_df = body.select("term", "df").distinct()
     title = TX.l2_normalize(TX.query_tfidf(title_tf, body_df, n), zero_norm="zero")
     return pages, body, title
 
 
 def _title_top1(spark, d):
-    pages, body, title = _title_vectors(spark, d)
+    pages, body, title = _title_vectors(spark, d, materialize=True)
     best = SM.best_match_pruned(body, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"),
-                                max_pairs_per_term=MAX_PAIRS_PER_TERM)
+                                max_pairs_per_term=MAX_PAIRS_PER_TERM, materialize=(False, True))
     keys = pages.select(F.col("id").alias("abstract_id"))
     best = keys.join(best, "abstract_id", "left")
     return pages, SM.match_indicator(best.withColumnRenamed("best", "best_title_id"),
