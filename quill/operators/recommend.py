@@ -32,11 +32,24 @@ def as_triples(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:
                      F.col(rating).cast("float").alias("rating"))
 
 
+def index_ids(df: DataFrame, col: str, out: str = "idx") -> DataFrame:
+    """``(col, out INT)``: dense 0-based ids in ascending order of ``col``.
+
+    ALS needs 32-bit ids; catalogue keys can be wider. The numbering is a
+    distributed global index (range-partitioned sort plus per-partition
+    offsets), and the cast to INT is ANSI-checked, so more than 2^31
+    distinct values fail loudly."""
+    from quill.operators.ratings import global_index
+    ids = df.select(col).where(F.col(col).isNotNull()).distinct()
+    return global_index(ids, [F.col(col).asc()], out).withColumn(out, F.col(out).cast("int"))
+
+
 def hash_split(triples: DataFrame, seed: int = SPLIT_SEED, train_tenths: int = TRAIN_TENTHS,
                keys: tuple[str, str] = ("user", "item")) -> tuple[DataFrame, DataFrame]:
-    """(train, test): a row is in train when ``xxhash64(keys, seed) mod 10 <
-    train_tenths``. Deterministic per key, whatever the partitioning."""
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(10))
+    """(train, test): a row is in train when ``xxhash64(keys as BIGINT, seed)
+    mod 10 < train_tenths``. Deterministic per key, whatever the partitioning
+    and whether the ids arrive as int or long."""
+    bucket = F.pmod(F.xxhash64(*[F.col(k).cast("long") for k in keys], F.lit(seed)), F.lit(10))
     marked = triples.withColumn("_b", bucket)
     return (marked.where(F.col("_b") < train_tenths).drop("_b"),
             marked.where(F.col("_b") >= train_tenths).drop("_b"))

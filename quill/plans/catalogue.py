@@ -296,30 +296,42 @@ def rmse_metric(spark, d):
     return RC.rmse(pred).select(_r("rmse"))
 
 
+def _als_input(spark, d, source="recommend"):
+    """ALS triples with a dense item index, and the index to map items back."""
+    fused = {"implicit": _encoded_ratings, "sentiment": fuse_sentiment,
+             "recommend": fuse_recommend}[source](spark, d)
+    value = "rating" if source == "implicit" else "ratings"
+    items = RC.index_ids(fused, "item_id", "item")
+    triples = RC.as_triples(fused.join(items, "item_id"), "user_id_encoded", "item", value)
+    return triples, items
+
+
 def _fitted(spark, d, rank=10):
-    triples = rating_source(spark, d, "recommend")
+    triples, items = _als_input(spark, d)
     train, test = RC.hash_split(triples)
-    return RC.fit_implicit(train, rank=rank), test
+    return RC.fit_implicit(train, rank=rank), test, items
 
 
 def als_predict(spark, d):
-    model, test = _fitted(spark, d)
-    return RC.predict(model, test)
+    model, test, items = _fitted(spark, d)
+    return RC.predict(model, test).join(items, "item").select("user", "item_id", "rating", "prediction")
 
 
 def als_rmse(spark, d):
-    model, test = _fitted(spark, d)
+    model, test, _ = _fitted(spark, d)
     return RC.rmse(RC.predict(model, test)).select(F.lit(10).alias("rank"), "rmse")
 
 
 def als_topn(spark, d):
-    model, _ = _fitted(spark, d)
+    model, _, items = _fitted(spark, d)
     users = spark.range(ALS_USERS).select(F.col("id").cast("int").alias("user"))
-    return RC.top_n(model, users, RC.TOP_N, rank=10)
+    recs = RC.top_n(model, users, RC.TOP_N, rank=10)
+    return recs.join(items, "item").select("rank", "user", "pos", "item_id", "score")
 
 
 def als_rank_sweep(spark, d):
-    errors, _ = RC.rank_sweep(rating_source(spark, d, "recommend"), SWEEP_RANKS)
+    triples, _ = _als_input(spark, d)
+    errors, _ = RC.rank_sweep(triples, SWEEP_RANKS)
     return errors
 
 
