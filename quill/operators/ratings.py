@@ -5,7 +5,8 @@ Plan at scale: the item median is a partial/final ``percentile_approx``
 aggregate (sketches merge map-side, so a hot item is not collected into one
 task) joined back on the item key; both fusions are left equi-joins on
 ``(user, item)``. The user index is a distributed global ranking (range
-partitioned sort + per-partition offsets), never a labels array on the driver.
+partitioned sort + per-partition offsets, checkpointed once), never a labels
+array on the driver.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.functions import ratings as R
+from quill.session import require_checkpoint_dir
 
 
 def explode_items(users: DataFrame, user_col: str = "user_id", items_col: str = "items",
@@ -47,22 +49,27 @@ def global_index(df: DataFrame, order: list, out: str = "idx") -> DataFrame:
     """Adds ``out``: the 0-based position of each row in the total order
     ``order`` (which must break every tie).
 
-    Distributed: a range-partitioned sort, then each row's position inside
-    its partition plus the number of rows in all earlier partitions. Only
-    one row per partition travels to the offsets table, which is broadcast
-    (its size is bounded by the number of partitions).
+    Distributed: a range-partitioned sort tags each row with its partition
+    and its position inside it; that tagged result is checkpointed (one job,
+    to the session's checkpoint folder), because the position counts and the
+    rows must come from the *same* range partitioning, and two separately
+    planned sorts may sample different range bounds. The per-partition counts
+    are summed into offsets over a table with one row per partition, which is
+    broadcast (its size is bounded by the number of partitions).
     """
-    sorted_df = (df.orderBy(*order)
-                 .withColumn("_pid", F.spark_partition_id())
-                 .withColumn("_mid", F.monotonically_increasing_id()))
+    require_checkpoint_dir(df.sparkSession)
+    tagged = (df.orderBy(*order)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition id << 33) + position in partition
-    sorted_df = sorted_df.withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    tagged = (tagged.withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+              .drop("_mid").checkpoint(eager=True))
+    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    return (sorted_df.join(F.broadcast(offsets), on="_pid", how="inner")
+    return (tagged.join(F.broadcast(offsets), on="_pid", how="inner")
             .withColumn(out, (F.col("_off") + F.col("_pos")))
-            .drop("_pid", "_mid", "_pos", "_off"))
+            .drop("_pid", "_pos", "_off"))
 
 
 def index_users(items: DataFrame, user_col: str = "user_id", out: str = "user_id_encoded"
