@@ -188,7 +188,14 @@ def similarity_matrix(vectors: DataFrame, group_col: str = "category", term: str
                       value: str = "tf") -> DataFrame:
     """``(category_1, category_2, value)``: cosine of every ordered pair of
     group vectors (self included) that share a term. Pairs that share none
-    have cosine 0 and are left out; :func:`pivot_matrix` fills them."""
+    have cosine 0 and are left out; :func:`pivot_matrix` fills them.
+
+    The group vectors (one row per group and term, far smaller than the
+    corpus) feed both join sides and both norm aggregates, so they are
+    checkpointed once (one job) rather than recomputed from the corpus four
+    times."""
+    require_checkpoint_dir(vectors.sparkSession)
+    vectors = vectors.select(group_col, term, value).checkpoint(eager=True)
     return cosine_pairs(vectors, vectors, group_col, group_col, term, value,
                         ("category_1", "category_2")).withColumnRenamed("cos", "value")
 
