@@ -96,8 +96,8 @@ def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", ri
        the right vector's hot terms and then the left vector on
        ``(left id, term)``).
     2. Bound: a right vector sharing no cold term with left vector ``a``
-       scores at most ``U(a) = sum over a's hot terms h of w_a(h) * max_r
-       w_r(h)``.
+       scores at most ``U(a) = min(sum over a's hot terms h of w_a(h) *
+       max_r w_r(h), |a_hot| * max_r |r_hot|)``.
     3. ``a`` is settled when its best candidate beats ``U(a)`` by more than
        ``10**-digits`` (so no uncounted vector can even tie after rounding),
        or when it has no candidate and ``U(a) = 0``.
@@ -141,8 +141,17 @@ def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", ri
               .select(a, b, (F.col("_cold") + F.coalesce(F.col("_hotp"), F.lit(0.0))).alias("cos")))
     best = best_match(scored, None, a, b, "cos", digits)
 
+    # Two upper bounds on the hot-term dot product with any right vector; the
+    # smaller one is used: per-term maxima, and Cauchy-Schwarz with the
+    # largest hot-term norm over all right vectors (a scalar subquery).
     max_r = r_hot.groupBy("_term").agg(F.max("r_w").alias("_mx"))
-    bound = l_hot.join(max_r, "_term").groupBy(a).agg(F.sum(F.col("l_w") * F.col("_mx")).alias("_ub"))
+    r_norm_max = (r_hot.groupBy(b).agg(F.sqrt(F.sum(F.col("r_w") * F.col("r_w"))).alias("_rn"))
+                  .agg(F.max("_rn")).scalar())
+    bound = (l_hot.join(max_r, "_term").groupBy(a)
+             .agg(F.sum(F.col("l_w") * F.col("_mx")).alias("_ub1"),
+                  F.sqrt(F.sum(F.col("l_w") * F.col("l_w"))).alias("_ln"))
+             .select(a, F.least(F.col("_ub1"), F.col("_ln") * F.coalesce(r_norm_max, F.lit(0.0)))
+                     .alias("_ub")))
     status = (L.select(a).distinct().join(best, a, "left").join(bound, a, "left")
               .withColumn("_ub", F.coalesce(F.col("_ub"), F.lit(0.0))))
     settled_cond = ((F.col("best").isNotNull() & (F.col("cos") - F.col("_ub") > F.lit(margin)))

@@ -188,10 +188,11 @@ def test_pivot_matrix_fills_missing_pairs(spark):
     assert wide == {"a": (1.0, 0.0), "b": (0.0, 1.0)}
 
 
-@pytest.mark.parametrize("max_pairs", [10**9, 5000, 100, 1])
-def test_pruned_top1_equals_full_enumeration(spark, max_pairs):
+@pytest.mark.parametrize("sf,max_pairs", [("0.001", 10**9), ("0.001", 5000), ("0.001", 100),
+                                          ("0.001", 1), ("0.01", 2000)])
+def test_pruned_top1_equals_full_enumeration(spark, sf, max_pairs):
     from quill.plans import catalogue as C
-    _, body, title = C._title_vectors(spark, "/root/testdata/sf0.001")
+    _, body, title = C._title_vectors(spark, f"/root/testdata/sf{sf}")
     ids = ("abstract_id", "title_id")
     full = SM.best_match(SM.cosine_pairs(body, title, "id", "id", "term", "w_norm", ids, normalized=True),
                          None, *ids, "cos")
