@@ -296,7 +296,7 @@ def rmse_metric(spark, d):
     return RC.rmse(pred).select(_r("rmse"))
 
 
-def _als_input(spark, d, source="recommend"):
+def als_input(spark, d, source="recommend"):
     """ALS triples with a dense item index, and the index to map items back."""
     fused = {"implicit": _encoded_ratings, "sentiment": fuse_sentiment,
              "recommend": fuse_recommend}[source](spark, d)
@@ -307,7 +307,7 @@ def _als_input(spark, d, source="recommend"):
 
 
 def _fitted(spark, d, rank=10):
-    triples, items = _als_input(spark, d)
+    triples, items = als_input(spark, d)
     train, test = RC.hash_split(triples)
     return RC.fit_implicit(train, rank=rank), test, items
 
@@ -330,7 +330,7 @@ def als_topn(spark, d):
 
 
 def als_rank_sweep(spark, d):
-    triples, _ = _als_input(spark, d)
+    triples, _ = als_input(spark, d)
     errors, _ = RC.rank_sweep(triples, SWEEP_RANKS)
     return errors
 
