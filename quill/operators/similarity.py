@@ -67,10 +67,12 @@ def best_match(scores: DataFrame, keys: DataFrame | None = None, key: str = "id_
     is given, keys without any candidate are kept with a null ``best`` and
     null score.
     """
-    ordering = F.struct(F.round(F.col(score), digits), -F.col(candidate))
+    # smallest (-rounded score, candidate): highest score first, then the
+    # smallest candidate id of any orderable type (string ids included)
+    ordering = F.struct(-F.round(F.col(score), digits), F.col(candidate))
     best = (scores.where(F.col(score).isNotNull() & ~F.isnan(score))
             .groupBy(key)
-            .agg(F.max_by(F.struct(F.col(candidate).alias("best"), F.col(score).alias(score)),
+            .agg(F.min_by(F.struct(F.col(candidate).alias("best"), F.col(score).alias(score)),
                           ordering).alias("_b"))
             .select(key, "_b.best", f"_b.{score}"))
     if keys is not None:
@@ -217,5 +219,6 @@ def pivot_matrix(pairs: DataFrame, values: list[str] | None = None, row: str = "
     finds the distinct labels with a small job.
     """
     wide = pairs.groupBy(row).pivot(col, values).agg(F.first(value))
-    cols = [c for c in wide.columns if c != row]
-    return wide.fillna(fill, subset=cols) if cols else wide
+    # labels may hold dots (``cs.DB``): address every column quoted
+    return wide.select(F.col(f"`{row}`"), *[
+        F.coalesce(F.col(f"`{c}`"), F.lit(fill)).alias(c) for c in wide.columns if c != row])
