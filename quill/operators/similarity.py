@@ -83,7 +83,8 @@ def best_match(scores: DataFrame, keys: DataFrame | None = None, key: str = "id_
 def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
                       term: str = "term", w: str = "w_norm", out: tuple[str, str] = ("id_1", "id_2"),
                       max_pairs_per_term: int = 1_000_000, digits: int = 9,
-                      materialize: tuple[bool, bool] = (True, True)) -> DataFrame:
+                      materialize: tuple[bool, bool] = (True, True), max_depth: int = 3,
+                      _depth: int = 0) -> DataFrame:
     """Per left vector, the right vector with the highest dot product:
     ``(out[0], best, cos)`` -- the same result as :func:`best_match` over
     :func:`cosine_pairs` with ``normalized=True``, without forming every pair
@@ -103,7 +104,10 @@ def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", ri
     3. ``a`` is settled when its best candidate beats ``U(a)`` by more than
        ``10**-digits`` (so no uncounted vector can even tie after rounding),
        or when it has no candidate and ``U(a) = 0``.
-    4. Unsettled left vectors are scored against all right vectors exactly.
+    4. Unsettled left vectors go through steps 1-3 again, alone: with fewer
+       left rows per term, fewer terms are hot, more pairs become candidates
+       and more vectors settle. After ``max_depth`` rounds, or once no term
+       is hot, the rest is scored by the plain term join.
 
     Both sides are checkpointed to the session's checkpoint folder (pass
     ``materialize=(False, ...)`` for a side that is already a checkpoint or
@@ -121,6 +125,7 @@ def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", ri
     R = _side(right, right_id, term, w, "r").withColumnRenamed("r_id", b)
     L = L.checkpoint(eager=True) if materialize[0] else L
     R = R.checkpoint(eager=True) if materialize[1] else R
+    R0 = R
     n_l = L.groupBy("_term").agg(F.count(F.lit(1)).alias("_nl"))
     n_r = R.groupBy("_term").agg(F.count(F.lit(1)).alias("_nr"))
     hot = (n_l.join(n_r, "_term").where(F.col("_nl") * F.col("_nr") > F.lit(max_pairs_per_term))
@@ -154,17 +159,26 @@ def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", ri
                   F.sqrt(F.sum(F.col("l_w") * F.col("l_w"))).alias("_ln"))
              .select(a, F.least(F.col("_ub1"), F.col("_ln") * F.coalesce(r_norm_max, F.lit(0.0)))
                      .alias("_ub")))
+    # one row per left vector; both the settled rows and the next round read
+    # it, so it is written once
     status = (L.select(a).distinct().join(best, a, "left").join(bound, a, "left")
-              .withColumn("_ub", F.coalesce(F.col("_ub"), F.lit(0.0))))
+              .withColumn("_ub", F.coalesce(F.col("_ub"), F.lit(0.0))).checkpoint(eager=True))
     settled_cond = ((F.col("best").isNotNull() & (F.col("cos") - F.col("_ub") > F.lit(margin)))
                     | (F.col("best").isNull() & (F.col("_ub") == 0)))
     settled = status.where(settled_cond).select(a, "best", "cos")
     unsettled = status.where(~settled_cond).select(a)
 
     l_rest = L.drop("_hot").join(unsettled, a, "left_semi")
-    full = (l_rest.join(R.drop("_hot"), "_term")
-            .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
-    rest = best_match(full, unsettled, a, b, "cos", digits)
+    if _depth + 1 < max_depth:
+        rest = best_match_pruned(
+            l_rest.select(F.col(a).alias("_lid"), F.col("_term").alias("_t"), F.col("l_w").alias("_w")),
+            R0.select(F.col(b).alias("_rid"), F.col("_term").alias("_t"), F.col("r_w").alias("_w")),
+            "_lid", "_rid", "_t", "_w", out, max_pairs_per_term, digits,
+            materialize=(True, False), max_depth=max_depth, _depth=_depth + 1)
+    else:
+        full = (l_rest.join(R0, "_term")
+                .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
+        rest = best_match(full, unsettled, a, b, "cos", digits)
     return settled.unionByName(rest)
 
 

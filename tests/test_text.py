@@ -188,15 +188,16 @@ def test_pivot_matrix_fills_missing_pairs(spark):
     assert wide == {"a": (1.0, 0.0), "b": (0.0, 1.0)}
 
 
-@pytest.mark.parametrize("sf,max_pairs", [("0.001", 10**9), ("0.001", 5000), ("0.001", 100),
-                                          ("0.001", 1), ("0.01", 2000)])
-def test_pruned_top1_equals_full_enumeration(spark, sf, max_pairs):
+@pytest.mark.parametrize("sf,max_pairs,depth", [("0.001", 10**9, 3), ("0.001", 5000, 3), ("0.001", 100, 3),
+                                                ("0.001", 1, 3), ("0.001", 100, 1), ("0.01", 2000, 3)])
+def test_pruned_top1_equals_full_enumeration(spark, sf, max_pairs, depth):
     from quill.plans import catalogue as C
     _, body, title = C._title_vectors(spark, f"/root/testdata/sf{sf}")
     ids = ("abstract_id", "title_id")
     full = SM.best_match(SM.cosine_pairs(body, title, "id", "id", "term", "w_norm", ids, normalized=True),
                          None, *ids, "cos")
     want = {r.abstract_id: (r.best, round(r.cos, 9)) for r in full.collect()}
-    got = SM.best_match_pruned(body, title, "id", "id", "term", "w_norm", ids, max_pairs_per_term=max_pairs)
+    got = SM.best_match_pruned(body, title, "id", "id", "term", "w_norm", ids, max_pairs_per_term=max_pairs,
+                               max_depth=depth)
     have = {r.abstract_id: (r.best, None if r.cos is None else round(r.cos, 9)) for r in got.collect()}
     assert {k: v for k, v in have.items() if v[0] is not None} == want
