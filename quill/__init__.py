@@ -1,0 +1,12 @@
+"""quill: PySpark DataFrame operators for text similarity (TF-IDF, sparse
+cosine, best match, category matrices), review ranking (daily counts, brands,
+top-k) and recommendation (play-time ratings, fusion with sentiment or a
+recommend flag, user indexing, implicit ALS).
+
+Subpackages: ``functions`` (column expressions), ``operators`` (DataFrame in,
+DataFrame out), ``sources`` (file readers and writers), ``streaming`` (the
+daily review aggregate on a stream), ``plans`` (test-table views, the query
+catalogue and its DuckDB twins).
+"""
+
+__version__ = "0.1.0"

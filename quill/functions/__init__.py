@@ -1,0 +1 @@
+"""Column expressions: built-in Spark functions only, so they stay in whole-stage codegen."""

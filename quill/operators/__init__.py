@@ -1,0 +1 @@
+"""DataFrame-in, DataFrame-out operators; no session creation, no collect."""

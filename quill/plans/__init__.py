@@ -1,0 +1 @@
+"""Test-table views, the query catalogue and its DuckDB twins."""

@@ -1,0 +1 @@
+"""File sources and sinks with declared schemas."""

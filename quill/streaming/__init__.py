@@ -1,0 +1 @@
+"""Structured Streaming versions of the batch aggregates."""
