@@ -147,3 +147,20 @@ def query_index(queries: DataFrame, corpus: DataFrame, id_col: str = "id",
         tokenize(by_document(queries, id_col), id_col, query_col, keep_empty), stop))
     weights = query_tfidf(q_tf, document_frequency(corpus_tf), corpus_size(corpus))
     return l2_normalize(weights, "id", "w", "w_norm", zero_norm="zero")
+
+
+def vocabulary_index(df: DataFrame, term: str = "term", out: str = "slot") -> DataFrame:
+    """``(term, slot BIGINT)``: every vocabulary term numbered 0, 1, ... in
+    term order -- the slot it would hold in a dense vector. A distributed
+    global ranking (see :func:`quill.operators.ratings.global_index`)."""
+    from quill.operators.ratings import global_index
+    return global_index(df.select(term).distinct(), [F.col(term).asc()], out)
+
+
+def sparse_vectors(weights: DataFrame, vocab: DataFrame, id_col: str = "id", term: str = "term",
+                   w: str = "w_norm", slot: str = "slot") -> DataFrame:
+    """``(id, slot, w)``: each document vector as coordinates in the dense
+    slot order -- the dense vector without its zeros. No document x
+    vocabulary grid is built; the join on ``term`` is an equi-join (AQE
+    broadcasts the vocabulary when its measured size allows)."""
+    return weights.join(vocab, on=term, how="inner").select(id_col, slot, w)

@@ -103,6 +103,12 @@ def tfidf_norm(spark, d):
     return w.select("id", "term", _r("w_norm"))
 
 
+def doc_vector(spark, d):
+    weights = _doc_weights(spark, d)
+    vocab = TX.vocabulary_index(weights)
+    return TX.sparse_vectors(TX.l2_normalize(weights), vocab).select("id", "slot", _r("w_norm"))
+
+
 # ---------------------------------------------------------------- text: page titles against bodies
 def _page_tf(spark, d):
     pages = TX.by_document(FX.titled_pages(spark, d))
@@ -348,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "doc_freq": doc_freq,
     "tfidf": tfidf,
     "tfidf_norm": tfidf_norm,
+    "doc_vector": doc_vector,
     "title_term_freq": title_term_freq,
     "title_tfidf": title_tfidf,
     "title_tfidf_norm": title_tfidf_norm,

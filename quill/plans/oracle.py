@@ -170,6 +170,11 @@ ORACLE: dict[str, str] = {
     "tfidf": _with(DOC_TEXT, "SELECT id, term, tf, df, round(w, 6) AS w FROM wt"),
     "tfidf_norm": _with(DOC_TEXT + [_normalized("wn", "wt", zero=False)],
                         "SELECT id, term, round(w_norm, 6) AS w_norm FROM wn"),
+    "doc_vector": _with(DOC_TEXT + [_normalized("wn", "wt", zero=False),
+                                    "voc AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS slot "
+                                    "FROM (SELECT DISTINCT term FROM wt))"],
+                        "SELECT wn.id, voc.slot, round(wn.w_norm, 6) AS w_norm FROM wn JOIN voc "
+                        "ON wn.term = voc.term"),
     "title_term_freq": _with(PAGE_TEXT[:1] + PAGE_TEXT[4:6], "SELECT id, term, tf FROM ttf"),
     "title_tfidf": _with(PAGE_TEXT[:8], "SELECT id, term, tf, df, round(w, 6) AS w FROM tw"),
     "title_tfidf_norm": _with(PAGE_TEXT[:10], "SELECT id, term, round(w_norm, 6) AS w_norm FROM tn"),

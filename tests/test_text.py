@@ -201,3 +201,21 @@ def test_pruned_top1_equals_full_enumeration(spark, sf, max_pairs, depth):
                                max_depth=depth)
     have = {r.abstract_id: (r.best, None if r.cos is None else round(r.cos, 9)) for r in got.collect()}
     assert {k: v for k, v in have.items() if v[0] is not None} == want
+
+
+def test_sparse_vectors_equal_dense_slots(spark):
+    """Coordinates (id, slot, w) densified over the sorted vocabulary equal
+    the dense vectors built slot by slot."""
+    docs = spark.createDataFrame(CORPUS, "id long, text string")
+    idx = TX.tfidf_index(docs, "id", "text", stop=["the", "and"])
+    vocab = TX.vocabulary_index(idx)
+    coords = TX.sparse_vectors(idx, vocab).collect()
+    _, _, _, wn = brute_tfidf(CORPUS, {"the", "and"})
+    terms = sorted({t for vec in wn.values() for t in vec})
+    assert sorted((r.term, r.slot) for r in vocab.collect()) == [(t, i) for i, t in enumerate(terms)]
+    dense = {i: [0.0] * len(terms) for i in wn}
+    for r in coords:
+        dense[r.id][r.slot] = r.w_norm
+    for i, vec in wn.items():
+        want = [vec.get(t) if vec.get(t) is not None else (None if t in vec else 0.0) for t in terms]
+        assert [None if x is None else pytest.approx(x, rel=1e-12, abs=1e-15) for x in want] == dense[i]
