@@ -15,6 +15,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quill.session import require_checkpoint_dir
+
 # The settings of the original runs.
 DEFAULT_RANKS = (10, 20, 30, 40, 50, 60)
 MAX_ITER = 10
@@ -100,12 +102,13 @@ def rank_sweep(triples: DataFrame, ranks: Iterable[int] = DEFAULT_RANKS, users:
 
     Returns ``(errors, recommendations)``: ``errors`` is ``(rank, rmse)``,
     one row per rank; ``recommendations`` is the union of :func:`top_n` per
-    rank for ``users`` (None when no users are given). Train and test are
-    persisted for the loop; each fit is a Spark job of its own.
+    rank for ``users`` (None when no users are given). The triples are
+    checkpointed once (to the session's checkpoint folder); train and test
+    are filters over that copy, read by every fit of the loop; each fit is a
+    Spark job of its own.
     """
-    train, test = hash_split(triples)
-    train = train.persist()
-    test = test.persist()
+    require_checkpoint_dir(triples.sparkSession)
+    train, test = hash_split(triples.checkpoint(eager=True))
     errors, recs = None, None
     for rank in ranks:
         model = fit_implicit(train, rank=rank, **fit_kwargs)
