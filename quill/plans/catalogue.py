@@ -307,6 +307,10 @@ def als_input(spark, d, source="recommend"):
     fused = {"implicit": _encoded_ratings, "sentiment": fuse_sentiment,
              "recommend": fuse_recommend}[source](spark, d)
     value = "rating" if source == "implicit" else "ratings"
+    # feeds the item index, the join back and every later read of train and
+    # test: written once to the checkpoint folder
+    require_checkpoint_dir(spark)
+    fused = fused.select("user_id_encoded", "item_id", value).checkpoint(eager=True)
     items = RC.index_ids(fused, "item_id", "item")
     triples = RC.as_triples(fused.join(items, "item_id"), "user_id_encoded", "item", value)
     return triples, items
