@@ -150,3 +150,12 @@ def test_tokenizer_property_matches_python(spark, texts):
     got = sorted((r.id, r.term) for r in TX.tokenize(df, "id", "text").collect())
     want = sorted((i, t) for i, x in enumerate(texts) for t in py_tokens(x))
     assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(texts=st.lists(TEXT, min_size=1, max_size=6), stop=st.sets(st.sampled_from(["a", "", "é", "9"])))
+def test_tf_sums_to_kept_tokens(spark, texts, stop):
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    tf = TX.term_frequency(TX.remove_stop_words(TX.tokenize(df, "id", "text"), sorted(stop)))
+    total = tf.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("s")).collect()[0].s
+    assert total == sum(1 for x in texts for t in py_tokens(x) if t not in stop)
