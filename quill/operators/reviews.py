@@ -49,11 +49,14 @@ def top_reviewed(df: DataFrame, k: int = 15, by: str = "n",
 
 def review_leader_board(reviews: DataFrame, meta: DataFrame, k: int = 15, digits: int = 2,
                         product: str = "asin", day: str = "review_date",
-                        rating: str = "overall", brand: str = "brand") -> DataFrame:
+                        rating: str = "overall", brand: str = "brand",
+                        rounding: str = "half_up") -> DataFrame:
     """``(asin, review_date, n, avg, brand)`` for the k busiest (product, day)
-    pairs that have a brand."""
+    pairs that have a brand. ``rounding='half_even'`` rounds the average
+    like Python's ``round`` does on most values (``bround``)."""
+    rnd = F.bround if rounding == "half_even" else F.round
     stats = (reviews.groupBy(product, day)
-             .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(rating), digits).alias("avg")))
+             .agg(F.count(F.lit(1)).alias("n"), rnd(F.avg(rating), digits).alias("avg")))
     joined = with_brand(stats, meta, product, brand)
     return top_reviewed(joined.select(product, day, "n", "avg", brand), k, "n",
                         (product, day, brand))

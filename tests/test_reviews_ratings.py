@@ -83,3 +83,13 @@ def test_top_reviewed_is_deterministic(spark, k):
     a = [tuple(r) for r in RV.top_reviewed(df, k).collect()]
     b = [tuple(r) for r in RV.top_reviewed(df.repartition(5), k).collect()]
     assert a == b
+
+
+def test_leader_board_rounding_modes(spark):
+    # average 2.125 is exact in binary: half-up gives 2.13, half-even 2.12
+    reviews = spark.createDataFrame([(1, D1, 2.0), (1, D1, 2.0), (1, D1, 2.0), (1, D1, 2.5)],
+                                    "asin long, review_date date, overall double")
+    meta = spark.createDataFrame([(1, "b")], "asin long, brand string")
+    up = RV.review_leader_board(reviews, meta).collect()[0].avg
+    even = RV.review_leader_board(reviews, meta, rounding="half_even").collect()[0].avg
+    assert (up, even) == (2.13, 2.12) and round(2.125, 2) == even
