@@ -128,6 +128,8 @@ def recommend(spark: SparkSession, ratings_dir: str, out: str, source: str = "re
 
 def main(argv=None):
     p = argparse.ArgumentParser(prog="quill.jobs")
+    p.add_argument("--checkpoint-dir", help="shared folder for checkpoints, used when the session "
+                   "has no spark.checkpoint.dir")
     sub = p.add_subparsers(dest="job", required=True)
     positional = {
         "review-board": ("reviews", "meta", "out"),
@@ -148,6 +150,11 @@ def main(argv=None):
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"quill-{args.job}").getOrCreate()
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None) or args.checkpoint_dir
+        if configured:
+            sc.setCheckpointDir(configured)
     if args.job == "review-board":
         review_board(spark, args.reviews, args.meta, args.out, args.k)
     elif args.job == "title-match":
