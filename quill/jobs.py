@@ -47,8 +47,8 @@ USER_REVIEWS = T.StructType([
         T.StructField("item_id", T.StringType()),
         T.StructField("recommend", T.BooleanType())]))),
 ])
-SENTIMENTS = ("_c0 INT, user_id STRING, item_id STRING, review STRING, textblob_score DOUBLE, "
-              "sentiment_class STRING, vader_score DOUBLE")
+# the sentiment file is read by header name: only these columns are used
+SENTIMENTS = {"user_id": "string", "item_id": "string", "vader_score": "double"}
 FUSED = "user_id STRING, item_id STRING, rating INT, user_id_encoded INT, ratings INT"
 
 
@@ -95,7 +95,7 @@ def ratings(spark: SparkSession, users_items: str, sentiments: str, user_reviews
     rated = RT.playtime_rating(items).select("user_id", "item_id", "rating")
     encoded = RT.encode_users(rated, RT.index_users(items))
     _out(encoded.select("item_id", "user_id", "rating", "user_id_encoded"), out, "encoded_ratings")
-    sent = IO.read_csv_typed(spark, sentiments, SENTIMENTS)
+    sent = IO.read_csv_columns(spark, sentiments, SENTIMENTS)
     fused_s = RT.fuse_sentiment(encoded, sent).select("user_id", "item_id", "rating", "user_id_encoded",
                                                       "ratings")
     _out(fused_s, out, "sentiment_ratings")

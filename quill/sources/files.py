@@ -45,6 +45,16 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str,
             .option("quote", '"').option("escape", '"').csv(path))
 
 
+def read_csv_columns(spark: SparkSession, path: str, columns: dict[str, str],
+                     mode: str = "FAILFAST") -> DataFrame:
+    """CSV with a header, columns picked by *name* and cast to the given types,
+    whatever their order in the file. Every field is read as a string first
+    (no inference pass); the casts are ANSI-checked."""
+    raw = (spark.read.option("header", True).option("mode", mode).option("quote", '"')
+           .option("escape", '"').csv(path))
+    return raw.select(*[F.col(f"`{name}`").cast(dtype).alias(name) for name, dtype in columns.items()])
+
+
 def _to_field(value, dtype: T.DataType):
     if value is None:
         return None

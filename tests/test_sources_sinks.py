@@ -110,3 +110,11 @@ def test_fused_ratings_csv_hand_over(spark, tmp_path):
     got = rows(RC.as_triples(back, "user_id_encoded", "item_id", "ratings"))
     assert got == rows(C.rating_source(spark, "/root/testdata/sf0.001", "recommend"))
     assert len(got) == fused.count()
+
+
+def test_csv_columns_by_header_name(spark, tmp_path):
+    p = tmp_path / "sent.csv"
+    p.write_text('vader_score,review,item_id,user_id\n0.5,"fine, thanks",10,u1\n-0.25,bad,11,u2\n')
+    df = IO.read_csv_columns(spark, str(p), {"user_id": "string", "item_id": "string", "vader_score": "double"})
+    assert df.columns == ["user_id", "item_id", "vader_score"]
+    assert rows(df) == [("u1", "10", 0.5), ("u2", "11", -0.25)]
