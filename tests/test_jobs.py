@@ -6,7 +6,7 @@ import pytest
 
 from quill import jobs
 
-from test_pipelines import PAPERS
+from test_end_to_end import PAPERS
 
 
 def _csv(spark, path, schema):
