@@ -38,6 +38,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
+        # local runs shuffle a few MB into CPU-heavy stages (tokenising); let
+        # AQE keep partitions down to 64 KB instead of merging to 1 MB, so all
+        # cores get work. Cluster-sized partitions never come near this floor.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
