@@ -43,7 +43,7 @@ def main(argv):
     from quill.plans.catalogue import QUERIES
     from quill.session import local_session
     names = argv[2:] or list(HEADLINE)
-    spark = local_session(8, 16, app="quill-plans")
+    spark = local_session(8, 32, app="quill-plans")
     print(f"| query | exchanges (shuffles) | joins | aggregates / windows | parquet columns read |")
     print("| --- | --- | --- | --- | --- |")
     for name in names:
