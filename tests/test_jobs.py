@@ -59,3 +59,16 @@ def test_ratings_and_recommend_jobs(spark, tmp_path):
     assert sorted(r["rank"] for r in errors) == [2, 3]
     recs = spark.read.option("header", True).csv(str(tmp_path / "rec" / "top_recommendations")).collect()
     assert {int(r["rank"]) for r in recs} == {2, 3} and len(recs) == 2 * 2 * 3
+
+
+def test_main_parses_and_runs(spark, tmp_path):
+    reviews = tmp_path / "reviews.json"
+    reviews.write_text(json.dumps({"asin": "A", "reviewTime": "d", "overall": 3.0}) + "\n")
+    meta = tmp_path / "meta.txt"
+    meta.write_text("{'asin': 'A', 'brand': 'z'}\n")
+    out = tmp_path / "out"
+    jobs.main(["--checkpoint-dir", str(tmp_path / "ckpt"), "review-board", str(reviews), str(meta),
+               str(out), "--k", "5"])
+    got = _csv(spark, str(out / "top_reviews"), "asin STRING, reviewTime STRING, n LONG, avg DOUBLE, "
+               "brand STRING, pos INT")
+    assert [(r.asin, r.n, r.brand, r.pos) for r in got] == [("A", 1, "z", 1)]
