@@ -51,35 +51,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) create a
-    scratch folder of our own."""
+def _configured(spark: SparkSession) -> str | None:
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="quill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    return (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+            or sc.getConf().get("spark.checkpoint.dir", None))
 
 
 def require_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder for operators that cut lineage: the one already
-    set on the context, else ``spark.checkpoint.dir`` from the session.
-    Operators never invent a local folder; tests and the bench set one
-    through :func:`ensure_checkpoint_dir`."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
+    """The shared folder for cut lineage: the one already set on the context, else
+    ``spark.checkpoint.dir`` of the session. Operators never invent a folder."""
+    found = _configured(spark)
+    if not found:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (or call "
                            "SparkContext.setCheckpointDir) before using this operator")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(found)
+    return sc.getCheckpointDir() or found
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """:func:`require_checkpoint_dir`, but a one-process ``local`` session (tests,
+    bench) that names no folder gets a scratch folder; a cluster never does."""
+    master = spark.sparkContext.master
+    if not _configured(spark) and master.startswith("local") and not master.startswith("local-cluster"):
+        spark.sparkContext.setCheckpointDir(
+            tempfile.mkdtemp(prefix="quill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return require_checkpoint_dir(spark)
