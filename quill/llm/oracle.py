@@ -9,7 +9,7 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 OP7 = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 win AS (SELECT doc_id, unnest(range(1, len(words) - 6)) AS i, words FROM d WHERE len(words) > 8),
 named AS (SELECT doc_id, i, list_slice(words, i, i + 7) AS g FROM win),
@@ -18,12 +18,12 @@ gaps AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FRO
 rep AS (SELECT doc_id, sum(least(8, i - coalesce(p, i - 8))) AS n FROM gaps GROUP BY doc_id),
 m AS (
   SELECT d.doc_id, len(words)::BIGINT AS n_words,
-    coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+    coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
     coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-    len(list_filter(words, x -> lower(x) IN ({', '.join(f"'{w}'" for w in STOP_WORDS)}))) AS n_stop,
-    coalesce(len(list_filter(range(2, len(words) + 1), i -> words[i] = words[i - 1])), 0) AS n_same
+    len(list_filter(words, lambda x: lower(x) IN ({', '.join(f"'{w}'" for w in STOP_WORDS)}))) AS n_stop,
+    coalesce(len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])), 0) AS n_same
   FROM d LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -5,8 +5,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quill.llm.decontam import find_leaks
 from quill.llm.io import table
+from quill.llm.license import license_summary, scan_licenses
+from quill.llm.packing import pack_documents
 from quill.llm.quality import quality_rules
+from quill.llm.secret_scan import scan_secrets, secret_summary
+from quill.llm.toxicity import score_toxicity, train
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer's vocabulary lies on this machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its base places, labels and score."""
+    return license_summary(scan_licenses(table(spark, sf_dir, "documents")))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) leak with its tiles and coverage."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its counts, base digest and spans."""
+    return secret_summary(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +46,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score."""
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {f.__name__: f for f in (
+    op1_license_scan,
+    op4_decontamination,
+    op5_secret_scan,
+    op6_packing,
     op7_quality_rules,
+    op10_toxicity,
 )}
