@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -34,59 +35,132 @@ WINDOW = 2048
 END_ID = 1
 GROUP_PIECES = 4096
 #: distinct chunks a task remembers before it starts afresh (bounds its memory)
-CACHE_CHUNKS = 150_000
-#: longer chunks are encoded each time and not remembered
-CACHE_CHARS = 40
+CACHE_CHUNKS = 600_000
+#: characters of text that are encoded in one go
+SLICE_CHARS = 1 << 20
 
+_END = "\n"                              # no chunk holds white space
+_CONTROL_GAPS = "\x1c\x1d\x1e\x1f"      # white space for str.split, not for the tokenizer
 _GAPS = re.compile(r"[ \t\n\r]+")
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class _Numbers(dict):
+    """Numbers chunks in the order they are first asked for."""
+
+    def __init__(self):
+        super().__init__({_END: 0})
+        self.fresh: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self)
+        self.fresh.append(chunk)
+        return n
+
+
 class ChunkEncoder:
-    """Ids of whole texts by way of remembered ids of white-space chunks."""
+    """Ids of whole texts by way of remembered ids of white-space chunks.
+
+    A chunk of letters is one unit of the tokenizer's splitter, and so is a tail of
+    punctuation after it; such chunks are put together from letters and tail, and
+    many letter chunks are encoded in one call, cut at the ids that end a word."""
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def ids(self, text: str) -> np.ndarray:
-        chunks = _GAPS.split(text)
-        known = self.known
-        fresh = [c for c in dict.fromkeys(chunks) if c and c not in known]
-        long = {}
-        if fresh:
-            if len(known) + len(fresh) > CACHE_CHUNKS:
-                known.clear()
-                fresh = [c for c in dict.fromkeys(chunks) if c]
-            for c, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-                (known if len(c) <= CACHE_CHARS else long)[c] = tuple(e.ids)
-        out: list[int] = []
-        for c in chunks:
-            if c:
-                out += known[c] if c in known else long[c]
-        out.append(END_ID)
-        return np.array(out, "<u4")
-
-
-def token_pieces(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Each document cut into full windows and one rest (``PIECES``)."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_path)
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.ids(text.as_py() or "")
-                for a in range(0, len(ids), WINDOW):
-                    piece = ids[a:a + WINDOW]
-                    rows.append((doc, a, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
-            cols = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in cols],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(cut, PIECES)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = _Numbers()
+        self.flat = np.array([END_ID], np.uint32)
+        # per chunk: where its one or two units lie in flat, and how many ids they have
+        self.start, self.size = np.array([[0, 0]]), np.array([[1, 0]])
+
+    def _letters(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and where each ends."""
+        ids = np.array(self.tokenizer.encode(" ".join(chunks), add_special_tokens=False).ids, np.uint32)
+        cuts = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(cuts) == len(chunks) and cuts[-1] == len(ids):
+            return ids, cuts
+        return self._others(chunks)         # lower-casing made some chunk more than letters
+
+    def _others(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        return np.array([i for ids in each for i in ids], np.uint32), np.cumsum([len(ids) for ids in each])
+
+    def _learn(self) -> None:
+        numbers, fresh, base = self.numbers, self.numbers.fresh, len(self.size)
+        # parallel lists: numbers of letter chunks and their letters, and so on
+        letters_n, letters, others_n, others, lower_n, lower, tailed_n, stems, tails = ([] for _ in range(9))
+        for n, chunk in enumerate(fresh, base):     # grows by the parts of other chunks
+            if chunk.isalpha():
+                if chunk.islower() or not chunk.isascii():
+                    letters_n.append(n)
+                    letters.append(chunk)
+                else:
+                    lower_n.append(n)
+                    lower.append(numbers[chunk.lower()])
+                continue
+            stem = chunk.rstrip(punctuation)
+            if stem != chunk and stem.isalpha():
+                tailed_n.append(n)
+                stems.append(numbers[stem])
+                tails.append(numbers[chunk[len(stem):]])
+            else:
+                others_n.append(n)
+                others.append(chunk)
+        self.start = np.concatenate([self.start, np.zeros((len(fresh), 2), np.int64)])
+        self.size = np.concatenate([self.size, np.zeros((len(fresh), 2), np.int64)])
+        for n, chunks, encode in ((letters_n, letters, self._letters), (others_n, others, self._others)):
+            if n:
+                ids, ends = encode(chunks)
+                self.start[n, 0] = len(self.flat) + np.append(0, ends[:-1])
+                self.size[n, 0] = np.diff(ends, prepend=0)
+                self.flat = np.concatenate([self.flat, ids])
+        self.start[lower_n], self.size[lower_n] = self.start[lower], self.size[lower]
+        for column, part in ((0, stems), (1, tails)):
+            self.start[tailed_n, column] = self.start[part, 0]
+            self.size[tailed_n, column] = self.size[part, 0]
+        fresh.clear()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, the end id last."""
+        if len(self.numbers) > CACHE_CHUNKS:
+            self._forget()
+        chunks: list[str] = []
+        bounds = [0]
+        for text in texts:
+            if any(c in text for c in _CONTROL_GAPS):
+                chunks += filter(None, _GAPS.split(text))
+            else:
+                chunks += text.split()
+            chunks.append(_END)
+            bounds.append(len(chunks))
+        number = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
+        if self.numbers.fresh:
+            self._learn()
+        size = self.size[number].ravel()
+        before = np.cumsum(size) - size
+        ids = self.flat[np.repeat(self.start[number].ravel() - before, size) + np.arange(size.sum())]
+        return np.split(ids, np.append(before[::2], len(ids))[bounds[1:-1]])
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of a batch in runs of about ``SLICE_CHARS``; nulls are empty."""
+    ids, texts, size = [], [], 0
+    for doc, text in zip(*batch.columns):
+        ids.append(doc.as_py())
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size >= SLICE_CHARS:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 class RoomTree:

@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quill.llm import lm_score, rlz_dedup, suffix_dedup
 from quill.llm.decontam import find_leaks
 from quill.llm.io import table
 from quill.llm.license import license_summary, scan_licenses
+from quill.llm.near_dup import near_duplicates
 from quill.llm.packing import pack_documents
 from quill.llm.quality import quality_rules
 from quill.llm.secret_scan import scan_secrets, secret_summary
@@ -25,6 +27,16 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_summary(scan_licenses(table(spark, sf_dir, "documents")))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its set size and component (4-word shingles)."""
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4)
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 400-byte strings."""
+    return suffix_dedup.repeat_summary(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) leak with its tiles and coverage."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -46,6 +58,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by documents labelled as good against all documents."""
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.score(docs, lm_score.train_models(docs, good))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 13-word runs that an earlier one has."""
+    return rlz_dedup.repeat_summary(rlz_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its toxicity score."""
     docs = table(spark, sf_dir, "documents")
@@ -54,9 +78,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan,
+    op2_near_duplicates,
+    op3_suffix_dedup,
     op4_decontamination,
     op5_secret_scan,
     op6_packing,
     op7_quality_rules,
+    op8_lm_scoring,
+    op9_substring_dedup,
     op10_toxicity,
 )}
