@@ -163,6 +163,25 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
         yield ids, texts
 
 
+def token_pieces(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """Each document cut into full windows and one rest (``PIECES``)."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = ChunkEncoder(tokenizer_path)
+        for batch in batches:
+            rows = []
+            for docs_of, texts in _slices(batch):
+                for doc, ids in zip(docs_of, encoder.encode(texts)):
+                    for a in range(0, len(ids), WINDOW):
+                        piece = ids[a:a + WINDOW].astype("<u4", copy=False)
+                        rows.append((doc, a, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+            cols = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in cols],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(cut, PIECES)
+
+
 class RoomTree:
     """Segment tree over remaining capacity: leaf ``c`` counts the open windows with
     ``c`` ids of room, an inner node those below it."""
