@@ -16,8 +16,11 @@ No bucket is expanded into all its pairs. First each member meets only its bucke
 least member, and of the survivors each class verifies its best, then those still
 across two components. What is left are buckets with several components. There a
 class can have a link to another component only if enough of its shingles occur in
-other components at all; that is counted exactly, and only such classes meet across
-components. So no link between different texts that share a bucket is lost.
+other components at all; that is counted exactly. The classes that pass and share
+buckets form families, and a family is compared block by block: a task holds two
+blocks of ``BLOCK`` classes, takes the pairs that share a bucket and lie in two
+components through steps 2 and 3, and hands on links only. So no link between
+different texts that share a bucket is lost.
 
 Defined results: null, empty or blank texts have no shingles and link with nothing;
 a text of fewer than ``k`` words has one shingle, all its words; repeated rows are
@@ -47,6 +50,8 @@ STEP = 16
 MISS = 1e-6
 #: a signature keeps one byte per hash; unequal minima agree in it by chance
 CHANCE = 1 / 256
+#: classes of a family that a task compares with as many others
+BLOCK = 256
 
 _rng = np.random.default_rng(8128)
 _MULTIPLY = _rng.integers(1, 2 ** 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -143,19 +148,68 @@ def least_matches(threshold: float, miss: float = MISS) -> list[int]:
     return out
 
 
+def survivors(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequential test of row pairs of two signature matrices: the rows that no batch
+    of hashes rules out, and their matches."""
+    alive, matches = np.arange(len(left)), np.zeros(len(left), np.int32)
+    for j, bar in enumerate(least_matches(LEAST / 100)):
+        part = slice(j * STEP, (j + 1) * STEP)
+        matches[alive] += (left[alive, part] == right[alive, part]).sum(1, dtype=np.int32)
+        alive = alive[matches[alive] >= bar]
+    return alive, matches[alive]
+
+
+def matrix(column, kind, width: int) -> np.ndarray:
+    """Equally long binary values as the rows of a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+
+
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, signatures) that no batch of hashes rules out, with their matches."""
-    bars = least_matches(LEAST / 100)
+    """Pairs (a, b, signatures) that survive, with their matches."""
     for batch in batches:
-        left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (2, 3))
-        alive, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int32)
-        for j, bar in enumerate(bars):
-            part = slice(j * STEP, (j + 1) * STEP)
-            matches[alive] += (left[alive, part] == right[alive, part]).sum(1, dtype=np.int32)
-            alive = alive[matches[alive] >= bar]
+        alive, matches = survivors(*(matrix(batch.column(i), np.uint8, HASHES) for i in (2, 3)))
         keep = pa.array(alive)
         yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep),
-                                          pa.array(matches[alive], pa.int32())], ["a", "b", "matches"])
+                                          pa.array(matches, pa.int32())], ["a", "b", "matches"])
+
+
+def _compare_blocks(key, group):
+    """Links among the classes of two blocks (or of one with itself)."""
+    group = group.combine_chunks()
+    column = lambda name: group[name].chunk(0) if group.num_rows else group[name]
+    nodes, labels = column("node").to_pylist(), column("label").to_pylist()
+    block = column("block").to_numpy()
+    signature = matrix(column("signature"), np.uint8, HASHES)
+    bands = column("bands").values.to_numpy().reshape(-1, BANDS)
+    sets = [x.values.to_numpy() for x in column("shingles")]
+    number = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    label = np.array([number[x] for x in labels])
+    left = np.flatnonzero(block == key[1].as_py())
+    right = np.flatnonzero(block == key[2].as_py())
+    shared = np.zeros((len(left), len(right)), bool)
+    for j in range(BANDS):
+        shared |= bands[left, j][:, None] == bands[right, j][None, :]
+    shared &= label[left][:, None] != label[right][None, :]
+    x, y = np.nonzero(shared)
+    x, y = left[x], right[y]
+    if key[1] == key[2]:
+        x, y = x[x < y], y[x < y]
+    size = np.array([len(s) for s in sets])
+    near = 100 * np.minimum(size[x], size[y]) >= LEAST * np.maximum(size[x], size[y])
+    x, y = x[near], y[near]
+    alive, _ = survivors(signature[x], signature[y])
+    out = []
+    for a, b in zip(x[alive].tolist(), y[alive].tolist()):
+        common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+        if 100 * common >= LEAST * (size[a] + size[b] - common):
+            out.append((nodes[a], nodes[b]))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+
+
+def several_labels(rows: DataFrame) -> DataFrame:
+    """The rows (band, node, label) of bands with two labels or more."""
+    mixed = rows.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
+    return rows.join(mixed.select("band"), "band")
 
 
 class NearDuplicates:
@@ -217,22 +271,36 @@ class NearDuplicates:
         return pairs.join(la, "a", "left").join(lb, "b", "left").where(
             "coalesce(la, a) != coalesce(lb, b)").select("a", "b")
 
-    def remaining(self, members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs of one bucket and two components that may still be linked."""
+    def open_classes(self, members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """``(band, node, label)``: buckets with several components, as far as their
+        classes can still have a link to another one."""
         labelled = members.select("band", "node").join(labels, "node", "left").select(
             "band", "node", F.coalesce("label", "node").alias("label"))
-        mixed = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
-        open_ = written(labelled.join(mixed.select("band"), "band"))
+        open_ = written(several_labels(labelled))
         own = open_.select("node", "label").distinct().join(sets, "node")
         spread = own.select("node", "label", "n", F.explode("shingles").alias("s"))
         foreign = spread.groupBy("s").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("s")
-        able = spread.join(foreign, "s").groupBy("node", "n").agg(F.count("*").alias("c")).where(
-            f"100 * c >= {LEAST} * n").select("node", "n")
-        able = written(open_.join(able, "node"))
-        a, b = able.alias("p"), able.alias("q")
-        return a.join(b, F.col("p.band") == F.col("q.band")).where(
-            f"p.label < q.label and 100 * least(p.n, q.n) >= {LEAST} * greatest(p.n, q.n)").select(
-            F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+        # common >= LEAST / (100 + LEAST) of both sizes together, and the least partner has LEAST / 100 of one's own
+        least_n = open_.join(own.select("node", "n"), "node").groupBy("band").agg(F.min("n").alias("m"))
+        partner = open_.join(least_n, "band").groupBy("node").agg(F.min("m").alias("m"))
+        able = spread.join(foreign, "s").groupBy("node", "n").agg(F.count("*").alias("c")).join(partner, "node").where(
+            f"{100 + LEAST} * c >= {LEAST} * (n + greatest(m, {LEAST} * n / 100))").select("node")
+        return written(several_labels(open_.join(able, "node")))
+
+    def links_across(self, members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between the components of a bucket, compared in blocks."""
+        open_ = self.open_classes(members, labels, sets)
+        least = open_.groupBy("band").agg(F.min("node").alias("a"))
+        family = components(open_.join(least, "band").where("a != node").select("a", F.col("node").alias("b")).distinct())
+        family = family.select("node", F.col("label").alias("family"))
+        blocks = family.groupBy("family").agg((F.count("*") / BLOCK + 1).cast("int").alias("blocks"))
+        rows = (open_.select("node", "label").distinct().join(family, "node").join(blocks, "family")
+                .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .join(sets.select("node", "shingles").dropDuplicates(["node"]), "node")
+                .join(self.classes.select("node", "signature", "bands"), "node"))
+        return (rows.groupBy("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+                .applyInArrow(_compare_blocks, "a binary, b binary"))
 
     def labels(self) -> DataFrame:
         """``(node, label)`` of the classes that have a link."""
@@ -242,17 +310,19 @@ class NearDuplicates:
         sets = written(self.shingle_sets(members.select("node").distinct()))
         best = stars.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("m")).select("m.a", "b")
         labels = components(self.verified(best, sets))
-        for pairs in (lambda: self.across(stars, labels),
-                      lambda: self.across(self.surviving(self.remaining(members, labels, sets)), labels)):
-            links = self.verified(pairs(), sets)
-            la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-            lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-            named = links.join(la, "a", "left").join(lb, "b", "left").select(
-                F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a != b")
-            merged = components(named)
-            known = labels.unionAll(merged.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
-            labels = written(relabel(known, merged))
-        return labels
+        labels = self.joined(labels, self.verified(self.across(stars, labels), sets))
+        return self.joined(labels, self.links_across(members, labels, sets))
+
+    @staticmethod
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+        """``labels`` after components that ``links`` connect became one."""
+        la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        named = links.join(la, "a", "left").join(lb, "b", "left").select(
+            F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a != b")
+        merged = components(written(named))
+        known = labels.unionAll(merged.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
+        return written(relabel(known, merged))
 
     def result(self) -> DataFrame:
         """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""

@@ -32,6 +32,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+OP2 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION SELECT b.y, reach.r FROM reach JOIN both_ways b ON b.x = reach.doc_id),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN least USING (doc_id) LEFT JOIN size USING (doc_id)
+"""
+
+OP9 = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+named AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) > 12)),
+firsts AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS m FROM named),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM firsts, range(0, 13) AS r(k) WHERE m < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 ORACLE = {
+    "op2_near_duplicates": OP2,
     "op7_quality_rules": OP7,
+    "op9_substring_dedup": OP9,
 }

@@ -254,7 +254,7 @@ def leading_parts(plan: Plan, values: np.ndarray, n: int, parts: int) -> np.ndar
     """The part each of the first ``n`` windows of a stretch belongs to."""
     if parts == 1:
         return np.zeros(n, np.int64)
-    lead = 3 if plan.words else 24
+    lead = min(3 if plan.words else 24, plan.window)
     i = np.arange(n)
     return (range_hash(prefix(values[:n + lead]), i, i + lead) % U64(parts)).astype(np.int64)
 

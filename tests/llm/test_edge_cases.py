@@ -1,0 +1,63 @@
+"""Every operator on nulls, empty tables, repeats, long texts and clashing names."""
+
+import pytest
+
+import corpus_pipeline as P
+from quill.llm import decontam, license, lm_score, near_dup, packing, quality, rlz_dedup, secret_scan, suffix_dedup, toxicity
+from quill.llm.queries import tokenizer_file
+from .cases import HARD
+
+
+def bench(spark, rows=((1, "one two three four five six"), (2, None), (None, ""))):
+    return spark.createDataFrame(list(rows), "item_id long, text string")
+
+
+def labels(spark, rows=((5, 1, 1), (8, 0, 0), (None, 1, 1), (9, None, None))):
+    return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
+
+
+PER_ROW = {
+    "license": lambda s, d: license.license_summary(license.scan_licenses(d)),
+    "near_dup": lambda s, d: near_dup.near_duplicates(d, 4),
+    "suffix": lambda s, d: suffix_dedup.repeat_summary(suffix_dedup.remove_repeats(d)),
+    "secrets": lambda s, d: secret_scan.secret_summary(secret_scan.scan_secrets(d)),
+    "quality": lambda s, d: quality.quality_rules(d),
+    "lm": lambda s, d: lm_score.score(d, lm_score.train_models(d, labels(s).where("quality = 1"))),
+    "rlz": lambda s, d: rlz_dedup.repeat_summary(rlz_dedup.remove_repeats(d)),
+    "toxicity": lambda s, d: toxicity.score_toxicity(d, toxicity.train(d, labels(s))),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PER_ROW))
+def test_one_row_each_and_no_other_column_matters(spark, hard, clashing, empty, name):
+    run = PER_ROW[name]
+    plain = sorted(map(str, run(spark, hard).collect()))
+    assert len(plain) == len(HARD)
+    assert sorted(map(str, run(spark, clashing).collect())) == plain
+    assert run(spark, empty).count() == 0
+
+
+def test_packing(spark, hard, clashing, empty):
+    rows = packing.pack_documents(hard, tokenizer_file()).collect()
+    assert sum(r.start == 0 for r in rows) == len(HARD)
+    assert len(packing.pack_documents(clashing, tokenizer_file()).collect()) == len(rows)
+    assert packing.pack_documents(empty, tokenizer_file()).count() == 0
+
+
+def test_decontamination(spark, hard, clashing, empty, docs_of):
+    assert decontam.find_leaks(hard, bench(spark)).count() == 0
+    assert decontam.find_leaks(empty, bench(spark)).count() == 0
+    assert decontam.find_leaks(hard, bench(spark).where("false")).count() == 0
+    assert decontam.drop_leaks(clashing, bench(spark)).count() == len(HARD)
+    twice = docs_of([(1, "so one two three four five six"), (1, "so one two three four five six"), (None, "one two three four five six")])
+    assert [r.doc_id for r in decontam.find_leaks(twice, bench(spark)).orderBy("doc_id").collect()] == [None, 1, 1]
+
+
+@pytest.mark.parametrize("stage", [f for _, f in P.STAGES])
+def test_stage_survives(spark, clashing, empty, stage, tmp_path):
+    bench(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = stage(spark, clashing, str(tmp_path))
+    if stage is not P.packing_stage:
+        assert kept.count() <= len(HARD) and kept.columns == clashing.columns
+    assert kept.count() > 0
+    assert stage(spark, empty, str(tmp_path)).count() == 0
