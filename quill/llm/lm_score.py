@@ -154,7 +154,8 @@ def train_models(docs: DataFrame, target_ids: DataFrame) -> Models:
     """Counts over every document; ``target_ids`` has the ``doc_id`` of target ones."""
     ids = target_ids.select(F.col("doc_id").cast("long").alias("_target")).where("_target is not null").distinct()
     marked = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                     .join(ids, F.col("doc_id") == F.col("_target"), "left")
+                     # the ids grow with the corpus: one plan at every size, never a broadcast
+                     .join(ids.hint("merge"), F.col("doc_id") == F.col("_target"), "left")
                      .select("text", F.col("_target").isNotNull().alias("target")))
     words = written(counted(marked, lambda h, first: (h, rows_of(first))))
     total = words.agg(F.sum("background").alias("b"), F.sum("target").alias("t")).first()

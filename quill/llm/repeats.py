@@ -35,7 +35,7 @@ from quill.llm.text import BYTE_VALUE, SPACE, U64, mix, powers, range_hash, text
 #: units of a text that are looked at in one go (bounds a task's memory)
 PIECE = 1 << 19
 #: runs a task gathers before it hands them on
-FLUSH_RUNS = 1 << 20
+FLUSH_RUNS = 1 << 19
 #: distinct stretches of one key that a resolver gets together
 GROUP = 4096
 _POS_BITS = U64(21)
