@@ -27,6 +27,7 @@ from quill.operators import recommend as RC
 from quill.operators import reviews as RV
 from quill.operators import similarity as SM
 from quill.operators import text as TX
+from quill.session import require_checkpoint_dir
 from quill.sources import files as IO
 
 PAPERS = "id STRING, title STRING, abstract STRING, categories STRING"
@@ -61,7 +62,7 @@ def _out(df: DataFrame, out: str, name: str, single_file: bool = False, **kw) ->
 def review_board(spark: SparkSession, reviews: str, meta: str, out: str, k: int = 15) -> str:
     r = IO.read_json_lines(spark, reviews, REVIEWS)
     m = IO.read_python_literals(spark, meta, META)
-    top = RV.review_leader_board(r, m, k=k, day="reviewTime")
+    top = RV.review_leader_board(r, m, k=k, day="reviewTime", rounding="half_even")
     # a window over the k result rows only (bounded by k)
     order = Window.orderBy(F.col("n").desc(), "asin", "reviewTime", "brand")
     return _out(top.withColumn("pos", F.row_number().over(order)), out, "top_reviews", single_file=True)
@@ -75,7 +76,10 @@ def title_match(spark: SparkSession, papers: str, stopwords: str, out: str) -> s
     docs, stop = _papers(spark, papers, stopwords)
     body = TX.tfidf_index(docs, "id", "abstract", stop=stop)
     title = TX.query_index(docs, docs, "id", "title", "abstract", stop=stop)
-    best = SM.best_match_pruned(body, title, out=("abstract_id", "title_id"))
+    require_checkpoint_dir(spark)
+    body = body.select("id", "term", "w_norm").checkpoint(eager=True)
+    title = title.select("id", "term", "w_norm").checkpoint(eager=True)
+    best = SM.best_match_bounded(body, title, out=("abstract_id", "title_id"))
     keys = docs.select(F.col("id").alias("abstract_id"))
     top = SM.match_indicator(keys.join(best, "abstract_id", "left"), "abstract_id", "best")
     _out(top.select("abstract_id", F.col("best").alias("best_title_id"), "cos", "match"), out, "best_titles")
@@ -86,12 +90,13 @@ def category_matrix(spark: SparkSession, papers: str, stopwords: str, out: str)
     docs, stop = _papers(spark, papers, stopwords)
     tf = TX.term_frequency(TX.remove_stop_words(TX.tokenize(TX.by_document(docs), "id", "abstract"), stop))
     pairs = SM.similarity_matrix(SM.group_term_vectors(tf, docs, "id", "categories"), "categories")
-    _out(pairs, out, "category_pairs")
-    return _out(SM.pivot_matrix(pairs), out, "category_matrix", single_file=True)
+    return _out(pairs, out, "category_pairs")
 
 
 def ratings(spark: SparkSession, users_items: str, sentiments: str, user_reviews: str, out: str) -> str:
-    items = RT.explode_items(IO.read_python_literals(spark, users_items, USERS_ITEMS))
+    # the literal files are parsed once: median, index and all outputs read the copy
+    require_checkpoint_dir(spark)
+    items = RT.explode_items(IO.read_python_literals(spark, users_items, USERS_ITEMS)).checkpoint(eager=True)
     rated = RT.playtime_rating(items).select("user_id", "item_id", "rating")
     encoded = RT.encode_users(rated, RT.index_users(items))
     _out(encoded.select("item_id", "user_id", "rating", "user_id_encoded"), out, "encoded_ratings")

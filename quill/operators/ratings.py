@@ -49,21 +49,19 @@ def global_index(df: DataFrame, order: list, out: str = "idx") -> DataFrame:
     """Adds ``out``: the 0-based position of each row in the total order
     ``order`` (which must break every tie).
 
-    Distributed: a range-partitioned sort tags each row with its partition
-    and its position inside it; that tagged result is checkpointed (one job,
-    to the session's checkpoint folder), because the position counts and the
-    rows must come from the *same* range partitioning, and two separately
-    planned sorts may sample different range bounds. The per-partition counts
+    Distributed: a range-partitioned sort tags each row with its partition; that
+    tagged result is checkpointed (one job, to the session's checkpoint folder),
+    because the counts and the rows must come from the *same* range
+    partitioning, and two separately planned sorts may sample different range
+    bounds. Rows are numbered within each range. The per-partition counts
     are summed into offsets over a table with one row per partition, which is
     broadcast (its size is bounded by the number of partitions).
     """
     require_checkpoint_dir(df.sparkSession)
     tagged = (df.orderBy(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    # monotonically_increasing_id = (partition id << 33) + position in partition
-    tagged = (tagged.withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-              .drop("_mid").checkpoint(eager=True))
+              .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
+    tagged = tagged.withColumn(
+        "_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quill.session import require_checkpoint_dir
@@ -48,15 +48,21 @@ def index_ids(df: DataFrame, col: str, out: str = "idx") -> DataFrame:
 
 def hash_split(triples: DataFrame, seed: int = SPLIT_SEED, train_tenths: int = TRAIN_TENTHS,
                keys: tuple[str, str] = ("user", "item")) -> tuple[DataFrame, DataFrame]:
-    """(train, test): a row is in train when ``xxhash64(keys as BIGINT, seed)
-    mod 10 < train_tenths``. Deterministic per key, whatever the partitioning
+    """(train, test): a row is in train when its tenth (see :func:`split_tenth`)
+    is below ``train_tenths``. Deterministic per key, whatever the partitioning
     and whether the ids arrive as int or long."""
-    bucket = F.pmod(F.xxhash64(*[F.col(k).cast("long") for k in keys], F.lit(seed)), F.lit(10))
-    marked = triples.withColumn("_b", bucket)
+    marked = triples.withColumn("_b", split_tenth(seed, keys))
     return (marked.where(F.col("_b") < train_tenths).drop("_b"),
             marked.where(F.col("_b") >= train_tenths).drop("_b"))
 
 
+def split_tenth(seed: int = SPLIT_SEED, keys: tuple[str, str] = ("user", "item")) -> Column:
+    """0-9 from the first eight hex digits of the md5 of ``user,item,seed``, which
+    any SQL engine can compute as well."""
+    text = F.concat_ws(",", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10
+
+
 def fit_implicit(train: DataFrame, rank: int = 10, max_iter: int = MAX_ITER, alpha: float = ALPHA,
                  reg_param: float = REG_PARAM, seed: int = SPLIT_SEED, blocks: int | None = None
                  ) -> ALSModel:
@@ -77,11 +83,11 @@ def predict(model: ALSModel, test: DataFrame) -> DataFrame:
 
 
 def rmse(predictions: DataFrame, actual: str = "rating", predicted: str = "prediction") -> DataFrame:
-    """One row ``rmse``: square root of the mean squared difference. (Implicit
+    """One row ``n_test, rmse``: number of pairs and square root of the mean squared difference. (Implicit
     ALS scores are preferences near 0-1, so this compares unlike scales, as
     the original did.)"""
     diff = F.col(actual).cast("double") - F.col(predicted).cast("double")
-    return predictions.agg(F.sqrt(F.avg(diff * diff)).alias("rmse"))
+    return predictions.agg(F.count(diff).alias("n_test"), F.sqrt(F.avg(diff * diff)).alias("rmse"))
 
 
 def top_n(model: ALSModel, users: DataFrame, n: int = TOP_N, rank: int | None = None) -> DataFrame:
@@ -100,7 +106,7 @@ def rank_sweep(triples: DataFrame, ranks: Iterable[int] = DEFAULT_RANKS, users:
                n: int = TOP_N, **fit_kwargs) -> tuple[DataFrame, DataFrame | None]:
     """Fit one model per rank on the same split.
 
-    Returns ``(errors, recommendations)``: ``errors`` is ``(rank, rmse)``,
+    Returns ``(errors, recommendations)``: ``errors`` is ``(rank, n_test, rmse)``,
     one row per rank; ``recommendations`` is the union of :func:`top_n` per
     rank for ``users`` (None when no users are given). The triples are
     checkpointed once (to the session's checkpoint folder); train and test
@@ -112,7 +118,7 @@ def rank_sweep(triples: DataFrame, ranks: Iterable[int] = DEFAULT_RANKS, users:
     errors, recs = None, None
     for rank in ranks:
         model = fit_implicit(train, rank=rank, **fit_kwargs)
-        err = rmse(predict(model, test)).select(F.lit(int(rank)).alias("rank"), "rmse")
+        err = rmse(predict(model, test)).select(F.lit(int(rank)).alias("rank"), "n_test", "rmse")
         errors = err if errors is None else errors.unionByName(err)
         if users is not None:
             r = top_n(model, users, n, rank)

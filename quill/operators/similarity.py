@@ -11,7 +11,7 @@ shuffle on the id pair.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.functions.text import safe_divide
@@ -80,106 +80,44 @@ def best_match(scores: DataFrame, keys: DataFrame | None = None, key: str = "id_
     return best
 
 
-def best_match_pruned(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
-                      term: str = "term", w: str = "w_norm", out: tuple[str, str] = ("id_1", "id_2"),
-                      max_pairs_per_term: int = 1_000_000, digits: int = 9,
-                      materialize: tuple[bool, bool] = (True, True), max_depth: int = 3,
-                      _depth: int = 0) -> DataFrame:
+def best_match_bounded(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
+                       term: str = "term", w: str = "w_norm", out: tuple[str, str] = ("id_1", "id_2"),
+                       digits: int = 9, salts: int = 8) -> DataFrame:
     """Per left vector, the right vector with the highest dot product:
-    ``(out[0], best, cos)`` -- the same result as :func:`best_match` over
-    :func:`cosine_pairs` with ``normalized=True``, without forming every pair
-    that shares a frequent term. Weights must be non-negative (TF-IDF).
-
-    A term is *hot* when (left rows) x (right rows) on it exceeds
-    ``max_pairs_per_term``; every other term group forms at most that many
-    pairs.
-
-    1. Candidates: pairs sharing a cold term, scored exactly (their cold part
-       from the term join, their hot part by joining the candidate pair with
-       the right vector's hot terms and then the left vector on
-       ``(left id, term)``).
-    2. Bound: a right vector sharing no cold term with left vector ``a``
-       scores at most ``U(a) = min(sum over a's hot terms h of w_a(h) *
-       max_r w_r(h), |a_hot| * max_r |r_hot|)``.
-    3. ``a`` is settled when its best candidate beats ``U(a)`` by more than
-       ``10**-digits`` (so no uncounted vector can even tie after rounding),
-       or when it has no candidate and ``U(a) = 0``.
-    4. Unsettled left vectors go through steps 1-3 again, alone: with fewer
-       left rows per term, fewer terms are hot, more pairs become candidates
-       and more vectors settle. After ``max_depth`` rounds, or once no term
-       is hot, the rest is scored by the plain term join.
-
-    Both sides are checkpointed to the session's checkpoint folder (pass
-    ``materialize=(False, ...)`` for a side that is already a checkpoint or
-    a table, or cheap to recompute), and one small job checks whether any
-    term is hot; with no hot term the plain term join is used, since every
-    term group is then within the bound.
-    """
-    require_checkpoint_dir(left.sparkSession)
+    ``(out[0], best, cos)`` -- the result of :func:`best_match` over
+    :func:`cosine_pairs` with ``normalized=True``, without the pairs that cannot
+    win. Weights must be non-negative (TF-IDF). One path at every size:
+
+    1. A lower bound per left vector: its score with the right vector of the same
+       id (0 without one), an equi-join on (id, term).
+    2. Each left term can add at most its weight times the term's largest right
+       weight. With terms in descending order of that product, a right vector that
+       has none of the first ``i`` terms scores at most the sum over the rest. So
+       only the leading terms are searched, up to where that sum falls below the
+       lower bound; these are the rarest-and-heaviest terms, not the common ones.
+    3. Right vectors that have a leading term are candidates and are scored over
+       all their terms.
+
+    A term's right rows are dealt to ``salts`` join keys by hash of the id, so a
+    very common term is no single task. A vector without a positive score is not
+    in the result. Both inputs are read several times: pass checkpointed ones."""
     a, b = out
-    margin = 10.0 ** (-digits)
-    # Each side feeds several branches below: write it once to the checkpoint
-    # folder (shared storage on a cluster) instead of recomputing its lineage
-    # in every branch. The hot-term flags are then cheap scans of those files.
-    L = _side(left, left_id, term, w, "l").withColumnRenamed("l_id", a)
-    R = _side(right, right_id, term, w, "r").withColumnRenamed("r_id", b)
-    L = L.checkpoint(eager=True) if materialize[0] else L
-    R = R.checkpoint(eager=True) if materialize[1] else R
-    R0 = R
-    n_l = L.groupBy("_term").agg(F.count(F.lit(1)).alias("_nl"))
-    n_r = R.groupBy("_term").agg(F.count(F.lit(1)).alias("_nr"))
-    hot = (n_l.join(n_r, "_term").where(F.col("_nl") * F.col("_nr") > F.lit(max_pairs_per_term))
-           .select("_term", F.lit(True).alias("_hot")))
-    if hot.limit(1).count() == 0:
-        # no term group exceeds the bound: the plain exact join is already bounded
-        full = (L.join(R, "_term").groupBy(a, b)
-                .agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
-        return best_match(full, None, a, b, "cos", digits)
-    L = L.join(hot, "_term", "left")
-    R = R.join(hot, "_term", "left")
-    l_cold, l_hot = L.where(F.col("_hot").isNull()), L.where(F.col("_hot")).drop("_hot")
-    r_cold, r_hot = R.where(F.col("_hot").isNull()), R.where(F.col("_hot")).drop("_hot")
-
-    cold = (l_cold.drop("_hot").join(r_cold.drop("_hot"), "_term")
-            .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("_cold")))
-    hot_part = (cold.select(a, b).join(r_hot, b).join(l_hot, [a, "_term"])
-                .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("_hotp")))
-    scored = (cold.join(hot_part, [a, b], "left")
-              .select(a, b, (F.col("_cold") + F.coalesce(F.col("_hotp"), F.lit(0.0))).alias("cos")))
-    best = best_match(scored, None, a, b, "cos", digits)
-
-    # Two upper bounds on the hot-term dot product with any right vector; the
-    # smaller one is used: per-term maxima, and Cauchy-Schwarz with the
-    # largest hot-term norm over all right vectors (a scalar subquery).
-    max_r = r_hot.groupBy("_term").agg(F.max("r_w").alias("_mx"))
-    r_norm_max = (r_hot.groupBy(b).agg(F.sqrt(F.sum(F.col("r_w") * F.col("r_w"))).alias("_rn"))
-                  .agg(F.max("_rn")).scalar())
-    bound = (l_hot.join(max_r, "_term").groupBy(a)
-             .agg(F.sum(F.col("l_w") * F.col("_mx")).alias("_ub1"),
-                  F.sqrt(F.sum(F.col("l_w") * F.col("l_w"))).alias("_ln"))
-             .select(a, F.least(F.col("_ub1"), F.col("_ln") * F.coalesce(r_norm_max, F.lit(0.0)))
-                     .alias("_ub")))
-    # one row per left vector; both the settled rows and the next round read
-    # it, so it is written once
-    status = (L.select(a).distinct().join(best, a, "left").join(bound, a, "left")
-              .withColumn("_ub", F.coalesce(F.col("_ub"), F.lit(0.0))).checkpoint(eager=True))
-    settled_cond = ((F.col("best").isNotNull() & (F.col("cos") - F.col("_ub") > F.lit(margin)))
-                    | (F.col("best").isNull() & (F.col("_ub") == 0)))
-    settled = status.where(settled_cond).select(a, "best", "cos")
-    unsettled = status.where(~settled_cond).select(a)
-
-    l_rest = L.drop("_hot").join(unsettled, a, "left_semi")
-    if _depth + 1 < max_depth:
-        rest = best_match_pruned(
-            l_rest.select(F.col(a).alias("_lid"), F.col("_term").alias("_t"), F.col("l_w").alias("_w")),
-            R0.select(F.col(b).alias("_rid"), F.col("_term").alias("_t"), F.col("r_w").alias("_w")),
-            "_lid", "_rid", "_t", "_w", out, max_pairs_per_term, digits,
-            materialize=(True, False), max_depth=max_depth, _depth=_depth + 1)
-    else:
-        full = (l_rest.join(R0, "_term")
-                .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
-        rest = best_match(full, unsettled, a, b, "cos", digits)
-    return settled.unionByName(rest)
+    lhs = _side(left, left_id, term, w, "l").withColumnRenamed("l_id", a)
+    rhs = _side(right, right_id, term, w, "r").withColumnRenamed("r_id", b)
+    guess = (lhs.join(rhs.withColumnRenamed(b, a), [a, "_term"])
+             .groupBy(a).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("_least")))
+    top = rhs.groupBy("_term").agg(F.max("r_w").alias("_most"))
+    # a window over one left vector's terms: bounded by the text it came from
+    order = Window.partitionBy(a).orderBy((F.col("l_w") * F.col("_most")).desc(), "_term")
+    rest = F.sum(F.col("l_w") * F.col("_most")).over(order.rowsBetween(0, Window.unboundedFollowing))
+    leading = (lhs.join(top, "_term").withColumn("_rest", rest).join(guess, a, "left")
+               .where(F.col("_rest") >= F.coalesce("_least", F.lit(0.0)) - 10.0 ** (1 - digits)))
+    leading = leading.select(a, "_term", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    dealt = rhs.select(b, "_term", F.pmod(F.xxhash64(b), F.lit(salts)).cast("int").alias("_salt"))
+    pairs = leading.join(dealt, ["_term", "_salt"]).select(a, b).distinct()
+    scored = (pairs.join(rhs, b).join(lhs, [a, "_term"]).groupBy(a, b)
+              .agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
+    return best_match(scored, None, a, b, "cos", digits)
 
 
 def match_indicator(best: DataFrame, key: str = "id_1", best_col: str = "best") -> DataFrame:
@@ -212,25 +150,37 @@ def group_term_vectors(tf: DataFrame, groups: DataFrame, id_col: str = "id",
 def similarity_matrix(vectors: DataFrame, group_col: str = "category", term: str = "term",
                       value: str = "tf") -> DataFrame:
     """``(category_1, category_2, value)``: cosine of every ordered pair of
-    group vectors (self included) that share a term. Pairs that share none
-    have cosine 0 and are left out; :func:`pivot_matrix` fills them.
+    group vectors (self included) that share a term. An absent pair means
+    cosine 0; :func:`pivot_matrix` fills it in.
 
-    The group vectors (one row per group and term, far smaller than the
-    corpus) feed both join sides and both norm aggregates, so they are
-    checkpointed once (one job) rather than recomputed from the corpus four
-    times."""
+    Each unordered pair is computed once and mirrored. The group vectors (one
+    row per group and term, far smaller than the corpus) feed both join sides and
+    both norm aggregates, so they are checkpointed once (one job) rather than
+    recomputed from the corpus four times."""
     require_checkpoint_dir(vectors.sparkSession)
     vectors = vectors.select(group_col, term, value).checkpoint(eager=True)
-    return cosine_pairs(vectors, vectors, group_col, group_col, term, value,
-                        ("category_1", "category_2")).withColumnRenamed("cos", "value")
+    l = _side(vectors, group_col, term, value, "l")
+    r = _side(vectors, group_col, term, value, "r")
+    dots = (l.join(r, (l["_term"] == r["_term"]) & (l["l_id"] <= r["r_id"]))
+            .groupBy(F.col("l_id").alias("category_1"), F.col("r_id").alias("category_2"))
+            .agg(F.sum(F.col("l_w") * F.col("r_w")).alias("dot")))
+    norms = vectors.groupBy(F.col(group_col).alias("_g")).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_n"))
+    once = (dots.join(norms.select(F.col("_g").alias("category_1"), F.col("_n").alias("_n1")), "category_1")
+            .join(norms.select(F.col("_g").alias("category_2"), F.col("_n").alias("_n2")), "category_2")
+            .select("category_1", "category_2", safe_divide("dot", F.col("_n1") * F.col("_n2")).alias("value")))
+    both = F.when(F.col("category_1") == F.col("category_2"), F.array(F.struct("category_1", "category_2"))).otherwise(
+        F.array(F.struct("category_1", "category_2"),
+                F.struct(F.col("category_2").alias("category_1"), F.col("category_1").alias("category_2"))))
+    return once.select(F.explode(both).alias("_p"), "value").select("_p.category_1", "_p.category_2", "value")
 
 
 def pivot_matrix(pairs: DataFrame, values: list[str] | None = None, row: str = "category_1",
                  col: str = "category_2", value: str = "value", fill: float = 0.0) -> DataFrame:
     """Wide matrix: one row per ``row`` value, one column per ``col`` value.
 
-    Pass ``values`` (the column labels) when known; otherwise Spark first
-    finds the distinct labels with a small job.
+    The labels come from the data: Spark finds the distinct ones with a small
+    job (at most ``spark.sql.pivotMaxValues``), unless ``values`` lists them.
+    Without them the long form is the result to use.
     """
     wide = pairs.groupBy(row).pivot(col, values).agg(F.first(value))
     # labels may hold dots (``cs.DB``): address every column quoted

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quill.functions.text import clean_text
@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6  # places for floating results compared against the oracle
 ALS_USERS = 8  # recommendations for user indices 0..7
-SWEEP_RANKS = (10, 20)
+SEARCH_EVERY = 50  # searches take the rows whose id this divides as queries
 
 
 def _r(col: str, digits: int = DIGITS):
@@ -88,9 +88,25 @@ def doc_freq(spark, d):
     return TX.document_frequency(TX.term_frequency(toks))
 
 
-def _doc_weights(spark, d):
+def stopword_table(spark, d):
+    """Stop words as a table: the terms that a fifth of the documents have."""
+    docs, toks = _doc_tokens(spark, d, stop=False)
+    toks = toks.checkpoint(eager=True)
+    df = TX.document_frequency(toks.distinct())
+    words = df.where(5 * F.col("df") >= TX.corpus_size(docs)).select("term")
+    return TX.remove_stop_words(toks, words).groupBy("id").agg(F.count(F.lit(1)).alias("n_kept"))
+
+
+def _doc_tf(spark, d):
+    """Documents, and ``(id, term, tf)`` written once: df, weights and vocabulary
+    all read the copy, so the corpus is tokenised once."""
     docs, toks = _doc_tokens(spark, d)
-    tf = TX.term_frequency(toks)
+    require_checkpoint_dir(spark)
+    return docs, TX.term_frequency(toks).checkpoint(eager=True)
+
+
+def _doc_weights(spark, d):
+    docs, tf = _doc_tf(spark, d)
     return TX.tfidf(tf, TX.document_frequency(tf), TX.corpus_size(docs))
 
 
@@ -104,16 +120,18 @@ def tfidf_norm(spark, d):
 
 
 def doc_vector(spark, d):
-    weights = _doc_weights(spark, d)
-    vocab = TX.vocabulary_index(weights)
-    return TX.sparse_vectors(TX.l2_normalize(weights), vocab).select("id", "slot", _r("w_norm"))
+    docs, tf = _doc_tf(spark, d)
+    df = TX.document_frequency(tf)
+    weights = TX.tfidf(tf, df, TX.corpus_size(docs))
+    return TX.sparse_vectors(TX.l2_normalize(weights), TX.vocabulary_index(df)).select("id", "slot", _r("w_norm"))
 
 
 # ---------------------------------------------------------------- text: page titles against bodies
 def _page_tf(spark, d):
-    pages = TX.by_document(FX.titled_pages(spark, d))
-    body_tf = TX.term_frequency(TX.remove_stop_words(TX.tokenize(pages, "id", "body"), FX.STOP_WORDS))
-    title_tf = TX.term_frequency(TX.remove_stop_words(TX.tokenize(pages, "id", "title"), FX.STOP_WORDS))
+    pages = FX.titled_pages(spark, d)
+    by_id = TX.by_document(pages)
+    body_tf = TX.term_frequency(TX.remove_stop_words(TX.tokenize(by_id, "id", "body"), FX.STOP_WORDS))
+    title_tf = TX.term_frequency(TX.remove_stop_words(TX.tokenize(by_id, "id", "title"), FX.STOP_WORDS))
     return pages, body_tf, title_tf
 
 
@@ -135,42 +153,33 @@ def title_tfidf_norm(spark, d):
     return w.select("id", "term", _r("w_norm"))
 
 
-def _title_scores(spark, d):
-    pages, body, title = _title_vectors(spark, d)
-    scores = SM.cosine_pairs(body, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"),
-                             normalized=True)
-    return pages, scores
-
-
 def title_match_scores(spark, d):
-    _, scores = _title_scores(spark, d)
+    """Search: every ``SEARCH_EVERY``-th abstract against all titles."""
+    _, body, title = _title_vectors(spark, d)
+    queries = body.where(F.col("id") % SEARCH_EVERY == 0)
+    scores = SM.cosine_pairs(queries, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"),
+                             normalized=True)
     return scores.select("abstract_id", "title_id", _r("cos"))
 
 
-MAX_PAIRS_PER_TERM = 1_000_000  # larger term groups take the bounded (hot-term) path
-
-
-def _title_vectors(spark, d, materialize=False):
-    """Body and title unit vectors. With ``materialize`` the body vectors are
-    checkpointed once and the body df is read back from them (each body row
-    carries its term's df), so the title side does not tokenise the bodies
-    again."""
+def _title_vectors(spark, d):
+    """Body and title unit vectors, each written once. The body df is read back
+    from the body vectors (each row carries its term's df), so the title side does
+    not tokenise the bodies again."""
     pages, body_tf, title_tf = _page_tf(spark, d)
     n = TX.corpus_size(pages)
     body_df = TX.document_frequency(body_tf)
     body = TX.l2_normalize(TX.tfidf(body_tf, body_df, n))
-    if materialize:
-        require_checkpoint_dir(spark)
-        body = body.select("id", "term", "df", "w_norm").checkpoint(eager=True)
-        body_df = body.select("term", "df").distinct()
+    require_checkpoint_dir(spark)
+    body = body.select("id", "term", "df", "w_norm").checkpoint(eager=True)
+    body_df = body.select("term", "df").distinct()
     title = TX.l2_normalize(TX.query_tfidf(title_tf, body_df, n), zero_norm="zero")
-    return pages, body, title
+    return pages, body, title.select("id", "term", "w_norm").checkpoint(eager=True)
 
 
 def _title_top1(spark, d):
-    pages, body, title = _title_vectors(spark, d, materialize=True)
-    best = SM.best_match_pruned(body, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"),
-                                max_pairs_per_term=MAX_PAIRS_PER_TERM, materialize=(False, True))
+    pages, body, title = _title_vectors(spark, d)
+    best = SM.best_match_bounded(body, title, "id", "id", "term", "w_norm", ("abstract_id", "title_id"))
     keys = pages.select(F.col("id").alias("abstract_id"))
     best = keys.join(best, "abstract_id", "left")
     return pages, SM.match_indicator(best.withColumnRenamed("best", "best_title_id"),
@@ -211,8 +220,7 @@ def category_cosine_source(spark, d):
 
 def category_matrix(spark, d):
     m = SM.similarity_matrix(_category_vectors(spark, d, "lang"), "lang")
-    wide = SM.pivot_matrix(m.select("category_1", "category_2", _r("value")), list(FX.LANGS))
-    return wide
+    return SM.pivot_matrix(m.select("category_1", "category_2", _r("value")))
 
 
 # ---------------------------------------------------------------- ratings
@@ -272,27 +280,36 @@ def fuse_recommend(spark, d):
     return fused.select("user_id", "item_id", "rating", "user_id_encoded", "ratings")
 
 
-def rating_source(spark, d, source: str = "recommend") -> DataFrame:
-    """The ALS input ``(user, item, rating)`` from one of three ratings:
-    ``'implicit'`` (play time only), ``'sentiment'`` or ``'recommend'``."""
-    if source == "implicit":
-        return RC.as_triples(_encoded_ratings(spark, d), "user_id_encoded", "item_id", "rating")
-    if source == "sentiment":
-        return RC.as_triples(fuse_sentiment(spark, d), "user_id_encoded", "item_id", "ratings")
-    if source == "recommend":
-        return RC.as_triples(fuse_recommend(spark, d), "user_id_encoded", "item_id", "ratings")
-    raise ValueError(f"unknown rating source {source!r}")
+RATING_SOURCES = {  # the recommender's three inputs: play time alone, with sentiment, with the flag
+    "implicit": (_encoded_ratings, "rating"),
+    "sentiment": (fuse_sentiment, "ratings"),
+    "recommend": (fuse_recommend, "ratings"),
+}
+
+
+def rating_source(spark, d, source: str = "recommend") -> tuple[DataFrame, str]:
+    """Rated rows of one of ``RATING_SOURCES`` and the name of their rating."""
+    build, value = RATING_SOURCES[source]
+    return build(spark, d).select("user_id_encoded", "item_id", value), value
 
 
-def ratings_project(spark, d):
-    return rating_source(spark, d, "recommend").withColumn("rating", F.col("rating").cast("int"))
+def _projected(source):
+    def query(spark, d):
+        rated, value = rating_source(spark, d, source)
+        return RC.as_triples(rated, "user_id_encoded", "item_id", value).withColumn("rating", F.col("rating").cast("int"))
+    return query
+
+
+ratings_project = _projected("recommend")
+ratings_project_sentiment = _projected("sentiment")
+ratings_project_implicit = _projected("implicit")
 
 
 # ---------------------------------------------------------------- recommender
 def train_test_split(spark, d):
     triples = RC.as_triples(FX.ratings(spark, d), "user_idx", "item_id", "rating")
-    train, _ = RC.hash_split(triples)
-    return train
+    train, test = RC.hash_split(triples)
+    return train.withColumn("train", F.lit(True)).unionByName(test.withColumn("train", F.lit(False)))
 
 
 def rmse_metric(spark, d):
@@ -303,17 +320,15 @@ def rmse_metric(spark, d):
 
 
 def als_input(spark, d, source="recommend"):
-    """ALS triples with a dense item index, and the index to map items back."""
-    fused = {"implicit": _encoded_ratings, "sentiment": fuse_sentiment,
-             "recommend": fuse_recommend}[source](spark, d)
-    value = "rating" if source == "implicit" else "ratings"
-    # feeds the item index, the join back and every later read of train and
-    # test: written once to the checkpoint folder
+    """ALS triples with a dense item index, and the index to map items back.
+    Written once to the checkpoint folder: fits, predictions and tests all read
+    that copy."""
     require_checkpoint_dir(spark)
-    fused = fused.select("user_id_encoded", "item_id", value).checkpoint(eager=True)
-    items = RC.index_ids(fused, "item_id", "item")
-    triples = RC.as_triples(fused.join(items, "item_id"), "user_id_encoded", "item", value)
-    return triples, items
+    rated, value = rating_source(spark, d, source)
+    rated = rated.checkpoint(eager=True)
+    items = RC.index_ids(rated, "item_id", "item")
+    triples = RC.as_triples(rated.join(items, "item_id"), "user_id_encoded", "item", value)
+    return triples.checkpoint(eager=True), items
 
 
 def _fitted(spark, d, rank=10):
@@ -322,27 +337,41 @@ def _fitted(spark, d, rank=10):
     return RC.fit_implicit(train, rank=rank), test, items
 
 
+# Scores differ from run to run in their last places and have no SQL twin; the
+# queries below return what is fixed about them.
 def als_predict(spark, d):
+    """The test pairs that get a score (users and items unseen in training get none)."""
     model, test, items = _fitted(spark, d)
-    return RC.predict(model, test).join(items, "item").select("user", "item_id", "rating", "prediction")
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return RC.predict(model, test).join(items, "item").select("user", "item_id", "rating", finite.alias("predicted"))
+
+
+def _errors(errors):
+    # ratings are 1-5 and preferences about 0-1, so the error lies between
+    return errors.select("rank", "n_test", ((F.col("rmse") > 0) & (F.col("rmse") < 5)).alias("in_range"))
 
 
 def als_rmse(spark, d):
     model, test, _ = _fitted(spark, d)
-    return RC.rmse(RC.predict(model, test)).select(F.lit(10).alias("rank"), "rmse")
+    return _errors(RC.rmse(RC.predict(model, test)).withColumn("rank", F.lit(10)))
 
 
 def als_topn(spark, d):
-    model, _, items = _fitted(spark, d)
+    """Top lists of users 0-7 for every rank of the sweep."""
+    triples, items = als_input(spark, d)
     users = spark.range(ALS_USERS).select(F.col("id").cast("int").alias("user"))
-    recs = RC.top_n(model, users, RC.TOP_N, rank=10)
-    return recs.join(items, "item").select("rank", "user", "pos", "item_id", "score")
+    _, recs = RC.rank_sweep(triples, users=users)
+    # ten rows per user and rank
+    before = F.lag("score").over(Window.partitionBy("rank", "user").orderBy("pos"))
+    return recs.join(items, "item", "left").select(
+        "rank", "user", "pos", F.col("item_id").isNotNull().alias("known_item"),
+        (F.col("score") <= F.coalesce(before, F.col("score"))).alias("in_order"))
 
 
 def als_rank_sweep(spark, d):
+    """Error table of all ranks."""
     triples, _ = als_input(spark, d)
-    errors, _ = RC.rank_sweep(triples, SWEEP_RANKS)
-    return errors
+    return _errors(RC.rank_sweep(triples)[0])
 
 
 QUERIES: dict[str, Query] = {
@@ -354,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "text_clean": text_clean,
     "tokenize": tokenize,
     "stopword_filter": stopword_filter,
+    "stopword_table": stopword_table,
     "term_freq": term_freq,
     "doc_freq": doc_freq,
     "tfidf": tfidf,
@@ -380,6 +410,8 @@ QUERIES: dict[str, Query] = {
     "recommend_flag": recommend_flag,
     "fuse_recommend": fuse_recommend,
     "ratings_project": ratings_project,
+    "ratings_project_sentiment": ratings_project_sentiment,
+    "ratings_project_implicit": ratings_project_implicit,
     "train_test_split": train_test_split,
     "rmse_metric": rmse_metric,
     "als_predict": als_predict,

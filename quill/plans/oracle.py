@@ -1,6 +1,7 @@
 """DuckDB SQL twins of the catalogue queries (same keys, same column names,
 same rounding). The test tables are registered as views named after the
-parquet files. Queries without a SQL twin (ALS, the hash split) are absent.
+parquet files. ALS scores have no SQL twin: their queries return
+what is fixed about them (which pairs are scored, positions, ranges).
 """
 
 from __future__ import annotations
@@ -124,23 +125,46 @@ BUCKET = ("CASE WHEN CAST(coalesce(s.vader_score, -2) AS FLOAT) < 0 THEN -1 "
 FLAG = "CASE WHEN v.recommend = true THEN 1 WHEN v.recommend = false THEN 0 ELSE -1 END"
 
 
-def _fuse_sentiment(r: str, s: str) -> str:
-    return (f"CASE WHEN {r} >= 4 AND {s} = 1 THEN {r} WHEN {r} >= 4 AND ({s} = -1 OR {s} = 0) THEN {r} - 1 "
-            f"WHEN {r} = 3 AND {s} = 0 THEN {r} WHEN {r} = 3 AND {s} = 1 THEN {r} + 1 "
-            f"WHEN {r} = 3 AND {s} = -1 THEN {r} - 1 WHEN {r} >= 1 AND {r} <= 2 AND {s} = -1 THEN {r} "
-            f"WHEN {r} >= 1 AND {r} <= 2 AND {s} = 1 THEN {r} + 1 ELSE {r} END")
+# the two rule tables as rows: (rating, signal, rating after fusion)
+SENTIMENT_RULE = ("rule_s(r, s, f) AS (VALUES (1, 1, 2), (2, 1, 3), (3, 1, 4), (4, 1, 4), (5, 1, 5), "
+                  "(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 0, 3), (5, 0, 4), "
+                  "(1, -1, 1), (2, -1, 2), (3, -1, 2), (4, -1, 3), (5, -1, 4))")
+RECOMMEND_RULE = ("rule_c(r, c, f) AS (VALUES (1, 1, 3), (2, 1, 4), (3, 1, 5), (4, 1, 4), (5, 1, 5), "
+                  "(1, 0, 1), (2, 0, 2), (3, 0, 1), (4, 0, 2), (5, 0, 3), "
+                  "(1, -1, 1), (2, -1, 2), (3, -1, 3), (4, -1, 4), (5, -1, 5))")
 
+FUSED_SENT = [USERS_ITEMS, MEDIAN, RATED, INDEX, ENCODED, SENT, SENTIMENT_RULE,
+              f"es AS (SELECT e.*, {BUCKET} AS sentiment FROM enc e LEFT JOIN sent s "
+              "ON e.user_id = s.user_id AND e.item_id = s.item_id)",
+              "fs AS (SELECT user_id, item_id, rating, user_id_encoded, f AS ratings "
+              "FROM es JOIN rule_s ON rating = r AND sentiment = s)"]
+FUSED_REC = [USERS_ITEMS, MEDIAN, RATED, INDEX, ENCODED, REV, RECOMMEND_RULE,
+             f"er AS (SELECT e.*, {FLAG} AS recommended FROM enc e LEFT JOIN rev v "
+             "ON e.user_id = v.user_id AND e.item_id = v.item_id)",
+             "fr AS (SELECT user_id, item_id, rating, user_id_encoded, f AS ratings "
+             "FROM er JOIN rule_c ON rating = r AND recommended = c)"]
 
-def _fuse_recommend(r: str, c: str) -> str:
-    return (f"CASE WHEN {r} < 3 AND {c} = 1 THEN {r} + 2 WHEN {r} = 3 AND {c} = 1 THEN {r} + 2 "
-            f"WHEN {r} = 3 AND {c} = 0 THEN {r} - 2 WHEN {r} > 3 AND {c} = 0 THEN {r} - 2 "
-            f"WHEN {r} < 3 AND {c} = 0 THEN {r} WHEN {r} > 3 AND {c} = 1 THEN {r} ELSE {r} END")
 
+def _project(value: str, src: str) -> str:
+    return ("SELECT CAST(user_id_encoded AS INTEGER) AS user, CAST(item_id AS INTEGER) AS item, "
+            f"CAST({value} AS INTEGER) AS rating FROM {src}")
 
-FUSED_REC = [USERS_ITEMS, MEDIAN, RATED, INDEX, ENCODED, REV,
-             f"fr AS (SELECT user_id, item_id, rating, user_id_encoded, {_fuse_recommend('rating', 'recommended')} AS ratings "
-             f"FROM (SELECT e.*, {FLAG} AS recommended FROM enc e LEFT JOIN rev v "
-             "ON e.user_id = v.user_id AND e.item_id = v.item_id))"]
+
+def _split(user: str, item: str) -> str:
+    """Tenth of a (user, item) pair, 0-9: the first eight digits of an md5."""
+    return (f"CAST('0x' || substr(md5(CAST({user} AS VARCHAR) || ',' || CAST({item} AS VARCHAR) || ',1001'), 1, 8) "
+            "AS BIGINT) % 10")
+
+
+# the recommender's input with dense item numbers, split in train and test
+ALS_SPLIT = FUSED_REC + [
+    "dense AS (SELECT item_id, dense_rank() OVER (ORDER BY item_id) - 1 AS item FROM fr GROUP BY item_id)",
+    "tri AS (SELECT user_id_encoded AS user, fr.item_id, item, ratings AS rating, "
+    f"{_split('user_id_encoded', 'item')} AS tenth FROM fr JOIN dense USING (item_id))",
+    "train AS (SELECT * FROM tri WHERE tenth < 8)",
+    "seen AS (SELECT t.* FROM tri t WHERE tenth >= 8 AND user IN (SELECT user FROM train) "
+    "AND item IN (SELECT item FROM train))",
+    "ranks AS (SELECT unnest([10, 20, 30, 40, 50, 60]) AS rank)"]
 
 
 def _with(ctes: list[str], body: str) -> str:
@@ -165,6 +189,11 @@ ORACLE: dict[str, str] = {
                       "SELECT id, count(*) AS n_tokens, CAST(count_if(term = '') AS BIGINT) AS n_empty "
                       "FROM toks GROUP BY id"),
     "stopword_filter": _with(DOC_TEXT[:2], "SELECT id, count(*) AS n_kept FROM toks GROUP BY id"),
+    "stopword_table": _with([DOCS, _tokens("alltoks", "docs", "id", "abstract", stop=False),
+                             "words AS (SELECT term FROM alltoks GROUP BY term "
+                             "HAVING 5 * count(DISTINCT id) >= (SELECT count(*) FROM docs))"],
+                            "SELECT id, count(*) AS n_kept FROM alltoks WHERE term NOT IN (SELECT term FROM words) "
+                            "GROUP BY id"),
     "term_freq": _with(DOC_TEXT[:3], "SELECT id, term, tf FROM tf"),
     "doc_freq": _with(DOC_TEXT[:4], "SELECT term, df FROM dfq"),
     "tfidf": _with(DOC_TEXT, "SELECT id, term, tf, df, round(w, 6) AS w FROM wt"),
@@ -178,7 +207,8 @@ ORACLE: dict[str, str] = {
     "title_term_freq": _with(PAGE_TEXT[:1] + PAGE_TEXT[4:6], "SELECT id, term, tf FROM ttf"),
     "title_tfidf": _with(PAGE_TEXT[:8], "SELECT id, term, tf, df, round(w, 6) AS w FROM tw"),
     "title_tfidf_norm": _with(PAGE_TEXT[:10], "SELECT id, term, round(w_norm, 6) AS w_norm FROM tn"),
-    "title_match_scores": _with(PAGE_TEXT, "SELECT abstract_id, title_id, round(cos, 6) AS cos FROM scores"),
+    "title_match_scores": _with(PAGE_TEXT, "SELECT abstract_id, title_id, round(cos, 6) AS cos FROM scores "
+                                "WHERE abstract_id % 50 = 0"),
     "title_match_top1": _with(PAGE_TEXT + [TOP1], "SELECT abstract_id, best_title_id, round(cos, 6) AS cos, "
                               "match FROM top"),
     "title_match_accuracy": _with(PAGE_TEXT + [TOP1],
@@ -204,17 +234,25 @@ ORACLE: dict[str, str] = {
     "sentiment_bucket": _with([USERS_ITEMS, SENT],
                               f"SELECT u.user_id, u.item_id, s.vader_score, {BUCKET} AS sentiment FROM ui u "
                               "LEFT JOIN sent s ON u.user_id = s.user_id AND u.item_id = s.item_id"),
-    "fuse_sentiment": _with([USERS_ITEMS, MEDIAN, RATED, INDEX, ENCODED, SENT],
-                            "SELECT user_id, item_id, rating, user_id_encoded, "
-                            f"{_fuse_sentiment('rating', 'sentiment')} AS ratings "
-                            f"FROM (SELECT e.*, {BUCKET} AS sentiment FROM enc e LEFT JOIN sent s "
-                            "ON e.user_id = s.user_id AND e.item_id = s.item_id)"),
+    "fuse_sentiment": _with(FUSED_SENT, "SELECT user_id, item_id, rating, user_id_encoded, ratings FROM fs"),
     "recommend_flag": _with([USERS_ITEMS, REV],
                             f"SELECT u.user_id, u.item_id, {FLAG} AS recommended FROM ui u "
                             "LEFT JOIN rev v ON u.user_id = v.user_id AND u.item_id = v.item_id"),
     "fuse_recommend": _with(FUSED_REC, "SELECT user_id, item_id, rating, user_id_encoded, ratings FROM fr"),
-    "ratings_project": _with(FUSED_REC, "SELECT CAST(user_id_encoded AS INTEGER) AS user, "
-                             "CAST(item_id AS INTEGER) AS item, CAST(ratings AS INTEGER) AS rating FROM fr"),
+    "ratings_project": _with(FUSED_REC, _project("ratings", "fr")),
+    "ratings_project_sentiment": _with(FUSED_SENT, _project("ratings", "fs")),
+    "ratings_project_implicit": _with(FUSED_REC[:5], _project("rating", "enc")),
+    "train_test_split": ("SELECT CAST(o_custkey AS INTEGER) AS user, CAST(l_partkey AS INTEGER) AS item, "
+                         "CAST(sum(l_quantity) AS FLOAT) AS rating, "
+                         f"({_split('o_custkey', 'l_partkey')}) < 8 AS train "
+                         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey"),
+    "als_predict": _with(ALS_SPLIT, "SELECT CAST(user AS INTEGER) AS user, item_id, CAST(rating AS FLOAT) AS rating, "
+                         "true AS predicted FROM seen"),
+    "als_rmse": _with(ALS_SPLIT, "SELECT 10 AS rank, count(*) AS n_test, true AS in_range FROM seen"),
+    "als_topn": _with(ALS_SPLIT, "SELECT rank, CAST(u.user AS INTEGER) AS user, CAST(p.pos AS INTEGER) AS pos, "
+                      "true AS known_item, true AS in_order FROM ranks, (SELECT DISTINCT user FROM train WHERE user < 8) u, "
+                      "(SELECT unnest(range(1, 1 + least(10, count(DISTINCT item)))) AS pos FROM train) p"),
+    "als_rank_sweep": _with(ALS_SPLIT, "SELECT rank, count(*) AS n_test, true AS in_range FROM ranks, seen GROUP BY rank"),
     "rmse_metric": ("SELECT round(sqrt(avg((l.l_quantity - m.prediction) * (l.l_quantity - m.prediction))), 6) "
                     "AS rmse FROM lineitem l JOIN (SELECT l_partkey, avg(l_quantity) AS prediction "
                     "FROM lineitem GROUP BY l_partkey) m ON l.l_partkey = m.l_partkey"),

@@ -3,7 +3,7 @@
 JSON lines and CSV use Spark's own readers (split per file block, column
 pruning through the declared schema). Python-literal lines (``{'a': None,
 'b': True, 'c': u'x'}``), which no Spark reader parses, are read as text and
-decoded per Arrow batch by ``mapInPandas`` with :func:`ast.literal_eval`;
+decoded per Arrow batch by ``mapInArrow`` with :func:`ast.literal_eval`;
 only that small per-row helper runs in Python.
 """
 
@@ -12,10 +12,11 @@ from __future__ import annotations
 import ast
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str,
@@ -80,10 +81,12 @@ def _to_field(value, dtype: T.DataType):
 
 
 def _literal_decoder(schema: T.StructType, permissive: bool):
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    arrow_schema = to_arrow_schema(schema)   # declared types throughout: no integer ever becomes a float
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for line in pdf["value"]:
+            for line in batch.column(0).to_pylist():
                 try:
                     obj = ast.literal_eval(line)
                     rows.append(_to_field(obj, schema))
@@ -91,7 +94,7 @@ def _literal_decoder(schema: T.StructType, permissive: bool):
                     if not permissive:
                         raise
                     rows.append({f.name: None for f in schema.fields})
-            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
     return decode
 
 
@@ -102,7 +105,7 @@ def read_python_literals(spark: SparkSession, path: str, schema: T.StructType,
     null; values are converted to the declared field types. Blank lines are
     skipped. ``mode`` as in :func:`read_json_lines`."""
     lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
-    return lines.mapInPandas(_literal_decoder(schema, mode.upper() == "PERMISSIVE"), schema)
+    return lines.mapInArrow(_literal_decoder(schema, mode.upper() == "PERMISSIVE"), schema)
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

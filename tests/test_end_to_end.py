@@ -38,7 +38,7 @@ def test_title_matching_from_files(spark, tmp_path):
     stop_df = IO.read_stop_words(spark, str(stop))
     body = TX.tfidf_index(docs, "id", "abstract", stop=stop_df)
     title = TX.query_index(docs, docs, "id", "title", "abstract", stop=stop_df)
-    best = SM.best_match_pruned(body, title, out=("abstract_id", "title_id"), max_pairs_per_term=1)
+    best = SM.best_match_bounded(body, title, out=("abstract_id", "title_id"))
     keys = docs.select(F.col("id").alias("abstract_id"))
     top = SM.match_indicator(keys.join(best, "abstract_id", "left"), "abstract_id", "best")
     acc = SM.match_accuracy(top, TX.corpus_size(docs)).collect()[0]

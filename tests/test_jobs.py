@@ -33,11 +33,13 @@ def test_text_jobs(spark, tmp_path):
                "label STRING, value DOUBLE")
     assert acc[0].value == pytest.approx(100.0)
     m = _csv(spark, jobs.category_matrix(spark, str(papers), str(stop), str(tmp_path / "c")),
-             "category_1 STRING, `cs.DB` DOUBLE, `cs.IR` DOUBLE")
-    assert {r.category_1: r["cs.DB"] for r in m}["cs.DB"] == pytest.approx(1.0)
+             "category_1 STRING, category_2 STRING, value DOUBLE")
+    value = {(r.category_1, r.category_2): r.value for r in m}
+    assert value["cs.DB", "cs.DB"] == pytest.approx(1.0)
+    assert value.get(("cs.DB", "cs.IR")) == value.get(("cs.IR", "cs.DB"))
 
 
-def test_ratings_and_recommend_jobs(spark, tmp_path):
+def test_ratings_and_recommend_jobs(spark, tmp_path, monkeypatch):
     users = tmp_path / "users.txt"
     lines = []
     for u in range(6):
@@ -51,11 +53,15 @@ def test_ratings_and_recommend_jobs(spark, tmp_path):
     rev = tmp_path / "reviews.txt"
     rev.write_text("{'user_id': 'u0', 'reviews': [{'item_id': '1', 'recommend': True}]}\n")
     out = tmp_path / "ratings"
+    scans = []
+    decode = jobs.IO.read_python_literals
+    monkeypatch.setattr(jobs.IO, "read_python_literals", lambda *a, **k: scans.append(a[1]) or decode(*a, **k))
     jobs.ratings(spark, str(users), str(sent), str(rev), str(out))
     fused = _csv(spark, str(out / "recommend_ratings"), jobs.FUSED)
+    assert scans == [str(users), str(rev)]
     assert len(fused) == 30 and all(1 <= r.ratings <= 5 for r in fused)
     errors = _csv(spark, jobs.recommend(spark, str(out), str(tmp_path / "rec"), ranks=(2, 3), users=2, n=3),
-                  "rank INT, rmse DOUBLE")
+                  "rank INT, n_test LONG, rmse DOUBLE")
     assert sorted(r["rank"] for r in errors) == [2, 3]
     recs = spark.read.option("header", True).csv(str(tmp_path / "rec" / "top_recommendations")).collect()
     assert {int(r["rank"]) for r in recs} == {2, 3} and len(recs) == 2 * 2 * 3

@@ -108,7 +108,7 @@ def test_fused_ratings_csv_hand_over(spark, tmp_path):
     back = IO.read_csv_typed(spark, out, "user_id BIGINT, item_id BIGINT, rating INT, user_id_encoded INT, "
                              "ratings INT", header=False)
     got = rows(RC.as_triples(back, "user_id_encoded", "item_id", "ratings"))
-    assert got == rows(C.rating_source(spark, "/root/testdata/sf0.001", "recommend"))
+    assert got == rows(RC.as_triples(fused, "user_id_encoded", "item_id", "ratings"))
     assert len(got) == fused.count()
 
 
@@ -118,3 +118,11 @@ def test_csv_columns_by_header_name(spark, tmp_path):
     df = IO.read_csv_columns(spark, str(p), {"user_id": "string", "item_id": "string", "vader_score": "double"})
     assert df.columns == ["user_id", "item_id", "vader_score"]
     assert rows(df) == [("u1", "10", 0.5), ("u2", "11", -0.25)]
+
+
+def test_python_literals_keep_64_bit_integers(spark, tmp_path):
+    p = tmp_path / "big.txt"
+    p.write_text("{'a': 1152921504606846977}\n{'a': None}\n{'a': 3, 'b': [1, None, 9007199254740993]}\n")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.ArrayType(T.LongType()))])
+    got = [tuple(r) for r in IO.read_python_literals(spark, str(p), schema).collect()]
+    assert got == [(1152921504606846977, None), (None, None), (3, [1, None, 9007199254740993])]

@@ -188,19 +188,44 @@ def test_pivot_matrix_fills_missing_pairs(spark):
     assert wide == {"a": (1.0, 0.0), "b": (0.0, 1.0)}
 
 
-@pytest.mark.parametrize("sf,max_pairs,depth", [("0.001", 10**9, 3), ("0.001", 5000, 3), ("0.001", 100, 3),
-                                                ("0.001", 1, 3), ("0.001", 100, 1), ("0.01", 2000, 3)])
-def test_pruned_top1_equals_full_enumeration(spark, sf, max_pairs, depth):
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_bounded_top1_equals_full_enumeration(spark, sf):
     from quill.plans import catalogue as C
     _, body, title = C._title_vectors(spark, f"/root/testdata/sf{sf}")
+    check_bounded(body, title)
+
+
+def check_bounded(body, title):
     ids = ("abstract_id", "title_id")
     full = SM.best_match(SM.cosine_pairs(body, title, "id", "id", "term", "w_norm", ids, normalized=True),
                          None, *ids, "cos")
     want = {r.abstract_id: (r.best, round(r.cos, 9)) for r in full.collect()}
-    got = SM.best_match_pruned(body, title, "id", "id", "term", "w_norm", ids, max_pairs_per_term=max_pairs,
-                               max_depth=depth)
-    have = {r.abstract_id: (r.best, None if r.cos is None else round(r.cos, 9)) for r in got.collect()}
-    assert {k: v for k, v in have.items() if v[0] is not None} == want
+    got = SM.best_match_bounded(body, title, "id", "id", "term", "w_norm", ids).collect()
+    assert {r.abstract_id: (r.best, round(r.cos, 9)) for r in got} == want
+
+
+def test_bounded_top1_with_one_dominant_term(spark):
+    """Nearly every vector has the common term; some have nothing else, some have no
+    right vector of their own id, some tie."""
+    rng = random.Random(11)
+    left, right = [], []
+    for i in range(400):
+        common = [("all", 0.05 + 0.05 * (i % 3))] if i % 17 else []
+        own = [(f"t{rng.randrange(60)}", rng.random()) for _ in range(rng.randrange(0, 4))]
+        left += [(i, t, w) for t, w in dict(common + own).items()]
+        right += [(i + 5, t, w) for t, w in dict(common + own[:2]).items()]
+    schema = "id long, term string, w_norm double"
+    check_bounded(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema))
+
+
+def test_category_matrix_of_new_and_disjoint_categories(spark):
+    tf = spark.createDataFrame([("it", "a", 2), ("it", "b", 1), ("de", "a", 1), ("nl", "z", 4)],
+                               "category string, term string, tf long")
+    pairs = {(r.category_1, r.category_2): r.value for r in SM.similarity_matrix(tf).collect()}
+    assert set(pairs) == {("it", "it"), ("de", "de"), ("nl", "nl"), ("it", "de"), ("de", "it")}
+    assert pairs["it", "de"] == pairs["de", "it"] == pytest.approx(2 / 5 ** 0.5)
+    wide = {r.category_1: r.asDict() for r in SM.pivot_matrix(SM.similarity_matrix(tf)).collect()}
+    assert set(wide["nl"]) == {"category_1", "it", "de", "nl"} and wide["nl"]["it"] == 0.0 and wide["nl"]["nl"] == 1.0
 
 
 def test_sparse_vectors_equal_dense_slots(spark):
