@@ -82,14 +82,15 @@ class ChunkEncoder:
 
     def _letters(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks in a row, and where each ends."""
-        ids = np.array(self.tokenizer.encode(" ".join(chunks), add_special_tokens=False).ids, np.uint32)
+        whole = self.tokenizer.encode_batch_fast([" ".join(chunks)], add_special_tokens=False)[0]   # no offsets
+        ids = np.array(whole.ids, np.uint32)
         cuts = np.flatnonzero(self.ends_word[ids]) + 1
         if len(cuts) == len(chunks) and cuts[-1] == len(ids):
             return ids, cuts
         return self._others(chunks)         # lower-casing made some chunk more than letters
 
     def _others(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        each = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         return np.array([i for ids in each for i in ids], np.uint32), np.cumsum([len(ids) for ids in each])
 
     def _learn(self) -> None:
