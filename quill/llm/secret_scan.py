@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quill.llm.io import written
+
 #: Base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -175,7 +177,7 @@ def labelled_values(docs: DataFrame, sample: int = SAMPLE) -> dict[str, list[str
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())],
                                              ["kind", "value"])
 
-    found = docs.select("text").mapInArrow(find, "kind string, value string").distinct()
+    found = written(docs.select("text").mapInArrow(find, "kind string, value string").distinct())   # one scan for all kinds
     per_kind = None
     for kind in LEAST:
         top = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample)
