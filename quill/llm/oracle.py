@@ -55,6 +55,29 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id =
 FROM d JOIN least USING (doc_id) LEFT JOIN size USING (doc_id)
 """
 
+OP3 = """
+WITH d AS (  -- bytes as hex digits, so that any cut of them is text
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+named AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, n - 399)) AS i FROM d WHERE n >= 400)),
+again AS (SELECT doc_id, i FROM named QUALIFY count(*) OVER (PARTITION BY k) > 1),
+gaps AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 400 AS joins FROM again),
+runs AS (
+  SELECT doc_id, i, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM gaps),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM runs GROUP BY doc_id, g),
+pieces AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM spans
+  UNION ALL SELECT doc_id, max(b), any_value(n) FROM spans JOIN d USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS k
+  FROM pieces JOIN d USING (doc_id) GROUP BY doc_id),
+total AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN total USING (doc_id)
+"""
+
 OP9 = rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 named AS (
@@ -72,6 +95,7 @@ FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 
 ORACLE = {
     "op2_near_duplicates": OP2,
+    "op3_suffix_dedup": OP3,
     "op7_quality_rules": OP7,
     "op9_substring_dedup": OP9,
 }
