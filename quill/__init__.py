@@ -4,9 +4,9 @@ top-k) and recommendation (play-time ratings, fusion with sentiment or a
 recommend flag, user indexing, implicit ALS).
 
 Subpackages: ``functions`` (column expressions), ``operators`` (DataFrame in,
-DataFrame out), ``sources`` (file readers and writers), ``streaming`` (the
-daily review aggregate on a stream), ``plans`` (test-table views, the query
-catalogue and its DuckDB twins).
+DataFrame out), ``sources`` (file readers and writers), ``plans`` (test-table
+views, the query catalogue and its DuckDB twins) and, optional, ``llm`` (operators
+for training-data pipelines).
 """
 
 __version__ = "0.1.0"

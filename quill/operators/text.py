@@ -6,15 +6,16 @@ on ``term`` (see :mod:`quill.operators.similarity`).
 
 Plan at scale (per corpus): the documents are hash-partitioned by id once
 (:func:`by_document`; one shuffle of the raw text, which is smaller than the
-``(id, term, tf)`` rows it turns into). Tokenising, term frequency and the
-per-document L2 norm (a window over ``id``) then run inside that partitioning
-without another exchange; a document is one input row, so no per-document
-step can be more skewed than the input itself. Document frequency is a
+``(id, term, tf)`` rows it turns into). Tokenising and term frequency then run
+inside that partitioning without another exchange; a document is one input row, so
+no per-document step can be more skewed than the input itself. Document frequency is a
 partial/final hash aggregate on ``term`` (map-side combine, so a term present
 everywhere is not a hot key), and the corpus size is a scalar subquery (no
 driver action, no cross join). The tf-df equi-join on ``term`` is left to the
-planner: AQE makes it a broadcast join when the measured vocabulary is small
-and splits hot-term partitions of a sort-merge join otherwise.
+planner. While the measured vocabulary is small it is a broadcast join, and the
+L2 norm (a window over ``id``) needs no exchange either. With a larger vocabulary
+it is a sort-merge join, whose hot-term partitions AQE splits: then every tf row
+is shuffled by term, and once more by id for the norm.
 """
 
 from __future__ import annotations

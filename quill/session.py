@@ -1,8 +1,9 @@
 """Session helpers for tests, the bench and the driver contract.
 
-Library operators never create a session and never run an action; they take
-DataFrames and return DataFrames. Only tests, ``bench.py`` and
-``__spark_entry__.py`` build a session through :func:`local_session`.
+Library operators never create a session: they take DataFrames and return
+DataFrames. Those that cut lineage (checkpoints, fits, written intermediates) run
+jobs while they are called; the README lists them. Only tests and ``bench.py``
+build a session, through :func:`local_session`.
 """
 
 from __future__ import annotations
