@@ -41,6 +41,7 @@ SLICE_CHARS = 1 << 20
 
 _END = "\n"                              # no chunk holds white space
 _CONTROL_GAPS = "\x1c\x1d\x1e\x1f"      # white space for str.split, not for the tokenizer
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _GAPS = re.compile(r"[ \t\n\r]+")
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -64,11 +65,17 @@ class ChunkEncoder:
 
     A chunk of letters is one unit of the tokenizer's splitter, and so is a tail of
     punctuation after it; such chunks are put together from letters and tail, and
-    many letter chunks are encoded in one call, cut at the ids that end a word."""
+    many letter chunks are encoded in one call, cut at the ids that end a word. Lower
+    case Latin-1 letters are what the normaliser and the splitter leave as they are, so
+    a copy of the tokenizer without these steps does for them."""
 
     def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.plain = Tokenizer.from_file(tokenizer_path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -82,32 +89,30 @@ class ChunkEncoder:
 
     def _letters(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks in a row, and where each ends."""
-        whole = self.tokenizer.encode_batch_fast([" ".join(chunks)], add_special_tokens=False)[0]   # no offsets
+        whole = self.plain.encode_batch_fast([" ".join(chunks)], add_special_tokens=False)[0]   # no offsets
         ids = np.array(whole.ids, np.uint32)
-        cuts = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(cuts) == len(chunks) and cuts[-1] == len(ids):
-            return ids, cuts
-        return self._others(chunks)         # lower-casing made some chunk more than letters
+        return ids, np.flatnonzero(self.ends_word[ids]) + 1
 
     def _others(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         each = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         return np.array([i for ids in each for i in ids], np.uint32), np.cumsum([len(ids) for ids in each])
 
     def _learn(self) -> None:
-        numbers, fresh, base = self.numbers, self.numbers.fresh, len(self.size)
+        numbers, fresh, base, latin = self.numbers, self.numbers.fresh, len(self.size), _LATIN.fullmatch
         # parallel lists: numbers of letter chunks and their letters, and so on
         letters_n, letters, others_n, others, lower_n, lower, tailed_n, stems, tails = ([] for _ in range(9))
         for n, chunk in enumerate(fresh, base):     # grows by the parts of other chunks
-            if chunk.isalpha():
-                if chunk.islower() or not chunk.isascii():
+            if latin(chunk):
+                low = chunk.lower()
+                if low == chunk:
                     letters_n.append(n)
                     letters.append(chunk)
                 else:
                     lower_n.append(n)
-                    lower.append(numbers[chunk.lower()])
+                    lower.append(numbers[low])
                 continue
             stem = chunk.rstrip(punctuation)
-            if stem != chunk and stem.isalpha():
+            if stem != chunk and latin(stem):
                 tailed_n.append(n)
                 stems.append(numbers[stem])
                 tails.append(numbers[chunk[len(stem):]])

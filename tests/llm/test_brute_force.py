@@ -279,3 +279,65 @@ def test_quality_filter_keeps_rows(docs_of):
     kept = quality.quality_filter(docs_of(rows))
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1]
     assert "Python" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fuzzy_notices(docs_of):
+    from quill.llm import license as lic
+    rows = {1: "x y Licensd under the Apache Licence, Version 2.0 z", 2: "Released under the MIT License.",
+            3: "licensed and under cover", 4: "All rihgts reserved", 5: "a mit\nlicense b MIT-license"}
+    spans = by_id(lic.scan_licenses(docs_of(list(rows.items()))))
+    assert [(f.label, f.start, f.end, f.edits) for f in spans[1].fuzzy] == [("apache-2.0", 2, 10, 2)]
+    assert spans[3].fuzzy == [] and spans[4].fuzzy == []          # a swap is two edits, one is allowed
+    got = by_id(lic.license_summary(lic.scan_licenses(docs_of(list(rows.items())))))
+    assert (got[1].n_base, got[1].labels, got[1].score) == (0, "apache-2.0", 0.8)
+    assert (got[2].n_base, got[2].labels, got[2].score) == (1, "mit", 1.0)
+    assert (got[5].n_base, got[5].first_word, got[5].last_word) == (2, 1, 4)
+    assert got[3].labels == "" and got[3].score == 0
+
+
+def test_seed_parts_make_up_the_notice():
+    from quill.llm.license import NOTICES, split_parts
+    for notice, _, edits in NOTICES:
+        parts = split_parts(notice, edits)
+        assert "".join(p for _, p in parts) == notice and len(parts) == edits + 1
+        assert all(notice[a:a + len(p)] == p for a, p in parts)
+
+
+def test_language_models_against_plain_counts(spark, docs_of):
+    from math import log
+
+    from quill.llm import lm_score
+    rng = random.Random(6)
+    rows = [(i, " ".join(random_words(rng, rng.randrange(0, 40), 15)).upper()) for i in range(40)] + [(40, None)]
+    target = spark.createDataFrame([(i,) for i in range(0, 40, 3)], "doc_id long")
+    docs = docs_of(rows)
+    got = by_id(lm_score.score(docs, lm_score.train_models(docs, target)))
+    words = {i: (t or "").lower().split() for i, t in rows}
+    size = len({w for ws in words.values() for w in ws}) + 1
+
+    def loss(ids, own):
+        one, two = Counter(), Counter()
+        for i in ids:
+            one.update(words[i])
+            two.update(zip(words[i], words[i][1:]))
+        n, out = sum(one.values()), 0.0
+        for j, w in enumerate(own):
+            p = (one[w] + 1) / (n + size)
+            if j:
+                p = 0.6 * two[own[j - 1], w] / max(1, one[own[j - 1]]) + 0.4 * p
+            out -= log(p)
+        return out / max(1, len(own))
+
+    for i, own in words.items():
+        want = (loss(range(0, 40, 3), own), loss(words, own))
+        assert got[i].n_words == len(own)
+        assert (got[i].target_loss, got[i].background_loss) == pytest.approx(want)
+        assert got[i].score == pytest.approx(want[0] - want[1])
+
+
+def test_pu_risk_steps_back_when_negative():
+    from quill.llm.toxicity import Classifier
+    fitted = Classifier._slopes(np.array([0.2, 0.2, 0.9, 0.9]), 2, 2, 0.1)
+    assert (fitted[:2] == -0.05).all() and (fitted[2:] > 0).all()
+    over = Classifier._slopes(np.array([0.999, 0.999, 0.01, 0.01]), 2, 2, 0.5)
+    assert (over[:2] > 0).all() and (over[2:] < 0).all()
