@@ -18,8 +18,6 @@ TITLE_PATTERN = r"(?is)<title>(.*?)</title>"
 ARTICLE_PATTERN = r"(?is)<article>(.*?)</article>"
 TAG_PATTERN = r"<[^>]+>"
 
-LANGS = ("de", "en", "es", "fr")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
