@@ -28,7 +28,7 @@ m AS (
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 100 * n_symbols > 10 * n_words
-       OR 100 * n_stop < 6 * n_words OR 100 * n_dup_lines > 40 * n_lines OR 100 * n_same > 30 * n_words) AS kept
+       OR 100 * n_stop < 2 * n_words OR 100 * n_dup_lines > 40 * n_lines OR 100 * n_same > 30 * n_words) AS kept
 FROM b
 """
 

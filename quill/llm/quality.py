@@ -46,7 +46,7 @@ RULES = (
     Rule("short_words", "word_chars", 1, 2, "n_words", above=False),
     Rule("long_words", "word_chars", 1, 12, "n_words"),
     Rule("symbols", "n_symbols", 100, 10, "n_words"),
-    Rule("few_stop_words", "n_stop_words", 100, 6, "n_words", above=False),
+    Rule("few_stop_words", "n_stop_words", 100, 2, "n_words", above=False),
     Rule("duplicate_lines", "n_dup_lines", 100, 40, "n_lines"),
     Rule("equal_neighbours", "n_same_as_previous", 100, 30, "n_words"),
 )
