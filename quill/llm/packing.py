@@ -70,10 +70,9 @@ class ChunkEncoder:
     a copy of the tokenizer without these steps does for them."""
 
     def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.plain = Tokenizer.from_file(tokenizer_path)
-        self.plain.normalizer = normalizers.Sequence([])
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
