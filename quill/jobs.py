@@ -27,8 +27,8 @@ from quill.operators import recommend as RC
 from quill.operators import reviews as RV
 from quill.operators import similarity as SM
 from quill.operators import text as TX
-from quill.session import require_checkpoint_dir
 from quill.sources import files as IO
+from quill.sources.scratch import written
 
 PAPERS = "id STRING, title STRING, abstract STRING, categories STRING"
 REVIEWS = "asin STRING, reviewTime STRING, overall DOUBLE"
@@ -76,9 +76,7 @@ def title_match(spark: SparkSession, papers: str, stopwords: str, out: str) -> s
     docs, stop = _papers(spark, papers, stopwords)
     body = TX.tfidf_index(docs, "id", "abstract", stop=stop)
     title = TX.query_index(docs, docs, "id", "title", "abstract", stop=stop)
-    require_checkpoint_dir(spark)
-    body = body.select("id", "term", "w_norm").checkpoint(eager=True)
-    title = title.select("id", "term", "w_norm").checkpoint(eager=True)
+    body, title = (written(v.select("id", "term", "w_norm")) for v in (body, title))
     best = SM.best_match_bounded(body, title, out=("abstract_id", "title_id"))
     keys = docs.select(F.col("id").alias("abstract_id"))
     top = SM.match_indicator(keys.join(best, "abstract_id", "left"), "abstract_id", "best")
@@ -95,8 +93,7 @@ def category_matrix(spark: SparkSession, papers: str, stopwords: str, out: str)
 
 def ratings(spark: SparkSession, users_items: str, sentiments: str, user_reviews: str, out: str) -> str:
     # the literal files are parsed once: median, index and all outputs read the copy
-    require_checkpoint_dir(spark)
-    items = RT.explode_items(IO.read_python_literals(spark, users_items, USERS_ITEMS)).checkpoint(eager=True)
+    items = written(RT.explode_items(IO.read_python_literals(spark, users_items, USERS_ITEMS)))
     rated = RT.playtime_rating(items).select("user_id", "item_id", "rating")
     encoded = RT.encode_users(rated, RT.index_users(items))
     _out(encoded.select("item_id", "user_id", "rating", "user_id_encoded"), out, "encoded_ratings")

@@ -5,7 +5,7 @@ Plan at scale: the item median is a partial/final ``percentile_approx``
 aggregate (sketches merge map-side, so a hot item is not collected into one
 task) joined back on the item key; both fusions are left equi-joins on
 ``(user, item)``. The user index is a distributed global ranking (range
-partitioned sort + per-partition offsets, checkpointed once), never a labels
+partitioned sort + per-partition offsets, written once), never a labels
 array on the driver.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.functions import ratings as R
-from quill.session import require_checkpoint_dir
+from quill.sources.scratch import written
 
 
 def explode_items(users: DataFrame, user_col: str = "user_id", items_col: str = "items",
@@ -50,16 +50,14 @@ def global_index(df: DataFrame, order: list, out: str = "idx") -> DataFrame:
     ``order`` (which must break every tie).
 
     Distributed: a range-partitioned sort tags each row with its partition; that
-    tagged result is checkpointed (one job, to the session's checkpoint folder),
+    tagged result is written (one job, to the shared scratch folder),
     because the counts and the rows must come from the *same* range
     partitioning, and two separately planned sorts may sample different range
     bounds. Rows are numbered within each range. The per-partition counts
     are summed into offsets over a table with one row per partition, which is
     broadcast (its size is bounded by the number of partitions).
     """
-    require_checkpoint_dir(df.sparkSession)
-    tagged = (df.orderBy(*order)
-              .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
+    tagged = written(df.orderBy(*order).withColumn("_pid", F.spark_partition_id()))
     tagged = tagged.withColumn(
         "_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))

@@ -15,7 +15,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quill.session import require_checkpoint_dir
+from quill.sources.scratch import written
 
 # The settings of the original runs.
 DEFAULT_RANKS = (10, 20, 30, 40, 50, 60)
@@ -109,12 +109,11 @@ def rank_sweep(triples: DataFrame, ranks: Iterable[int] = DEFAULT_RANKS, users:
     Returns ``(errors, recommendations)``: ``errors`` is ``(rank, n_test, rmse)``,
     one row per rank; ``recommendations`` is the union of :func:`top_n` per
     rank for ``users`` (None when no users are given). The triples are
-    checkpointed once (to the session's checkpoint folder); train and test
+    written once (to the shared scratch folder); train and test
     are filters over that copy, read by every fit of the loop; each fit is a
     Spark job of its own.
     """
-    require_checkpoint_dir(triples.sparkSession)
-    train, test = hash_split(triples.checkpoint(eager=True))
+    train, test = hash_split(written(triples))
     errors, recs = None, None
     for rank in ranks:
         model = fit_implicit(train, rank=rank, **fit_kwargs)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quill.functions.text import safe_divide
-from quill.session import require_checkpoint_dir
+from quill.sources.scratch import written
 
 
 def _side(vectors: DataFrame, id_col: str, term: str, w: str, prefix: str) -> DataFrame:
@@ -82,7 +82,7 @@ def best_match(scores: DataFrame, keys: DataFrame | None = None, key: str = "id_
 
 def best_match_bounded(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
                        term: str = "term", w: str = "w_norm", out: tuple[str, str] = ("id_1", "id_2"),
-                       digits: int = 9, salts: int = 8) -> DataFrame:
+                       digits: int = 9) -> DataFrame:
     """Per left vector, the right vector with the highest dot product:
     ``(out[0], best, cos)`` -- the result of :func:`best_match` over
     :func:`cosine_pairs` with ``normalized=True``, without the pairs that cannot
@@ -98,9 +98,9 @@ def best_match_bounded(left: DataFrame, right: DataFrame, left_id: str = "id", r
     3. Right vectors that have a leading term are candidates and are scored over
        all their terms.
 
-    A term's right rows are dealt to ``salts`` join keys by hash of the id, so a
-    very common term is no single task. A vector without a positive score is not
-    in the result. Both inputs are read several times: pass checkpointed ones."""
+    The joins are equi-joins of two large sides, whose hot terms adaptive execution
+    splits. A vector without a positive score is not in the result. Both inputs are
+    read several times: pass tables or written intermediates."""
     a, b = out
     lhs = _side(left, left_id, term, w, "l").withColumnRenamed("l_id", a)
     rhs = _side(right, right_id, term, w, "r").withColumnRenamed("r_id", b)
@@ -112,9 +112,7 @@ def best_match_bounded(left: DataFrame, right: DataFrame, left_id: str = "id", r
     rest = F.sum(F.col("l_w") * F.col("_most")).over(order.rowsBetween(0, Window.unboundedFollowing))
     leading = (lhs.join(top, "_term").withColumn("_rest", rest).join(guess, a, "left")
                .where(F.col("_rest") >= F.coalesce("_least", F.lit(0.0)) - 10.0 ** (1 - digits)))
-    leading = leading.select(a, "_term", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    dealt = rhs.select(b, "_term", F.pmod(F.xxhash64(b), F.lit(salts)).cast("int").alias("_salt"))
-    pairs = leading.join(dealt, ["_term", "_salt"]).select(a, b).distinct()
+    pairs = leading.select(a, "_term").join(rhs.select(b, "_term"), "_term").select(a, b).distinct()
     scored = (pairs.join(rhs, b).join(lhs, [a, "_term"]).groupBy(a, b)
               .agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
     return best_match(scored, None, a, b, "cos", digits)
@@ -155,10 +153,9 @@ def similarity_matrix(vectors: DataFrame, group_col: str = "category", term: str
 
     Each unordered pair is computed once and mirrored. The group vectors (one
     row per group and term, far smaller than the corpus) feed both join sides and
-    both norm aggregates, so they are checkpointed once (one job) rather than
-    recomputed from the corpus four times."""
-    require_checkpoint_dir(vectors.sparkSession)
-    vectors = vectors.select(group_col, term, value).checkpoint(eager=True)
+    both norm aggregates, so they are written once (one job) rather than recomputed
+    from the corpus four times."""
+    vectors = written(vectors.select(group_col, term, value))
     l = _side(vectors, group_col, term, value, "l")
     r = _side(vectors, group_col, term, value, "r")
     dots = (l.join(r, (l["_term"] == r["_term"]) & (l["l_id"] <= r["r_id"]))

@@ -18,7 +18,7 @@ from quill.operators import reviews as RV
 from quill.operators import similarity as SM
 from quill.operators import text as TX
 from quill.plans import fixtures as FX
-from quill.session import require_checkpoint_dir
+from quill.sources.scratch import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,7 +91,7 @@ def doc_freq(spark, d):
 def stopword_table(spark, d):
     """Stop words as a table: the terms that a fifth of the documents have."""
     docs, toks = _doc_tokens(spark, d, stop=False)
-    toks = toks.checkpoint(eager=True)
+    toks = written(toks)
     df = TX.document_frequency(toks.distinct())
     words = df.where(5 * F.col("df") >= TX.corpus_size(docs)).select("term")
     return TX.remove_stop_words(toks, words).groupBy("id").agg(F.count(F.lit(1)).alias("n_kept"))
@@ -101,8 +101,7 @@ def _doc_tf(spark, d):
     """Documents, and ``(id, term, tf)`` written once: df, weights and vocabulary
     all read the copy, so the corpus is tokenised once."""
     docs, toks = _doc_tokens(spark, d)
-    require_checkpoint_dir(spark)
-    return docs, TX.term_frequency(toks).checkpoint(eager=True)
+    return docs, written(TX.term_frequency(toks))
 
 
 def _doc_weights(spark, d):
@@ -163,18 +162,15 @@ def title_match_scores(spark, d):
 
 
 def _title_vectors(spark, d):
-    """Body and title unit vectors, each written once. The body df is read back
-    from the body vectors (each row carries its term's df), so the title side does
-    not tokenise the bodies again."""
+    """Body and title unit vectors. The body term counts are written once, so bodies
+    are tokenised once; so are the vectors, which the match reads several times."""
     pages, body_tf, title_tf = _page_tf(spark, d)
     n = TX.corpus_size(pages)
-    body_df = TX.document_frequency(body_tf)
-    body = TX.l2_normalize(TX.tfidf(body_tf, body_df, n))
-    require_checkpoint_dir(spark)
-    body = body.select("id", "term", "df", "w_norm").checkpoint(eager=True)
-    body_df = body.select("term", "df").distinct()
-    title = TX.l2_normalize(TX.query_tfidf(title_tf, body_df, n), zero_norm="zero")
-    return pages, body, title.select("id", "term", "w_norm").checkpoint(eager=True)
+    body_tf = written(body_tf)
+    df = TX.document_frequency(body_tf)
+    body = TX.l2_normalize(TX.tfidf(body_tf, df, n))
+    title = TX.l2_normalize(TX.query_tfidf(title_tf, df, n), zero_norm="zero")
+    return pages, *(written(v.select("id", "term", "w_norm")) for v in (body, title))
 
 
 def _title_top1(spark, d):
@@ -321,14 +317,13 @@ def rmse_metric(spark, d):
 
 def als_input(spark, d, source="recommend"):
     """ALS triples with a dense item index, and the index to map items back.
-    Written once to the checkpoint folder: fits, predictions and tests all read
+    Written once to the scratch folder: fits, predictions and tests all read
     that copy."""
-    require_checkpoint_dir(spark)
     rated, value = rating_source(spark, d, source)
-    rated = rated.checkpoint(eager=True)
+    rated = written(rated)
     items = RC.index_ids(rated, "item_id", "item")
     triples = RC.as_triples(rated.join(items, "item_id"), "user_id_encoded", "item", value)
-    return triples.checkpoint(eager=True), items
+    return written(triples), items
 
 
 def _fitted(spark, d, rank=10):
