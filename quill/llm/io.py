@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.session import ensure_checkpoint_dir
+from quill.sources.scratch import written
+
+__all__ = ["table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read by Spark (any store Spark can open)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder that the cluster names in
-    ``spark.checkpoint.dir`` and read it back. Cuts the lineage: a lost executor
-    costs only the tasks that read the files again."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/quill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
