@@ -1,0 +1,71 @@
+"""The pipeline's stages against plain versions, each on its own input."""
+
+import re
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+
+import corpus_pipeline as P
+from quill.llm import queries
+from quill.llm.io import written
+from quill.llm.oracle import OP7
+
+from .test_brute_force import near_components
+
+SF = "/root/testdata/sf0.001"
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+
+
+def test_stages(spark):
+    from tokenizers import Tokenizer
+    assert [n for n, _ in P.STAGES] == ["quality_rules", "near_dedup", "decontamination", "secret_scan", "packing"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, seen = docs.columns, []
+    for _, stage in P.STAGES:
+        docs = written(stage(spark, docs, SF))
+        seen.append(docs)
+        assert docs.columns == columns or stage is P.STAGES[-1][1]
+    texts = [{r.doc_id: r.text for r in d.collect()} for d in seen[:4]]
+    given = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    kept = {d for d, ok in con.execute(f"SELECT doc_id, kept FROM ({OP7})").fetchall() if ok}
+    assert texts[0] == {d: given[d] for d in kept}
+
+    assert set(texts[1]) == {d for d, (_, _, stays) in near_components(texts[0], 5).items() if stays}
+
+    runs = {}
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        w = words(r.text)
+        runs[r.item_id] = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    share = {}
+    for d, t in texts[1].items():
+        w = words(t)
+        own = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+        share[d] = max(len(own & r) / len(r) for r in runs.values())
+    gone = set(texts[1]) - set(texts[2])
+    assert {d for d, s in share.items() if s == 1} <= gone <= {d for d, s in share.items() if s > 0.2}
+
+    assert set(texts[3]) == set(texts[2])
+    secret = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}"""
+                        r"|AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}", re.I)
+    for d, t in texts[3].items():
+        assert not secret.search(t.replace("[secret]", ""))
+        if not secret.search(texts[2][d]):
+            assert t == texts[2][d]
+    sizes = {r.doc_id: r.n_chars for r in seen[3].collect()}
+    assert sizes == {d: len(t) for d, t in texts[3].items()}
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_file())
+    length, room = defaultdict(int), defaultdict(int)
+    for r in seen[4].collect():
+        length[r.doc_id] += r.length
+        room[r.sequence_id] += r.length
+    assert length == {d: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for d, t in texts[3].items()}
+    assert max(room.values()) <= 2048 and np.mean(list(room.values())) > 1800
+    assert P.run(spark, SF).count() == seen[4].count()
