@@ -1,16 +1,18 @@
 """Language-model scoring by cross-entropy difference.
 
 Two interpolated bigram models of words (ASCII lower-cased, split at white space)
-share one vocabulary and one set of bigrams: the background model counts every
-document, the target model those that are marked as target. A document's score is
-its mean loss per word under the target model less that under the background model:
-the lower, the more it reads like the target.
-
-All words and bigrams of all documents are counted, aggregated in each task and then
-by Spark; what the counting shuffles grows with the corpus. The models keep the words
-with a share of at least ``WORD_SHARE`` of the background's words, so at most
-1 / ``WORD_SHARE`` of them whatever the corpus (the rest is one unknown word), and
-likewise at most 1 / ``PAIR_SHARE`` bigrams: that bound makes them safe to broadcast.
+share one vocabulary: the background model counts every document, the target model
+those that are marked as target. A document's score is its mean loss per word under
+the target model less that under the background model: the lower, the more it reads
+like the target.
+
+Every word and every bigram of all documents is in the models, at any size. Documents
+are gathered into chunks of about ``CHUNK_BYTES`` of text. A chunk sends the counts of
+its distinct words and bigrams, sorted by hash, to ``buckets`` of the hash range, whose
+number grows with the text; a bucket adds up what all chunks sent and returns to each
+chunk the sums of the keys it sent. A chunk is then scored from its texts and these
+sums. So a task holds one chunk or one bucket, no one holds the whole models, and a
+word in every document reaches its bucket once per chunk.
 
 Defined results: a null or empty text has no words, losses and score 0; repeated
 rows count and are scored each by itself; without target documents the target model
@@ -24,174 +26,183 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.llm.io import written
-from quill.llm.text import LOWER, SPACE, text_slices, word_hashes, word_spans
+from quill.llm.text import LOWER, SPACE, ngram_hashes, text_slices, word_hashes, word_spans
 
-WORD_SHARE = 2e-5
-PAIR_SHARE = 2e-6
+#: text of a chunk; a longer text is a chunk by itself
+CHUNK_BYTES = 8 << 20
+#: text whose keys a bucket gets: the parts sent are chunks times buckets, so
+#: smaller ones would make too many of them
+BUCKET_BYTES = 16 << 20
 #: weight of the bigram estimate against the unigram one
 BIGRAM_WEIGHT = 0.6
-#: distinct keys a task gathers before it hands counts on
-FLUSH_KEYS = 1 << 20
 
-_COUNTS = "key long, background long, target long"
+_ROWS = "chunk long, at long, doc_id long, counted boolean, scored boolean, text string, n_bytes long"
+_KEYS = "bucket long, chunk long, keys binary, background binary, target binary"
+_SUMS = "_chunk long, bucket long, background binary, target binary, n_words long, n long, n_target long"
+SCORED = "doc_id long, n_words long, target_loss double, background_loss double"
 
 
-def words_of(column) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(first row, word hashes, bounds)`` per slice of a text column."""
-    for row, buf, offs in text_slices(column):
+def words_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a text column and, per row, the index of its first word (one
+    more entry than rows). Hashes of words are even, those of bigrams odd."""
+    hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for _, buf, offs in text_slices(column):
         buf = LOWER[buf]
         starts, ends, first = word_spans(buf, offs, SPACE)
-        yield row, word_hashes(buf, starts, ends), first
-
+        hashes.append(word_hashes(buf, starts, ends) & ~np.uint64(1))
+        counts.append(np.diff(first))
+    return np.concatenate(hashes), np.cumsum(np.concatenate(counts))
 
-class Counter:
-    """Sums of (key, background, target) counts, merged now and then."""
 
-    def __init__(self):
-        self.parts, self.size = [], 0
+def rows_of(first: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(first) - 1), np.diff(first))
 
-    def add(self, keys: np.ndarray, target: np.ndarray) -> None:
-        key, at, n = np.unique(keys, return_inverse=True, return_counts=True)
-        self.parts.append((key, n, np.bincount(at, target, len(key)).astype(np.int64)))
-        self.size += len(key)
-        if self.size >= 2 * FLUSH_KEYS:
-            self.parts = [self.merged()]
-            self.size = len(self.parts[0][0])
 
-    def merged(self):
-        keys, n, t = (np.concatenate(c) for c in zip(*self.parts))
-        key, at = np.unique(keys, return_inverse=True)
-        return key, np.bincount(at, n, len(key)).astype(np.int64), np.bincount(at, t, len(key)).astype(np.int64)
+def pairs_of(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the bigrams within rows and where their second words stand."""
+    at = np.flatnonzero(row[1:] == row[:-1]) + 1
+    return ngram_hashes(h, 2)[at - 1] | np.uint64(1), at
 
-    def batch(self) -> pa.RecordBatch:
-        key, n, t = self.merged()
-        self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n), pa.array(t)],
-                                          ["key", "background", "target"])
 
+def packed(x: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes, which compress well where numbers are small."""
+    raw = np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
-def counted(marked: DataFrame, keys_of) -> DataFrame:
-    """``(key, background, target)`` over all rows of ``marked`` (text, target);
-    ``keys_of`` gives the keys of a slice's words and the row of each."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter()
-        for batch in batches:
-            target = batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
-            for row, h, first in words_of(batch.column(0)):
-                keys, rows = keys_of(h, first)
-                if len(keys):
-                    counter.add(keys, target[row + rows])
-            if counter.size >= FLUSH_KEYS:
-                yield counter.batch()
-        if counter.size:
-            yield counter.batch()
 
-    return marked.select("text", "target").mapInArrow(count, _COUNTS).groupBy("key").agg(
-        F.sum("background").alias("background"), F.sum("target").alias("target"))
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1)
 
 
-def rows_of(first: np.ndarray) -> np.ndarray:
-    return np.repeat(np.arange(len(first) - 1), np.diff(first))
+def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket, an equal part of the hash range, begins in sorted keys."""
+    edges = np.array([(i << 64) // buckets for i in range(buckets)], np.uint64)
+    return np.append(np.searchsorted(keys, edges), len(keys))
 
 
 @dataclass
 class Models:
-    """Both models: sorted word hashes and bigrams with their two log-probability tables."""
-    words: np.ndarray
-    word_counts: np.ndarray          # (words + 1) x 2, entry 0 is the unknown word
-    pairs: np.ndarray
-    pair_counts: np.ndarray          # pairs x 2
-
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        """Vocabulary numbers, 0 for unknown words."""
-        if not len(self.words):
-            return np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, at + 1, 0)
-
-    def pair_keys(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(previous, word)`` as one number for every word that has a previous one."""
-        row = rows_of(first)
-        has = row[1:] == row[:-1]
-        size = len(self.words) + 1
-        return (ids[:-1] * size + ids[1:])[has], row[1:][has]
-
-    def losses(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Mean loss per word of each row under both models (rows x 2)."""
-        ids = self.ids(h)
-        size, total = len(self.words) + 1, self.word_counts.sum(0)
-        single = (self.word_counts + 1.0) / (total + size)
-        p = single[ids]
-        row = rows_of(first)
-        follows = np.flatnonzero(row[1:] == row[:-1]) + 1
-        if len(follows):
-            key = ids[follows - 1] * size + ids[follows]
-            joint = np.zeros((len(key), 2))
-            if len(self.pairs):
-                at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-                known = self.pairs[at] == key
-                joint[known] = self.pair_counts[at[known]]
-            before = np.maximum(self.word_counts[ids[follows - 1]], 1.0)
-            p[follows] = BIGRAM_WEIGHT * joint / before + (1 - BIGRAM_WEIGHT) * p[follows]
-        total_loss = np.concatenate([np.zeros((1, 2)), np.cumsum(-np.log(p), axis=0)])
-        n = np.maximum(np.diff(first), 1)[:, None]
-        return (total_loss[first[1:]] - total_loss[first[:-1]]) / n
-
-
-def _table(counts: DataFrame, share: float, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys with at least ``share`` of ``total``, so at most 1 / share of them."""
-    kept = counts.where(F.col("background") >= share * total).toArrow()
-    key = kept["key"].to_numpy()
-    both = np.stack([kept["target"].to_numpy(), kept["background"].to_numpy()], axis=1).astype(np.float64).reshape(-1, 2)
-    return key, both
+    """What the models are trained on: documents and the ``doc_id`` of target ones."""
+    docs: DataFrame
+    target_ids: DataFrame
 
 
 def train_models(docs: DataFrame, target_ids: DataFrame) -> Models:
-    """Counts over every document; ``target_ids`` has the ``doc_id`` of target ones."""
-    ids = target_ids.select(F.col("doc_id").cast("long").alias("_target")).where("_target is not null").distinct()
-    marked = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                     # the ids grow with the corpus: one plan at every size, never a broadcast
-                     .join(ids.hint("merge"), F.col("doc_id") == F.col("_target"), "left")
-                     .select("text", F.col("_target").isNotNull().alias("target")))
-    words = written(counted(marked, lambda h, first: (h, rows_of(first))))
-    total = words.agg(F.sum("background").alias("b"), F.sum("target").alias("t")).first()
-    n, n_target = total["b"] or 0, total["t"] or 0
-    key, both = _table(words, WORD_SHARE, n)
-    key = key.view(np.uint64)
-    order = np.argsort(key)
-    known = both[order]
-    unknown = np.array([[n_target, n]], np.float64) - known.sum(0, keepdims=True)
-    models = Models(key[order], np.concatenate([unknown, known]), np.zeros(0, np.int64), np.zeros((0, 2)))
-    pairs = counted(marked, lambda h, first: models.pair_keys(models.ids(h), first))
-    key, both = _table(pairs, PAIR_SHARE, n)
-    order = np.argsort(key)
-    models.pairs, models.pair_counts = key[order], both[order]
-    return models
+    """Counts over every document; ``target_ids`` has the ``doc_id`` of target ones.
+    Counting and scoring are one plan, so that the texts are dealt out once."""
+    return Models(docs, target_ids.select(F.col("doc_id").cast("long").alias("_target")).where("_target is not null").distinct())
 
 
-SCORED = "doc_id long, n_words long, target_loss double, background_loss double"
+def chunked(docs: DataFrame) -> DataFrame:
+    """``_ROWS``: each row with its chunk and its place there."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, chunk, size, at = TaskContext.get().partitionId() << 32, 0, 0, 0
+        for batch in batches:
+            text = batch.column(3)
+            n_bytes = [0 if x is None else x for x in pc.binary_length(text).to_pylist()]
+            place = []
+            for n in n_bytes:
+                if at and size + n > CHUNK_BYTES:
+                    chunk, size, at = chunk + 1, 0, 0
+                place.append((own + chunk, at))
+                size, at = size + n, at + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c for c, _ in place], pa.int64()), pa.array([a for _, a in place], pa.int64()),
+                 *batch.columns[:3], text, pa.array(n_bytes, pa.int64())],
+                ["chunk", "at", "doc_id", "counted", "scored", "text", "n_bytes"])
+
+    return written(docs.mapInArrow(deal, _ROWS))
 
 
 def score(docs: DataFrame, models: Models) -> DataFrame:
     """``SCORED`` and ``score``, the difference of the losses, of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (models.words, models.word_counts, models.pairs, models.pair_counts))
+    def marked(frame, counted, scored):
+        return frame.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(counted).alias("counted"),
+                            F.lit(scored).alias("scored"), F.col("text"))
+
+    both = marked(docs, True, True) if docs is models.docs else \
+        marked(models.docs, True, False).unionAll(marked(docs, False, True))
+    rows = chunked(both)
+    buckets = (rows.agg(F.sum("n_bytes")).first()[0] or 0) // BUCKET_BYTES + 1
+    # the ids grow with the corpus: one plan at every size, never a broadcast
+    targets = rows.where("counted").select("doc_id", "chunk", "at").join(
+        models.target_ids.hint("merge"), F.col("doc_id") == F.col("_target")).select(F.col("chunk").alias("_chunk"), F.col("at").alias("_at"))
+
+    def send(own: pa.Table, marks: pa.Table) -> pa.Table:
+        if not own.num_rows:
+            return pa.Table.from_batches([], KEYS)
+        h, first = words_of(own["text"])
+        row = rows_of(first)
+        pair, second = pairs_of(h, row)
+        counted = own["counted"].to_numpy().astype(np.float64)
+        target = np.isin(own["at"].to_numpy(), marks["_at"].to_numpy()) * counted
+        where = np.concatenate([row, row[second]])
+        keys, at = np.unique(np.concatenate([h, pair]), return_inverse=True)
+        n, t = (np.bincount(at, w[where], len(keys)).astype(np.uint64) for w in (counted, target))
+        cut = bucket_bounds(keys, buckets)
+        step = keys.copy()
+        step[1:] -= keys[:-1]
+        # the first key of a part stands as it is
+        begins = cut[:-1][cut[:-1] < len(keys)]
+        step[begins] = keys[begins]
+        parts = list(zip(cut[:-1], cut[1:]))
+        return pa.Table.from_arrays(
+            [pa.array(range(buckets), pa.int64()), pa.array([own["chunk"][0].as_py()] * buckets, pa.int64()),
+             *(pa.array([packed(x[a:b]) for a, b in parts], pa.binary()) for x in (step, n, t))], schema=KEYS)
+
+    def add(own: pa.Table) -> pa.Table:
+        parts = [np.cumsum(unpacked(x.as_py()), dtype=np.uint64) for x in own["keys"]]
+        keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+        sums = [np.bincount(at, np.concatenate([unpacked(x.as_py()) for x in own[name]]).astype(np.float64), len(keys))
+                .astype(np.int64) for name in ("background", "target")]
+        word = (keys & np.uint64(1)) == 0
+        # every chunk hears from every bucket, and so learns the totals
+        totals = [int((word & (sums[0] > 0)).sum()), int(sums[0][word].sum()), int(sums[1][word].sum())]
+        ends = np.cumsum([len(p) for p in parts])
+        back = [[packed(s[at[e - len(p):e]]) for p, e in zip(parts, ends)] for s in sums]
+        n = own.num_rows
+        return pa.Table.from_arrays(
+            [own["chunk"], own["bucket"], pa.array(back[0], pa.binary()), pa.array(back[1], pa.binary()),
+             *(pa.array([x] * n, pa.int64()) for x in totals)], schema=SUMS)
+
+    def losses(own: pa.Table, sums: pa.Table) -> pa.Table:
+        if not own.num_rows:
+            return pa.Table.from_batches([], SCORES)
+        sums = sums.sort_by("bucket")
+        size = sum(sums["n_words"].to_pylist()) + 1
+        total = np.array([sum(sums["n_target"].to_pylist()), sum(sums["n"].to_pylist())], np.float64)
+        h, first = words_of(own["text"])
+        row = rows_of(first)
+        pair, second = pairs_of(h, row)
+        keys, at = np.unique(np.concatenate([h, pair]), return_inverse=True)
+        counts = np.stack([np.concatenate([unpacked(x.as_py()) for x in sums[name]])
+                           for name in ("target", "background")], axis=1).astype(np.float64)
+        assert len(counts) == len(keys)
+        of_word = counts[at[:len(h)]]
+        p = (of_word + 1.0) / (total + size)
+        p[second] = BIGRAM_WEIGHT * counts[at[len(h):]] / np.maximum(of_word[second - 1], 1.0) \
+            + (1 - BIGRAM_WEIGHT) * p[second]
+        n = np.diff(first)
+        loss = [np.bincount(row, -np.log(p[:, i]), len(n)) / np.maximum(n, 1) for i in range(2)]
+        out = pa.Table.from_arrays([own["doc_id"], pa.array(n), pa.array(loss[0]), pa.array(loss[1])], schema=SCORES)
+        return out.filter(own["scored"])
+
+    keys = rows.groupBy("chunk").cogroup(targets.groupBy("_chunk")).applyInArrow(send, _KEYS)
+    sums = keys.groupBy("bucket").applyInArrow(add, _SUMS)
+    scored = rows.groupBy("chunk").cogroup(sums.groupBy("_chunk")).applyInArrow(losses, SCORED)
+    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
-    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Models(*shared.value)
-        for batch in batches:
-            n, loss = [np.zeros(0, np.int64)], [np.zeros((0, 2))]
-            for _, h, first in words_of(batch.column(1)):
-                n.append(np.diff(first))
-                loss.append(own.losses(h, first))
-            both = np.concatenate(loss)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(n).astype(np.int64)), pa.array(both[:, 0]), pa.array(both[:, 1])],
-                ["doc_id", "n_words", "target_loss", "background_loss"])
 
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(losses, SCORED)
-    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+KEYS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()),
+                  ("background", pa.binary()), ("target", pa.binary())])
+SUMS = pa.schema([("_chunk", pa.int64()), ("bucket", pa.int64()), ("background", pa.binary()), ("target", pa.binary()),
+                  ("n_words", pa.int64()), ("n", pa.int64()), ("n_target", pa.int64())])
+SCORES = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
+                    ("target_loss", pa.float64()), ("background_loss", pa.float64())])

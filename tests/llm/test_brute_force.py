@@ -335,6 +335,27 @@ def test_language_models_against_plain_counts(spark, docs_of):
         assert got[i].score == pytest.approx(want[0] - want[1])
 
 
+def test_language_models_keep_rare_words(spark, docs_of, monkeypatch):
+    """In a corpus of 600,000 words, a word and a bigram seen twice still count, over many chunks and buckets."""
+    from math import log
+
+    from quill.llm import lm_score
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 300_000)
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", 100_000)
+    rows = [(i, "the cat sat " * 1_000) for i in range(200)] + [(200, "rare bird"), (201, "rare bird"), (202, "bird rare")]
+    docs, n, size = docs_of(rows), 600_006, 5 + 1
+    models = lm_score.train_models(docs, spark.createDataFrame([(200,)], "doc_id long"))
+    first = {"rare": 3, "bird": 3}
+    want = {w: -(log((first[a] + 1) / (n + size)) + log(0.6 * both / 3 + 0.4 * (first[b] + 1) / (n + size))) / 2
+            for w, a, b, both in ((201, "rare", "bird", 2), (202, "bird", "rare", 1))}
+    got = by_id(lm_score.score(docs, models))
+    assert got[201].background_loss == pytest.approx(want[201]) and got[202].background_loss == pytest.approx(want[202])
+    assert got[201].target_loss == pytest.approx(-(log(2 / (2 + size)) + log(0.6 + 0.4 * 2 / (2 + size))) / 2)
+    other = by_id(lm_score.score(docs_of([(1, "rare bird"), (2, "unseen")]), models))
+    assert other[1].background_loss == pytest.approx(want[201])
+    assert other[2].background_loss == pytest.approx(-log(1 / (n + size)))
+
+
 def test_pu_risk_steps_back_when_negative():
     from quill.llm.toxicity import Classifier
     fitted = Classifier._slopes(np.array([0.2, 0.2, 0.9, 0.9]), 2, 2, 0.1)
