@@ -5,20 +5,22 @@ characters) joined by single spaces. Base places are exact runs of a base
 phrase's words. Fuzzy matches: a notice that may differ by ``e`` edits is split
 into ``e + 1`` parts, one of which any match must hold unchanged (pigeonhole).
 All parts of all notices are found in one pass of an Aho-Corasick automaton; around
-each hit the ``regex`` library matches the whole notice with at most ``e``
+each hit by itself the ``regex`` library matches the whole notice with at most ``e``
 errors and so reports span and edits. Notices and errors are fixed, so a task's
 state is bounded; texts are taken one at a time, whole.
 
 Defined results: a null or empty text has no words, null positions, empty labels
 and score 0; repeated rows are scanned each by itself; overlapping places of the
 same phrase all count; of overlapping fuzzy matches those with the
-fewest edits are reported; other columns are not read.
+fewest edits are reported (of one notice the leftmost of these), and also a longer
+one around them; other columns are not read.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import ahocorasick
 import pyarrow as pa
@@ -93,29 +95,53 @@ class NoticeSearch:
 
     def find(self, text: str) -> list[tuple[str, int, int, int, str]]:
         """``(label, start, end, edits, matched)`` over normalised text."""
-        windows: dict[int, list[list[int]]] = {}
+        windows: dict[int, set[tuple[int, int]]] = {}
         for last, (size, where) in self.automaton.iter(text):
             for i, at in where:
                 notice, _, e = self.notices[i]
-                a = max(0, last + 1 - size - at - e)
-                b = min(len(text), last + 1 - size - at + len(notice) + e)
-                own = windows.setdefault(i, [])
-                if own and a <= own[-1][1]:
-                    own[-1][1] = max(b, own[-1][1])
-                else:
-                    own.append([a, b])
+                start = last + 1 - size - at
+                windows.setdefault(i, set()).add((max(0, start - e), min(len(text), start + len(notice) + e)))
         found = {}
         for i, own in windows.items():
-            _, label, e = self.notices[i]
-            for a, b in own:
-                for m in self.patterns[i].finditer(text, max(0, a - 1), min(len(text), b + 1)):
-                    edits = sum(m.fuzzy_counts)
-                    key = (label, m.start(), m.end())
-                    if edits < found.get(key, (e + 1,))[0]:
-                        found[key] = (edits, m.group())
-        # a span that another notice explains with fewer edits is not this notice's
+            label = self.notices[i][1]
+            for edits, a, b, matched in self._places(i, text, own):
+                key = (label, a, b)
+                if key not in found or edits < found[key][0]:
+                    found[key] = (edits, matched)
+        # a span that another notice explains with fewer edits is not this notice's;
+        # a shorter one inside it explains only a part
         return sorted((label, a, b, n, m) for (label, a, b), (n, m) in found.items()
-                      if not any(c < b and a < d and k < n for (_, c, d), (k, _) in found.items()))
+                      if not any(c < b and a < d and k < n and not (a <= c and d <= b and d - c < b - a)
+                                 for (_, c, d), (k, _) in found.items()))
+
+    def _best(self, i: int, text: str, a: int, b: int) -> tuple | None:
+        """The best place of a notice within ``[a, b)``, whole words only."""
+        notice, _, e = self.notices[i]
+        if b < len(text) and text[b] != " ":
+            b = text.rfind(" ", a, b)                # the pattern takes b for the end of a word
+        if b - a < len(notice) - e or not (m := self.patterns[i].search(text, a, b)):
+            return None
+        return sum(m.fuzzy_counts), m.start(), m.end(), m.group(), a, b
+
+    def _places(self, i: int, text: str, windows: set[tuple[int, int]]) -> list[tuple[int, int, int, str]]:
+        """Places of a notice, fewest edits first, that don't overlap. Where a window's
+        best place overlaps one taken before, what is left of the window is searched."""
+        heap = [x for a, b in windows if (x := self._best(i, text, a, b))]
+        heapify(heap)
+        taken: list[tuple[int, int]] = []
+        out = []
+        while heap:
+            edits, start, end, matched, a, b = heappop(heap)
+            at = bisect_right(taken, (start, end))
+            hit = next((t for t in taken[max(0, at - 1):at + 1] if t[0] < end and start < t[1]), None)
+            if hit is None:
+                taken.insert(at, (start, end))
+                out.append((edits, start, end, matched))
+                hit = start, end
+            for rest in ((a, hit[0] - 1), (hit[1] + 1, b)):
+                if rest[1] > rest[0] and (x := self._best(i, text, *rest)):
+                    heappush(heap, x)
+        return out
 
 
 def base_places(joined: bytes, phrase: bytes) -> list[int]:

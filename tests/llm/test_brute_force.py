@@ -295,6 +295,22 @@ def test_fuzzy_notices(docs_of):
     assert got[3].labels == "" and got[3].score == 0
 
 
+def test_fuzzy_notices_next_to_better_ones():
+    from quill.llm.license import NoticeSearch
+    find = NoticeSearch().find
+    edited, exact = "released under the mitt license", "released under the mit license"
+    for parts in ([edited, exact], [exact, edited], [edited, edited, exact, edited], ["x", exact, "licence", edited, "y"]):
+        text, want, at = " ".join(parts), [], 0
+        for p in parts:
+            if p in (edited, exact):
+                want.append(("mit", at, at + len(p), int(p == edited), p))
+            at += len(p) + 1
+        assert find(text) == want
+    gpl = "licensed under the gnu genral public license versin 3 or licensed under the gnu general public license version 2"
+    assert {(r[0], r[3]) for r in find(gpl)} == {("gpl-3.0", 2), ("gpl", 1), ("gpl-2.0", 0), ("gpl", 0)}
+    assert find(exact + "abcdef") == [] and find("x" + exact) == [("mit", 0, len(exact) + 1, 1, "x" + exact)]
+
+
 def test_seed_parts_make_up_the_notice():
     from quill.llm.license import NOTICES, split_parts
     for notice, _, edits in NOTICES:
