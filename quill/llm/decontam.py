@@ -6,7 +6,8 @@ item that share a run of ``SEED`` tokens are a candidate pair. Around its seeds
 pair is tiled: the longest common runs that touch no marked token are marked, found
 by Karp-Rabin hashes of a run length that shrinks step by step down to
 ``LEAST_TILE``, so reordered passages are covered piece by piece. The pair is a leak
-when the tiles cover at least ``COVERAGE`` of the item's tokens.
+when the tiles cover at least ``COVERAGE`` of the item's tokens, or when one tile is
+a verbatim run of ``LONG_RUN`` tokens or more, however long the item.
 
 The benchmark is taken in blocks of at most ``BLOCK_BYTES`` of text, each small
 enough to send to every task whatever the benchmark's size; documents are scanned
@@ -35,6 +36,8 @@ SEED = 5
 LEAST_TILE = 3
 FIRST_RUN = 24
 COVERAGE = 0.6
+#: a run of so many tokens is no chance match
+LONG_RUN = 24
 BLOCK_BYTES = 16 << 20
 _FILTER_BITS = 22
 
@@ -161,7 +164,7 @@ class Items:
             tiles = string_tiles([t % _PRIME for t in item.tolist()],
                                  [t % _PRIME if t >= 0 else -1 for t in text])
             tiled = sum(n for _, _, n in tiles)
-            if tiled >= coverage * len(item):
+            if tiled >= coverage * len(item) or max((n for _, _, n in tiles), default=0) >= LONG_RUN:
                 yield (self.ids[i], len(tiles), tiled, len(item), tiled / len(item),
                        min(where[t] for _, t, _ in tiles), max(where[t + n - 1] for _, t, n in tiles))
 
@@ -214,7 +217,8 @@ def _scan(docs: DataFrame, block, coverage: float) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """One row per (document, item) pair whose tiles cover enough of the item."""
+    """One row per (document, item) pair whose tiles cover enough of the item
+    or hold a long run."""
     parts = [_scan(docs, block, coverage) for block in item_blocks(benchmark)]
     return reduce(DataFrame.unionAll, parts) if parts else docs.sparkSession.createDataFrame([], LEAKS)
 

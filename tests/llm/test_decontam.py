@@ -42,6 +42,16 @@ def test_leaks(spark, docs_of, items):
     assert sorted(r.doc_id for r in decontam.drop_leaks(docs, bench).collect()) == [3, 5, 6, 7]
 
 
+def test_long_passage_of_a_longer_item_is_a_leak(spark, docs_of):
+    rng = random.Random(9)
+    item, pad = words(rng, 200), words(rng, 80)
+    docs = docs_of([(1, " ".join(pad[:40] + item[50:160] + pad[40:])), (2, " ".join(pad + item[10:34])),
+                    (3, " ".join(pad + item[10:33])), (4, " ".join(pad))])
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id: r.tiled_tokens for r in decontam.find_leaks(docs, bench).collect()} == {1: 110, 2: 24}
+    assert sorted(r.doc_id for r in decontam.drop_leaks(docs, bench).collect()) == [3, 4]
+
+
 def test_blocks_change_nothing(spark, docs_of, items, monkeypatch):
     rows = [(i, "so it goes " + " ".join(w)) for i, w in items.items()]
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
