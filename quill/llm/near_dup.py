@@ -24,9 +24,10 @@ different texts that share a bucket is lost.
 
 Defined results: null, empty or blank texts have no shingles and link with nothing;
 a text of fewer than ``k`` words has one shingle, all its words; repeated rows are
-linked (equal texts); rows with a null id are in no component and are kept; an empty
-table gives no rows; other columns are not read (``drop_near_duplicates`` returns
-them unchanged).
+linked (equal texts); rows with a null id are in no component and are kept, but
+``drop_near_duplicates`` decides by row and keeps one of a component, whatever the
+ids; an empty table gives no rows; other columns are not read
+(``drop_near_duplicates`` returns them unchanged).
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quill.llm.components import components, relabel
 from quill.llm.io import written
@@ -342,8 +344,34 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     return NearDuplicates(docs, k).result()
 
 
+def _with_node(docs: DataFrame, k: int) -> DataFrame:
+    """``docs`` and ``_near_node``, the class of each row's text; rows without words go."""
+    at = docs.columns.index("text")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [node[i].tobytes() if bounds[i + 1] > bounds[i] else None
+                     for _, _, bounds, node in shingles(batch.column(at), k) for i in range(len(node))]
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())],
+                                             [*batch.schema.names, "_near_node"])
+            yield out.filter(out.column(out.num_columns - 1).is_valid())
+
+    return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("_near_node", T.BinaryType())]))
+
+
 def drop_near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; all columns. Of
-    rows that repeat one id, all stay or none."""
-    found = near_duplicates(docs, k).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long") == found["_gone"], "left_anti")
+    """One row of each component, all columns: the least id's (rows without an id come last), of
+    rows that repeat id and words the one with the least hash. Rows without words stay."""
+    keys = ["_near_node", "_near_id"]
+    # rows without an id get one by their text, above the usual ids
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseAND(F.lit(2 ** 62 - 1)) + F.lit(2 ** 62))
+    found = NearDuplicates(docs.select(doc_id.alias("doc_id"), "text"), k)
+    least = (found.classes.select("node", "doc_id").join(found.labels(), "node", "left")
+             .groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct("doc_id", "node")).alias("m"))
+             .select(F.col("m.node").alias(keys[0]), F.col("m.doc_id").alias(keys[1])))
+    rows = _with_node(docs, k).withColumn(keys[1], doc_id)
+    # a row per component: one plan at every size, never a broadcast
+    kept = rows.join(least.hint("merge"), keys).groupBy(*keys).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_near_row")).select("_near_row.*")
+    blank = docs.where("text is null or not text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    return kept.unionAll(blank)

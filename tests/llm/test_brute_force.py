@@ -148,6 +148,16 @@ def test_toxicity_held_out(spark):
     assert sum(r.predicted for r in rows) - sum(r.predicted for r in toxic) < 0.04 * len(rows)
 
 
+def test_toxicity_sample_is_bounded_by_rows(spark, docs_of):
+    """A chosen id brings one row to the driver, however often it repeats."""
+    from quill.llm import toxicity
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = docs_of([(i, f"word{i} text") for i in ids] + [(ids[0], f"copy {n}") for n in range(300)] + [(ids[1], "same")] * 50)
+    labels = spark.createDataFrame([(i, int(i in ids[:2])) for i in ids], "doc_id long, toxic int")
+    p, u, _ = toxicity.training_rows(docs, labels)
+    assert (len(p), len(u)) == (2, len(ids))
+
+
 def test_language_model_prefers_labelled_good(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     score = {r.doc_id: r.score for r in queries.op8_lm_scoring(spark, SF).collect()}
@@ -184,6 +194,18 @@ def test_near_duplicates_chains_and_copies(spark, docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, r in got.items() if r.kept)
 
 
+def test_near_duplicates_drop_by_row(spark, docs_of):
+    """Repeated rows, null ids and ids that two texts share: one row of each component stays."""
+    rng = random.Random(12)
+    one, two, three, four = (" ".join(random_words(rng, 30)) for _ in range(4))
+    rows = [(1, one)] * 20 + [(2, one.upper()), (2, two), (None, one), (None, three), (None, three),
+                              (3, four), (3, four + " \t"), (4, ""), (4, " "), (None, None)]
+    kept = [(r.doc_id, r.text) for r in near_dup.drop_near_duplicates(docs_of(rows), 5).collect()]
+    with_words = [(d, t and t.strip()) for d, t in kept if (t or "").strip()]
+    assert sorted(with_words, key=str) == sorted([(1, one), (2, two), (None, three), (3, four)], key=str)
+    assert sorted(((d, t) for d, t in kept if not (t or "").strip()), key=str) == [(4, " "), (4, ""), (None, None)]
+
+
 def test_posterior_bars():
     bars = near_dup.least_matches(0.8)
     assert bars == sorted(bars) and len(bars) == near_dup.HASHES // near_dup.STEP
