@@ -9,8 +9,8 @@ word beginnings (present, and repeated) minimises the class-prior-corrected risk
 with the logistic loss; while the second term is negative a step goes up its
 gradient instead, so unlabelled toxic texts are not learned as clean. The prior is
 the share of toxic rows among the labelled training rows. Training takes at most
-``POSITIVES`` and ``UNLABELLED`` rows, the first by hash of ``doc_id``: a bounded
-sample, whose bound makes the fit a fixed cost. Scores cover every whole text.
+``POSITIVES`` and ``UNLABELLED`` rows, the first by hash of ``doc_id`` and of rows that
+share an id the one whose text has the least hash: a bounded sample, whose bound makes the fit a fixed cost. Scores cover every whole text.
 
 Only rows whose crc32(doc_id as text) mod 4 is not 2 serve for training; labels,
 lang, source and doc_id are no inputs of a score.
@@ -151,7 +151,8 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray],
     # at most POSITIVES + UNLABELLED rows of one number and a flag: safe to broadcast
     chosen = positive.select("doc_id", F.lit(1).alias("p")).unionAll(other.select("doc_id", F.lit(0).alias("p")))
     chosen = chosen.groupBy("doc_id").agg(F.max("p").alias("p"), (F.min("p") == 0).alias("u"))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "p", "u", "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "p", "u").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("m")).select("m.text", "p", "u", "doc_id")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
