@@ -93,9 +93,45 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, s
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+# crc32 bit by bit over the digits of the id: -1 stands for one shift of the register
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END),
+  4294967295::BIGINT)"""
+
+OP12 = rf"""
+WITH given AS (SELECT doc_id, {_WORDS} AS w, {_CRC} AS h FROM documents),
+-- lists count from 1, so a and p are as in the contract and word i stands at i + 1
+place AS (
+  SELECT doc_id, w, h, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM given),
+d AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(0, n), lambda i: CASE WHEN i < a THEN w[i + 1]
+           ELSE w[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1] END) ELSE w END AS w FROM place),
+words AS (SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
+same AS (  -- words q apart that are identical
+  SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM words x JOIN words y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+named AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS length FROM named GROUP BY doc_id, q, island),
+runs AS (  -- the same stretch at several periods: the smallest
+  SELECT doc_id, s, length, min(q) AS q FROM stretch WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, s, length),
+total AS (
+  SELECT doc_id, count(*) AS n_runs, max(struct_pack(l := length, s := -s, q := -q)) AS best,
+    sha256(string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q)) AS runs FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, sha256(string_agg(word, ' ' ORDER BY i)) AS k FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, -best.s AS start, best.l AS length, -best.q AS period,
+  1000 * best.l // -best.q AS exponent_milli, coalesce(runs, sha256('')) AS runs_sha256,
+  coalesce(k, sha256('')) AS collapsed_sha256
+FROM d LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE = {
     "op2_near_duplicates": OP2,
     "op3_suffix_dedup": OP3,
     "op7_quality_rules": OP7,
     "op9_substring_dedup": OP9,
+    "op12_periodic_runs": OP12,
 }

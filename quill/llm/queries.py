@@ -11,6 +11,7 @@ from quill.llm.io import table
 from quill.llm.license import license_summary, scan_licenses
 from quill.llm.near_dup import near_duplicates
 from quill.llm.packing import pack_documents
+from quill.llm.periodic import periodic_runs, run_summary, with_planted_runs
 from quill.llm.quality import quality_rules
 from quill.llm.secret_scan import scan_secrets, secret_summary
 from quill.llm.toxicity import score_toxicity, train
@@ -76,6 +77,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, one in ten with a planted run, with its runs and their digests."""
+    return run_summary(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan,
     op2_near_duplicates,
@@ -87,4 +93,5 @@ QUERIES = {f.__name__: f for f in (
     op8_lm_scoring,
     op9_substring_dedup,
     op10_toxicity,
+    op12_periodic_runs,
 )}
