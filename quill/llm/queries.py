@@ -15,6 +15,7 @@ from quill.llm.periodic import periodic_runs, run_summary, with_planted_runs
 from quill.llm.quality import quality_rules
 from quill.llm.secret_scan import scan_secrets, secret_summary
 from quill.llm.toxicity import score_toxicity, train
+from quill.llm.whitening import fit_whitening, whiten
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -82,6 +83,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_summary(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding on the first whitened components."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whiten(vectors, fit_whitening(vectors))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan,
     op2_near_duplicates,
@@ -94,4 +101,5 @@ QUERIES = {f.__name__: f for f in (
     op9_substring_dedup,
     op10_toxicity,
     op12_periodic_runs,
+    op13_embedding_whitening,
 )}
