@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quill.llm import lm_score, rlz_dedup, suffix_dedup
+from quill.llm import language_id, lm_score, rlz_dedup, suffix_dedup
 from quill.llm.decontam import find_leaks
 from quill.llm.io import table
 from quill.llm.license import license_summary, scan_licenses
@@ -78,6 +78,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its predicted language."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, one in ten with a planted run, with its runs and their digests."""
     return run_summary(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
@@ -100,6 +106,7 @@ QUERIES = {f.__name__: f for f in (
     op8_lm_scoring,
     op9_substring_dedup,
     op10_toxicity,
+    op11_language_id,
     op12_periodic_runs,
     op13_embedding_whitening,
 )}
