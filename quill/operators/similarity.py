@@ -80,6 +80,76 @@ def best_match(scores: DataFrame, keys: DataFrame | None = None, key: str = "id_
     return best
 
 
+def identical_vectors(side: DataFrame, id_col: str, w: str, rep: str = "_rep") -> DataFrame:
+    """``(id_col, rep)``: the least id among vectors with the same terms and weights
+    (equal to 12 places). Vectors meet by count and two 64-bit sums of hashes that
+    don't depend on the order of rows, so both aggregates combine map-side and a vector
+    that a third of all ids have reaches one task as one row per task."""
+    value = F.round(w, 12)
+    named = side.groupBy(id_col).agg(
+        F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("_term", value)).alias("_h1"),
+        F.bit_xor(F.xxhash64(value, F.lit("second"), "_term")).alias("_h2"))
+    least = named.groupBy("_n", "_h1", "_h2").agg(F.min(id_col).alias(rep))
+    return named.join(least, ["_n", "_h1", "_h2"]).select(id_col, rep)
+
+
+def _one_of_each(side: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
+    return side.join(classes.where(F.col("_rep") == F.col(id_col)).select(id_col), id_col, "left_semi")
+
+
+def _after(part, id_col: str):
+    """``part`` over the terms of a vector that follow in the order rarest first."""
+    order = Window.partitionBy(id_col).orderBy("_df", "_term").rowsBetween(1, Window.unboundedFollowing)
+    return F.coalesce(part.over(order), F.lit(0.0))
+
+
+def _score_pairs(pairs: DataFrame, lhs: DataFrame, rhs: DataFrame, a: str, b: str) -> DataFrame:
+    return (pairs.join(rhs.select(b, "_term", "r_w"), b).join(lhs.select(a, "_term", "l_w"), [a, "_term"])
+            .groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
+
+
+#: steps of a title weight and of its remaining norm that share a block of an index list
+BLOCK_STEPS = 8
+
+
+def match_candidates(lhs: DataFrame, rhs: DataFrame, own: DataFrame, a: str, b: str,
+                     slack: float) -> DataFrame:
+    """``(a, b)``: pairs that can be a left vector's best, from sides ``(a, _term, l_w)``
+    and ``(b, _term, r_w)``; ``own`` holds pairs worth a first look. See
+    :func:`best_match_bounded`."""
+    common = (lhs.groupBy("_term").agg(F.count(F.lit(1)).alias("_df"))
+              .join(rhs.select("_term").distinct(), "_term"))
+    lhs = (lhs.join(common, "_term")
+           .withColumn("l_rest", F.sqrt(_after(F.sum(F.col("l_w") * F.col("l_w")), a)))
+           .withColumn("l_most", _after(F.max("l_w"), a)))
+    rhs = (rhs.join(common, "_term")
+           .withColumn("r_rest", F.sqrt(_after(F.sum(F.col("r_w") * F.col("r_w")), b)))
+           .withColumn("r_sum", _after(F.sum("r_w"), b)))
+    lhs = written(lhs.select(a, "_term", "l_w", "l_rest", "l_most"))
+    rhs = written(rhs.select(b, "_term", "r_w", "r_rest", "r_sum", (
+        F.floor(F.col("r_w") * BLOCK_STEPS) * (BLOCK_STEPS + 1) + F.floor(F.col("r_rest") * BLOCK_STEPS)).alias("_block")))
+
+    def bound(w, rest, total):
+        return F.col("l_w") * F.col(w) + F.least(F.col("l_rest") * F.col(rest), F.col("l_most") * F.col(total))
+
+    # first round: the given pairs, and the heaviest title of the most promising term
+    champion = rhs.groupBy("_term").agg(F.max("r_w").alias("_w"), F.min_by(b, F.struct(-F.col("r_w"), F.col(b))).alias(b))
+    first = (lhs.join(champion, "_term").groupBy(a)
+             .agg(F.max_by(b, F.struct(F.col("l_w") * F.col("_w"), F.col("_term"))).alias(b)))
+    least = (_score_pairs(own.unionByName(first.select(a, b)).distinct(), lhs, rhs, a, b)
+             .groupBy(a).agg((F.max("cos") - slack).alias("_least")))
+    # second round: blocks, then pairs, whose bound reaches the best of the first
+    blocks = rhs.groupBy("_term", "_block").agg(F.max("r_w").alias("_w"), F.max("r_rest").alias("_rest"), F.max("r_sum").alias("_sum"))
+    needed = (lhs.join(least, a).join(blocks, "_term").where(bound("_w", "_rest", "_sum") >= F.col("_least"))
+              .drop("_w", "_rest", "_sum"))
+    met = needed.join(rhs, ["_term", "_block"]).where(bound("r_w", "r_rest", "r_sum") >= F.col("_least"))
+    pairs = written(met.groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("_got"),
+                                          F.max(bound("r_w", "r_rest", "r_sum")).alias("_most")))
+    # what the pairs have for certain raises the bar once more
+    bar = pairs.groupBy(a).agg((F.max("_got") - slack).alias("_bar"))
+    return pairs.join(bar, a).where(F.col("_most") >= F.col("_bar")).select(a, b)
+
+
 def best_match_bounded(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
                        term: str = "term", w: str = "w_norm", out: tuple[str, str] = ("id_1", "id_2"),
                        digits: int = 9) -> DataFrame:
@@ -88,34 +158,32 @@ def best_match_bounded(left: DataFrame, right: DataFrame, left_id: str = "id", r
     :func:`cosine_pairs` with ``normalized=True``, without the pairs that cannot
     win. Weights must be non-negative (TF-IDF). One path at every size:
 
-    1. A lower bound per left vector: its score with the right vector of the same
-       id (0 without one), an equi-join on (id, term).
-    2. Each left term can add at most its weight times the term's largest right
-       weight. With terms in descending order of that product, a right vector that
-       has none of the first ``i`` terms scores at most the sum over the rest. So
-       only the leading terms are searched, up to where that sum falls below the
-       lower bound; these are the rarest-and-heaviest terms, not the common ones.
-    3. Right vectors that have a leading term are candidates and are scored over
-       all their terms.
-
-    The joins are equi-joins of two large sides, whose hot terms adaptive execution
-    splits. A vector without a positive score is not in the result. Both inputs are
-    read several times: pass tables or written intermediates."""
+    1. Identical vectors are one: of equal right vectors only the least id can win, and
+       equal left ones have the same best (:func:`identical_vectors`).
+    2. Terms are put in one order, rarest on the left side first. If ``t`` is the first
+       term that two vectors share, their score is at most ``l_t r_t`` plus the lesser of
+       ``|l after t| |r after t|`` (suffix norms) and ``max(l after t) * sum(r after t)``.
+       This bound is small for common terms, so pairs that meet only there are dropped.
+    3. First round: every left vector is scored against the right one of its own id
+       and against the heaviest right vector of its most promising term. The better of
+       the two is what a winner has to reach.
+    4. Second round: the right vectors of a term lie in blocks of similar weight and
+       suffix norm. A left term meets the blocks whose maxima pass the bound, then the
+       vectors there that pass it themselves. What pairs have for certain raises the bar
+       again; the rest is scored over all terms.
+
+    All joins are equi-joins. A vector without a positive score is not in the result.
+    Both inputs are read several times: pass tables or written intermediates."""
     a, b = out
     lhs = _side(left, left_id, term, w, "l").withColumnRenamed("l_id", a)
     rhs = _side(right, right_id, term, w, "r").withColumnRenamed("r_id", b)
-    guess = (lhs.join(rhs.withColumnRenamed(b, a), [a, "_term"])
-             .groupBy(a).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("_least")))
-    top = rhs.groupBy("_term").agg(F.max("r_w").alias("_most"))
-    # a window over one left vector's terms: bounded by the text it came from
-    order = Window.partitionBy(a).orderBy((F.col("l_w") * F.col("_most")).desc(), "_term")
-    rest = F.sum(F.col("l_w") * F.col("_most")).over(order.rowsBetween(0, Window.unboundedFollowing))
-    leading = (lhs.join(top, "_term").withColumn("_rest", rest).join(guess, a, "left")
-               .where(F.col("_rest") >= F.coalesce("_least", F.lit(0.0)) - 10.0 ** (1 - digits)))
-    pairs = leading.select(a, "_term").join(rhs.select(b, "_term"), "_term").select(a, b).distinct()
-    scored = (pairs.join(rhs, b).join(lhs, [a, "_term"]).groupBy(a, b)
-              .agg(F.sum(F.col("l_w") * F.col("r_w")).alias("cos")))
-    return best_match(scored, None, a, b, "cos", digits)
+    l_class, r_class = (written(identical_vectors(side, i, x)) for side, i, x in ((lhs, a, "l_w"), (rhs, b, "r_w")))
+    lhs, rhs = _one_of_each(lhs, l_class, a), _one_of_each(rhs, r_class, b)
+    own = (l_class.join(r_class.withColumnRenamed("_rep", "_other"), F.col(a) == F.col(b))
+           .select(F.col("_rep").alias(a), F.col("_other").alias(b)))
+    pairs = match_candidates(lhs, rhs, own, a, b, 10.0 ** (1 - digits))
+    best = best_match(_score_pairs(pairs, lhs, rhs, a, b), None, a, b, "cos", digits)
+    return (l_class.join(best.withColumnRenamed(a, "_rep"), "_rep").select(a, "best", "cos"))
 
 
 def match_indicator(best: DataFrame, key: str = "id_1", best_col: str = "best") -> DataFrame:
@@ -171,14 +239,82 @@ def similarity_matrix(vectors: DataFrame, group_col: str = "category", term: str
     return once.select(F.explode(both).alias("_p"), "value").select("_p.category_1", "_p.category_2", "value")
 
 
+#: levels of document frequency per doubling, see :func:`group_neighbours`
+LEVELS_PER_DOUBLING = 4
+
+
+def group_neighbours(vectors: DataFrame, threshold: float, group_col: str = "category", term: str = "term",
+                     value: str = "tf") -> DataFrame:
+    """``(category_1, category_2, value)``, ``category_1 < category_2``: the pairs of
+    groups whose cosine is at least ``threshold`` (above 0), without the full matrix.
+    Weights must be non-negative.
+
+    Terms are put in levels by the number of groups that have them, rare ones first. If
+    two groups share no term below a level, their cosine is at most the product of
+    their unit vectors' norms from that level on. So a vector is indexed only by its
+    leading terms, up to the level from which its norm falls below the threshold, and
+    two groups that meet there are a candidate only if the product of these norms
+    reaches it. Candidates are scored over all terms. Norms per level are sums over
+    (group, level), some tens of rows a group, so no task holds a whole vector."""
+    vectors = written(vectors.where(F.col(value).isNotNull() & (F.col(value) != 0))
+                      .select(F.col(group_col).alias("_g"), F.col(term).alias("_term"), F.col(value).cast("double").alias("_v"))
+                      .where(F.col("_g").isNotNull()))
+    norms = vectors.groupBy("_g").agg(F.sqrt(F.sum(F.col("_v") * F.col("_v"))).alias("_norm"))
+    levels = vectors.groupBy("_term").agg(
+        F.floor(F.log2(F.count(F.lit(1))) * LEVELS_PER_DOUBLING).alias("_level"))
+    unit = written(vectors.join(levels, "_term").join(norms, "_g")
+                   .select("_g", "_term", "_level", (F.col("_v") / F.col("_norm")).alias("_w")))
+    from_here = Window.partitionBy("_g").orderBy("_level").rowsBetween(0, Window.unboundedFollowing)
+    slack = 1e-9
+    rest = (unit.groupBy("_g", "_level").agg(F.sum(F.col("_w") * F.col("_w")).alias("_mass"))
+            .select("_g", "_level", F.sqrt(F.sum("_mass").over(from_here)).alias("_rest"))
+            .where(F.col("_rest") >= threshold - slack))
+    leading = unit.join(rest, ["_g", "_level"]).select("_g", "_term", "_rest")
+    a, b = (leading.select(F.col("_g").alias(f"category_{i}"), "_term", F.col("_rest").alias(f"_rest{i}")) for i in (1, 2))
+    pairs = (a.join(b, "_term").where((F.col("category_1") < F.col("category_2"))
+                                      & (F.col("_rest1") * F.col("_rest2") >= threshold - slack))
+             .select("category_1", "category_2").distinct())
+    a, b = (unit.select(F.col("_g").alias(f"category_{i}"), "_term", F.col("_w").alias(f"_w{i}")) for i in (1, 2))
+    return (pairs.join(a, "category_1").join(b, ["category_2", "_term"])
+            .groupBy("category_1", "category_2").agg(F.sum(F.col("_w1") * F.col("_w2")).alias("value"))
+            .where(F.col("value") >= threshold))
+
+
+def tile_matrix(pairs: DataFrame, tile: int = 256, row: str = "category_1", col: str = "category_2",
+                value: str = "value", fill: float = 0.0) -> DataFrame:
+    """``(row_block, col_block, row, labels, values)``: the wide matrix in tiles of
+    ``tile`` x ``tile`` labels, for any number of labels (a pivot has a column for
+    each). One row is a row's part of a tile: ``values[k]`` belongs to column
+    ``labels[k]``; absent pairs get ``fill``. Parts without any pair are left out.
+
+    Labels are numbered in their order by a distributed ranking. A part is a
+    group of at most ``tile`` pairs, so a label with very many pairs is spread over
+    its tiles."""
+    from quill.operators.ratings import global_index
+    names = pairs.select(F.col(row).alias("_label")).unionByName(pairs.select(F.col(col).alias("_label"))).distinct()
+    numbered = written(global_index(names.where(F.col("_label").isNotNull()), [F.col("_label").asc()], "_at"))
+    block = numbered.groupBy(F.floor(F.col("_at") / tile).alias("col_block")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_at", "_label"))), lambda x: x["_label"]).alias("labels"))
+    part = (pairs.join(numbered.select(F.col("_label").alias(row), F.floor(F.col("_at") / tile).alias("row_block")), row)
+            .join(numbered.select(F.col("_label").alias(col), F.floor(F.col("_at") / tile).alias("col_block"),
+                                  (F.col("_at") % tile).alias("_k")), col)
+            .groupBy("row_block", "col_block", row)
+            .agg(F.map_from_entries(F.collect_list(F.struct("_k", F.col(value).alias("_v")))).alias("_cells")))
+    cells = F.transform("labels", lambda _, k: F.coalesce(F.col("_cells")[k.cast("long")], F.lit(fill)))
+    return part.join(block, "col_block").select("row_block", "col_block", row, "labels", cells.alias("values"))
+
+
 def pivot_matrix(pairs: DataFrame, values: list[str] | None = None, row: str = "category_1",
                  col: str = "category_2", value: str = "value", fill: float = 0.0) -> DataFrame:
     """Wide matrix: one row per ``row`` value, one column per ``col`` value.
 
     The labels come from the data: Spark finds the distinct ones with a small
-    job (at most ``spark.sql.pivotMaxValues``), unless ``values`` lists them.
-    Without them the long form is the result to use.
+    job (at most ``spark.sql.pivotMaxValues``), unless ``values`` lists them; the pairs
+    are written before, or both jobs would compute them. With more labels
+    :func:`tile_matrix` is the form to use.
     """
+    if values is None:
+        pairs = written(pairs.select(row, col, value))
     wide = pairs.groupBy(row).pivot(col, values).agg(F.first(value))
     # labels may hold dots (``cs.DB``): address every column quoted
     return wide.select(F.col(f"`{row}`"), *[

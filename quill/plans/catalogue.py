@@ -219,6 +219,33 @@ def category_matrix(spark, d):
     return SM.pivot_matrix(m.select("category_1", "category_2", _r("value")))
 
 
+def _mixed_vectors(spark, d):
+    """Whole ``source language`` strings as categories."""
+    docs, toks = _doc_tokens(spark, d)
+    named = docs.select("id", F.concat_ws(" ", "source", "lang").alias("category"))
+    return SM.group_term_vectors(TX.term_frequency(toks), named)
+
+
+def category_neighbours(spark, d):
+    """Sources whose documents are alike (cosine of at least 0.9)."""
+    near = SM.group_neighbours(_category_vectors(spark, d, "source"), 0.9, "source")
+    return near.select("category_1", "category_2", _r("value"))
+
+
+def category_neighbours_mixed(spark, d):
+    """The same for every source and language: most pairs never meet."""
+    near = SM.group_neighbours(_mixed_vectors(spark, d), 0.9)
+    return near.select("category_1", "category_2", _r("value"))
+
+
+def category_tiles(spark, d):
+    """The source matrix in tiles of 6 by 6, one row per cell."""
+    m = SM.similarity_matrix(_category_vectors(spark, d, "source"), "source")
+    tiles = SM.tile_matrix(m.select("category_1", "category_2", _r("value")), tile=6)
+    return tiles.select("row_block", "col_block", "category_1", F.explode(F.arrays_zip("labels", "values")).alias("_c")).select(
+        "row_block", "col_block", "category_1", F.col("_c.labels").alias("category_2"), F.col("_c.values").alias("value"))
+
+
 # ---------------------------------------------------------------- ratings
 def nested_explode(spark, d):
     return RT.explode_items(FX.users_items_nested(spark, d))
@@ -394,6 +421,9 @@ QUERIES: dict[str, Query] = {
     "category_cosine": category_cosine,
     "category_cosine_source": category_cosine_source,
     "category_matrix": category_matrix,
+    "category_neighbours": category_neighbours,
+    "category_neighbours_mixed": category_neighbours_mixed,
+    "category_tiles": category_tiles,
     "nested_explode": nested_explode,
     "item_median": item_median,
     "playtime_rating": playtime_rating,

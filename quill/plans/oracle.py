@@ -97,8 +97,8 @@ TOP1 = ("best AS (SELECT abstract_id, title_id AS best_title_id, cos FROM (SELEC
 
 def _category(by: str) -> list[str]:
     return DOC_TEXT[:3] + [
-        f"ctf AS (SELECT d.{by} AS id, t.term, CAST(sum(t.tf) AS BIGINT) AS tf FROM tf t "
-        f"JOIN docs d ON t.id = d.id GROUP BY d.{by}, t.term)",
+        f"ctf AS (SELECT {by} AS id, t.term, CAST(sum(t.tf) AS BIGINT) AS tf FROM tf t "
+        f"JOIN docs d ON t.id = d.id GROUP BY {by}, t.term)",
         _cosine("cc", "ctf", "ctf", "tf", ("category_1", "category_2"))]
 
 
@@ -214,12 +214,23 @@ ORACLE: dict[str, str] = {
     "title_match_accuracy": _with(PAGE_TEXT + [TOP1],
                                   "SELECT 'accuracy' AS label, round(100.0::DOUBLE * CAST(sum(match) AS DOUBLE) "
                                   "/ CAST((SELECT count(*) FROM pg) AS DOUBLE), 6) AS value FROM top"),
-    "category_tf": _with(_category("lang")[:4], "SELECT id AS category, term, tf FROM ctf"),
-    "category_cosine": _with(_category("lang"),
+    "category_tf": _with(_category("d.lang")[:4], "SELECT id AS category, term, tf FROM ctf"),
+    "category_cosine": _with(_category("d.lang"),
                              "SELECT category_1, category_2, round(cos, 6) AS value FROM cc"),
-    "category_cosine_source": _with(_category("source"),
+    "category_cosine_source": _with(_category("d.source"),
                                     "SELECT category_1, category_2, round(cos, 6) AS value FROM cc"),
-    "category_matrix": _with(_category("lang"),
+    "category_neighbours": _with(_category("d.source"),
+                                 "SELECT category_1, category_2, round(cos, 6) AS value FROM cc "
+                                 "WHERE category_1 < category_2 AND cos >= 0.9"),
+    "category_neighbours_mixed": _with(_category("d.source || ' ' || d.lang"),
+                                       "SELECT category_1, category_2, round(cos, 6) AS value FROM cc "
+                                       "WHERE category_1 < category_2 AND cos >= 0.9"),
+    "category_tiles": _with(_category("d.source") + [
+        "num AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS at FROM (SELECT DISTINCT id FROM ctf))"],
+        "SELECT r.at // 6 AS row_block, c.at // 6 AS col_block, r.id AS category_1, c.id AS category_2, "
+        "coalesce(round(cos, 6), 0.0) AS value FROM num r CROSS JOIN num c "
+        "LEFT JOIN cc ON category_1 = r.id AND category_2 = c.id"),
+    "category_matrix": _with(_category("d.lang"),
                              "SELECT category_1, "
                              + ", ".join(f"coalesce(max(round(cos, 6)) FILTER (WHERE category_2 = '{c}'), 0.0) AS {c}"
                                          for c in ("de", "en", "es", "fr"))
