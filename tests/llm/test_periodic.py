@@ -1,0 +1,134 @@
+"""Periodic runs: transform, runs and the query against plain versions."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quill.llm import periodic, queries
+from .cases import HARD
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_runs(words):
+    """Every maximal stretch per period, checked word by word; the least period of each."""
+    best, n = {}, len(words)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(6, 4 * q):
+                best.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted((a, m, q) for (a, m), q in best.items())
+
+
+def found(texts):
+    bounds = np.cumsum([0, *map(len, texts)])
+    ids = periodic.number_words(np.array([w for t in texts for w in t], np.uint64), bounds)
+    return [list(zip(*(c.tolist() for c in row))) for row in [periodic.find_runs(ids, bounds)]][0], bounds
+
+
+@pytest.mark.parametrize("prime", periodic.PRIMES)
+@pytest.mark.parametrize("n", [2, 8, 64])
+def test_transform_gives_cyclic_products(prime, n):
+    t, rng = periodic.Transform(n, *prime), np.random.default_rng(n)
+    a, b = (rng.integers(0, prime[0], (n, 3)).astype(np.uint64) for _ in range(2))
+    assert (t.inverse(t.forward(a)) == a).all()
+    got = t.inverse(t.forward(a) * t.forward(b) % np.uint64(prime[0]))
+    for c in range(3):
+        for k in range(n):
+            assert int(got[k, c]) == sum(int(a[i, c]) * int(b[(k - i) % n, c]) for i in range(n)) % prime[0]
+
+
+def test_occurrences_are_exact_with_large_numbers():
+    """Differences whose squares add up to a multiple of the first prime don't count."""
+    rng = np.random.default_rng(1)
+    ids = rng.integers(1, 1 << 30, 4096)
+    ids[1300:1364] = ids[1200:1264]
+    blocks = np.arange(0, 3968, 64)
+    s, d = periodic.occurrences(ids, blocks, 64)
+    want = [(a, j) for a in blocks for j in range(64, 128) if (ids[a:a + 64] == ids[a + j:a + j + 64]).all()]
+    assert sorted(zip(s.tolist(), d.tolist())) == want
+    # 40000^2 + 20265^2 + 59^2 + 21^2 + ... : a sum of squares that the first prime divides
+    p = periodic.PRIMES[0][0]
+    a = next(a for a in range(1, 1 << 16) for b in [int((p - a * a) ** 0.5)] if b * b == p - a * a)
+    b = int((p - a * a) ** 0.5)
+    s, _ = periodic.occurrences(np.array([1, 1, 1 + a, 1 + b, 9, 9]), np.array([0]), 2)
+    assert a * a + b * b == p and len(s) == 0
+
+
+def test_runs_of_random_texts():
+    rng = random.Random(5)
+    for _ in range(300):
+        texts = []
+        for _ in range(rng.randint(1, 5)):
+            k, n = rng.choice([1, 2, 3, 5, 50]), rng.randint(0, 130)
+            w = [rng.randint(1, k) for _ in range(n)]
+            if n > 4 and rng.random() < 0.6:
+                a = rng.randrange(n)
+                p = rng.randint(1, max(1, (n - a) // 3))
+                w = w[:a] + [w[a + (i - a) % p] for i in range(a, n)] + [rng.randint(1, k) for _ in range(rng.randint(0, 20))]
+            texts.append(w)
+        got, bounds = found(texts)
+        assert got == [(int(bounds[i]) + a, m, q) for i, t in enumerate(texts) for a, m, q in plain_runs(t)]
+
+
+def test_long_texts():
+    rng = random.Random(2)
+    part = [rng.randint(1, 10 ** 6) for _ in range(30_000)]
+    text = [7] * 50_000 + [8] + part * 5 + [rng.randint(1, 10 ** 6) for _ in range(10_000)]
+    assert found([text])[0] == [(0, 50_000, 1), (50_001, 150_000, 30_000)]
+
+
+def test_query(spark):
+    got = {r.doc_id: r for r in queries.op12_periodic_runs(spark, SF).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert got.keys() == texts.keys()
+    for d, text in texts.items():
+        w, h = re.findall(r"[^\x20\x09-\x0D]+", text or ""), zlib.crc32(str(d).encode())
+        if h % 10 == 0 and w:
+            g, n = h // 10, len(w)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+        runs, r = plain_runs(w), got[d]
+        best = min(runs, key=lambda x: (-x[1], x[0], x[2]), default=(None,) * 3)
+        assert (r.n_runs, r.start, r.length, r.period) == (len(runs), *best)
+        assert r.exponent_milli == (1000 * best[1] // best[2] if runs else None)
+        gone = {i for a, m, q in runs for i in range(a + q, a + m)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        assert r.runs_sha256 == hashlib.sha256("".join(f"{a},{m},{q}\n" for a, m, q in runs).encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_hard_rows(spark, hard, clashing, empty, docs_of):
+    rows = periodic.run_summary(periodic.periodic_runs(hard)).collect()
+    assert len(rows) == len(HARD)
+    nothing = hashlib.sha256(b"").hexdigest()
+    by_id = {r.doc_id: r for r in rows if r.doc_id is not None}
+    for d in (1, 2, 3):
+        assert by_id[d][1:6] == (0, None, None, None, None) and by_id[d].runs_sha256 == by_id[d].collapsed_sha256 == nothing
+    assert by_id[6][1:6] == (1, 0, 160, 4, 40_000)      # 40 times the same four words
+    assert by_id[7].n_runs == 0                         # one very long word
+    assert by_id[8][1:6] == (1, 0, 16_000, 4, 4_000_000)
+    assert by_id[8].collapsed_sha256 == hashlib.sha256(b"the end of it").hexdigest()
+    assert sorted(map(str, periodic.run_summary(periodic.periodic_runs(clashing)).collect())) == sorted(map(str, rows))
+    assert periodic.run_summary(periodic.periodic_runs(empty)).count() == 0
+    # ties: two runs of one length, the first one is told
+    tie = docs_of([(1, "a " * 8 + "x " + "b " * 8)])
+    assert periodic.run_summary(periodic.periodic_runs(tie)).first()[1:5] == (2, 0, 8, 1)
+
+
+def test_planting_leaves_rows_without_id_or_words(spark, docs_of):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
+    docs = docs_of([(ids[0], None), (ids[1], " \n"), (None, "a b  c"), (ids[2], "a b  c")]).withColumn("_g", F.lit("x"))
+    got = {(r.doc_id, r.text) for r in periodic.with_planted_runs(docs).collect()}
+    assert {(ids[0], None), (ids[1], " \n"), (None, "a b  c")} < got and len(got) == 4
