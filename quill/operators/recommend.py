@@ -10,7 +10,10 @@ same after an executor is lost.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,24 +105,105 @@ def top_n(model: ALSModel, users: DataFrame, n: int = TOP_N, rank: int | None =
     return out
 
 
+@dataclass
+class Fit:
+    """One model of a sweep: its rank, pairs tested and error."""
+    rank: int
+    model: ALSModel
+    n_test: int
+    rmse: float | None
+
+
+def sweep_fits(triples: DataFrame, ranks: Iterable[int] = DEFAULT_RANKS, at_once: int = 1, **fit_kwargs) -> list[Fit]:
+    """One model per rank on the same split, fitted and tested ``at_once`` at a time.
+
+    The triples are written once (to the shared scratch folder), dealt by user, and
+    every fit reads that copy. Fits that run together are submitted from threads of the
+    driver, each in a scheduler pool of its own: with ``spark.scheduler.mode=FAIR`` they
+    share the executors evenly, otherwise later ones fill what earlier ones leave idle,
+    which is much with few blocks or at the end of each half-step. Models and errors
+    are the same as one after another. Only one row per rank reaches the driver."""
+    train, test = hash_split(written(triples.repartition("user")))
+    sc = triples.sparkSession.sparkContext
+
+    def run(rank: int) -> Fit:
+        before = sc.getLocalProperty("spark.scheduler.pool")
+        sc.setLocalProperty("spark.scheduler.pool", f"rank-{rank}")
+        try:
+            model = fit_implicit(train, rank=rank, **fit_kwargs)
+            err = rmse(predict(model, test)).first()
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", before)
+        return Fit(int(rank), model, err["n_test"], err["rmse"])
+
+    ranks = list(ranks)
+    if at_once <= 1:
+        return [run(rank) for rank in ranks]
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(inheritable_thread_target(triples.sparkSession)(run), ranks))
+
+
 def rank_sweep(triples: DataFrame, ranks: Iterable[int] = DEFAULT_RANKS, users: DataFrame | None = None,
-               n: int = TOP_N, **fit_kwargs) -> tuple[DataFrame, DataFrame | None]:
-    """Fit one model per rank on the same split.
+               n: int = TOP_N, at_once: int = 1, **fit_kwargs) -> tuple[DataFrame, DataFrame | None]:
+    """Fit one model per rank on the same split (:func:`sweep_fits`).
 
     Returns ``(errors, recommendations)``: ``errors`` is ``(rank, n_test, rmse)``,
     one row per rank; ``recommendations`` is the union of :func:`top_n` per
-    rank for ``users`` (None when no users are given). The triples are
-    written once (to the shared scratch folder); train and test
-    are filters over that copy, read by every fit of the loop; each fit is a
-    Spark job of its own.
-    """
-    train, test = hash_split(written(triples))
-    errors, recs = None, None
-    for rank in ranks:
-        model = fit_implicit(train, rank=rank, **fit_kwargs)
-        err = rmse(predict(model, test)).select(F.lit(int(rank)).alias("rank"), "n_test", "rmse")
-        errors = err if errors is None else errors.unionByName(err)
-        if users is not None:
-            r = top_n(model, users, n, rank)
+    rank for ``users`` (None when no users are given)."""
+    fits = sweep_fits(triples, ranks, at_once, **fit_kwargs)
+    errors = triples.sparkSession.createDataFrame([(f.rank, f.n_test, f.rmse) for f in fits], "rank int, n_test long, rmse double")
+    recs = None
+    if users is not None:
+        for f in fits:
+            r = top_n(f.model, users, n, f.rank)
             recs = r if recs is None else recs.unionByName(r)
     return errors, recs
+
+
+def gram_matrix(factors: DataFrame) -> DataFrame:
+    """``(i, j, g)``, ``i <= j``: sums of products of factor components over all rows of
+    ``(id, features)``. Products are summed in each task first, so rank^2 / 2 numbers a
+    task are shuffled."""
+    first = factors.select("features", F.posexplode("features").alias("i", "_x"))
+    return (first.select("i", "_x", F.posexplode("features").alias("j", "_y")).where("i <= j")
+            .groupBy("i", "j").agg(F.sum(F.col("_x").cast("double") * F.col("_y").cast("double")).alias("g")))
+
+
+def half_step_residuals(model: ALSModel, train: DataFrame, alpha: float = ALPHA, reg_param: float = REG_PARAM) -> DataFrame:
+    """``(user, n, residual)``: how well each user's factors ``x`` solve the last half-step.
+
+    Implicit ALS ends by solving, for fixed item factors ``y``, the normal equations
+    ``(Y'Y + sum c y y' + reg n I) x = sum (1 + c) y`` of every user, where ``c = alpha
+    |rating|``, the sums run over the user's items (the right one over ratings above 0, of
+    which there are ``n``). ``residual`` is the norm of their difference over the norm of the
+    right side. A fit that went wrong, or factors that belong to another model, show here.
+
+    The Gram matrix ``Y'Y`` is a distributed sum; ``rank`` rows of it are broadcast (rank
+    bounds their size). Sums per user and component combine in each task first."""
+    x = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("x"))
+    y = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("y"))
+    g = gram_matrix(model.itemFactors)
+    both = g.unionByName(g.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "g"))
+    row = both.groupBy("i").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "g"))), lambda e: e["g"]).alias("g"))
+
+    def dot(u, v):
+        return F.aggregate(F.zip_with(u, v, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, p: s + p)
+
+    c = F.lit(alpha) * F.abs(F.col("rating").cast("double"))
+    liked = (F.col("rating") > 0).cast("double")
+    rated = (train.where("rating != 0").join(x, "user").join(y, "item")
+             .select("user", "y", (c * dot("x", "y") - (1 + c) * liked).alias("_off"), ((1 + c) * liked).alias("_b"), liked.alias("_one"))
+             .select("user", "_off", "_b", "_one", F.posexplode("y").alias("i", "_y"))
+             .groupBy("user", "i").agg(F.sum(F.col("_off") * F.col("_y")).alias("_off"), F.sum(F.col("_b") * F.col("_y")).alias("_b"),
+                                       F.sum("_one").alias("n")))
+    own = x.select("user", "x", F.posexplode("x").alias("i", "_x")).join(F.broadcast(row), "i").select("user", "i", "_x", dot("x", "g").alias("_gx"))
+    parts = rated.join(own, ["user", "i"])
+    off = F.col("_gx") + F.col("_off") + reg_param * F.col("n") * F.col("_x")
+    return parts.groupBy("user").agg(F.max("n").cast("long").alias("n"),
+                                     F.sqrt(F.sum(off * off) / F.sum(F.col("_b") * F.col("_b"))).alias("residual"))
+
+
+def residuals_by_block(residuals: DataFrame, blocks: int = 10) -> DataFrame:
+    """``(block, n_users, mean, worst)`` per block of users, dealt as the fit deals them."""
+    return residuals.groupBy(F.pmod("user", F.lit(blocks)).alias("block")).agg(
+        F.count(F.lit(1)).alias("n_users"), F.avg("residual").alias("mean"), F.max("residual").alias("worst"))

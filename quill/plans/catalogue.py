@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quill.functions.text import clean_text
@@ -353,47 +353,75 @@ def als_input(spark, d, source="recommend"):
     return written(triples), items
 
 
-def _fitted(spark, d, rank=10):
-    triples, items = als_input(spark, d)
+def _fitted(spark, d, rank=10, source="recommend"):
+    triples, items = als_input(spark, d, source)
     train, test = RC.hash_split(triples)
-    return RC.fit_implicit(train, rank=rank), test, items
+    return RC.fit_implicit(train, rank=rank), train, test, items
+
+
+# Scores differ from run to run in their last places and have no SQL twin: tests compare
+# them with a plain computation. What is fixed about them, which pairs, positions and
+# counts there are, is the ``_facts`` query of each, which has one.
+def als_predict(spark, d, source="recommend"):
+    """Test pairs with their predicted preference (users and items unseen in training get none)."""
+    model, _, test, items = _fitted(spark, d, source=source)
+    return RC.predict(model, test).join(items, "item").select("user", "item_id", "rating", "prediction")
+
 
+def als_predict_facts(spark, d):
+    return als_predict(spark, d).where(~F.isnan("prediction")).select("user", "item_id", "rating")
 
-# Scores differ from run to run in their last places and have no SQL twin; the
-# queries below return what is fixed about them.
-def als_predict(spark, d):
-    """The test pairs that get a score (users and items unseen in training get none)."""
-    model, test, items = _fitted(spark, d)
-    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction")
-    return RC.predict(model, test).join(items, "item").select("user", "item_id", "rating", finite.alias("predicted"))
 
+def als_predict_sentiment(spark, d):
+    """:func:`als_predict` on ratings fused with sentiment."""
+    return als_predict(spark, d, "sentiment")
 
-def _errors(errors):
-    # ratings are 1-5 and preferences about 0-1, so the error lies between
-    return errors.select("rank", "n_test", ((F.col("rmse") > 0) & (F.col("rmse") < 5)).alias("in_range"))
+
+def als_predict_implicit(spark, d):
+    """:func:`als_predict` on ratings from play time alone."""
+    return als_predict(spark, d, "implicit")
 
 
 def als_rmse(spark, d):
-    model, test, _ = _fitted(spark, d)
-    return _errors(RC.rmse(RC.predict(model, test)).withColumn("rank", F.lit(10)))
+    """Error of one model: pairs tested and root mean squared error."""
+    model, _, test, _ = _fitted(spark, d)
+    return RC.rmse(RC.predict(model, test)).select(F.lit(10).alias("rank"), "n_test", "rmse")
+
+
+def als_rmse_facts(spark, d):
+    return als_rmse(spark, d).select("rank", "n_test")
+
+
+def als_residual(spark, d):
+    """How exactly each user block's factors solve the last half-step of the fit."""
+    model, train, _, _ = _fitted(spark, d)
+    return RC.residuals_by_block(RC.half_step_residuals(model, train))
+
+
+def als_residual_facts(spark, d):
+    return als_residual(spark, d).select("block", "n_users", (F.col("worst") < 1e-3).alias("solved"))
 
 
 def als_topn(spark, d):
-    """Top lists of users 0-7 for every rank of the sweep."""
+    """Top lists of users 0-7, with items and scores, for every rank of the sweep."""
     triples, items = als_input(spark, d)
     users = spark.range(ALS_USERS).select(F.col("id").cast("int").alias("user"))
-    _, recs = RC.rank_sweep(triples, users=users)
-    # ten rows per user and rank
-    before = F.lag("score").over(Window.partitionBy("rank", "user").orderBy("pos"))
-    return recs.join(items, "item", "left").select(
-        "rank", "user", "pos", F.col("item_id").isNotNull().alias("known_item"),
-        (F.col("score") <= F.coalesce(before, F.col("score"))).alias("in_order"))
+    _, recs = RC.rank_sweep(triples, users=users, at_once=len(RC.DEFAULT_RANKS))
+    return recs.join(items, "item").select("rank", "user", "pos", "item_id", "score")
+
+
+def als_topn_facts(spark, d):
+    return als_topn(spark, d).select("rank", "user", "pos")
 
 
 def als_rank_sweep(spark, d):
-    """Error table of all ranks."""
+    """Error table of all ranks, fitted at the same time."""
     triples, _ = als_input(spark, d)
-    return _errors(RC.rank_sweep(triples)[0])
+    return RC.rank_sweep(triples, at_once=len(RC.DEFAULT_RANKS))[0]
+
+
+def als_rank_sweep_facts(spark, d):
+    return als_rank_sweep(spark, d).select("rank", "n_test")
 
 
 QUERIES: dict[str, Query] = {
@@ -440,7 +468,15 @@ QUERIES: dict[str, Query] = {
     "train_test_split": train_test_split,
     "rmse_metric": rmse_metric,
     "als_predict": als_predict,
+    "als_predict_facts": als_predict_facts,
+    "als_predict_sentiment": als_predict_sentiment,
+    "als_predict_implicit": als_predict_implicit,
     "als_rmse": als_rmse,
+    "als_rmse_facts": als_rmse_facts,
+    "als_residual": als_residual,
+    "als_residual_facts": als_residual_facts,
     "als_topn": als_topn,
+    "als_topn_facts": als_topn_facts,
     "als_rank_sweep": als_rank_sweep,
+    "als_rank_sweep_facts": als_rank_sweep_facts,
 }

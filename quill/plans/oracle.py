@@ -257,13 +257,14 @@ ORACLE: dict[str, str] = {
                          "CAST(sum(l_quantity) AS FLOAT) AS rating, "
                          f"({_split('o_custkey', 'l_partkey')}) < 8 AS train "
                          "FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey"),
-    "als_predict": _with(ALS_SPLIT, "SELECT CAST(user AS INTEGER) AS user, item_id, CAST(rating AS FLOAT) AS rating, "
-                         "true AS predicted FROM seen"),
-    "als_rmse": _with(ALS_SPLIT, "SELECT 10 AS rank, count(*) AS n_test, true AS in_range FROM seen"),
-    "als_topn": _with(ALS_SPLIT, "SELECT rank, CAST(u.user AS INTEGER) AS user, CAST(p.pos AS INTEGER) AS pos, "
-                      "true AS known_item, true AS in_order FROM ranks, (SELECT DISTINCT user FROM train WHERE user < 8) u, "
-                      "(SELECT unnest(range(1, 1 + least(10, count(DISTINCT item)))) AS pos FROM train) p"),
-    "als_rank_sweep": _with(ALS_SPLIT, "SELECT rank, count(*) AS n_test, true AS in_range FROM ranks, seen GROUP BY rank"),
+    "als_predict_facts": _with(ALS_SPLIT, "SELECT CAST(user AS INTEGER) AS user, item_id, CAST(rating AS FLOAT) AS rating FROM seen"),
+    "als_rmse_facts": _with(ALS_SPLIT, "SELECT 10 AS rank, count(*) AS n_test FROM seen"),
+    "als_residual_facts": _with(ALS_SPLIT, "SELECT CAST(user % 10 AS INTEGER) AS block, count(DISTINCT user) AS n_users, "
+                                "true AS solved FROM train GROUP BY 1"),
+    "als_topn_facts": _with(ALS_SPLIT, "SELECT rank, CAST(u.user AS INTEGER) AS user, CAST(p.pos AS INTEGER) AS pos "
+                            "FROM ranks, (SELECT DISTINCT user FROM train WHERE user < 8) u, "
+                            "(SELECT unnest(range(1, 1 + least(10, count(DISTINCT item)))) AS pos FROM train) p"),
+    "als_rank_sweep_facts": _with(ALS_SPLIT, "SELECT rank, count(*) AS n_test FROM ranks, seen GROUP BY rank"),
     "rmse_metric": ("SELECT round(sqrt(avg((l.l_quantity - m.prediction) * (l.l_quantity - m.prediction))), 6) "
                     "AS rmse FROM lineitem l JOIN (SELECT l_partkey, avg(l_quantity) AS prediction "
                     "FROM lineitem GROUP BY l_partkey) m ON l.l_partkey = m.l_partkey"),
