@@ -4,7 +4,7 @@
     python -m quill.jobs title-match PAPERS STOPWORDS OUT
     python -m quill.jobs category-matrix PAPERS STOPWORDS OUT
     python -m quill.jobs ratings USERS_ITEMS SENTIMENTS USER_REVIEWS OUT
-    python -m quill.jobs recommend RATINGS_DIR OUT [--source recommend] [--ranks 10,20,...]
+    python -m quill.jobs recommend RATINGS_DIR OUT [--source recommend] [--ranks 10,20,...] [--at-once 6]
 
 On a cluster: ``spark-submit --py-files quill.zip quill/jobs.py <job> ...``. Inputs: reviews and papers are JSON lines;
 product metadata, user items and user reviews are Python-literal lines;
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quill.operators import index as IX
 from quill.operators import ratings as RT
 from quill.operators import recommend as RC
 from quill.operators import reviews as RV
@@ -74,9 +75,12 @@ def _papers(spark, papers, stopwords):
 
 def title_match(spark: SparkSession, papers: str, stopwords: str, out: str) -> str:
     docs, stop = _papers(spark, papers, stopwords)
-    body = TX.tfidf_index(docs, "id", "abstract", stop=stop)
-    title = TX.query_index(docs, docs, "id", "title", "abstract", stop=stop)
-    body, title = (written(v.select("id", "term", "w_norm")) for v in (body, title))
+    # abstracts are tokenised once: titles are weighted against the index's terms
+    index = IX.build_index(docs, "id", "abstract", stop)
+    tokens = TX.tokenize(TX.by_document(docs), "id", "title")
+    title = index.query_side(TX.term_frequency(TX.remove_stop_words(tokens, stop)))
+    body, title = (written(v.select("id", "term", "w_norm")) for v in (index.normalized(), title))
+    index.drop()
     best = SM.best_match_bounded(body, title, out=("abstract_id", "title_id"))
     keys = docs.select(F.col("id").alias("abstract_id"))
     top = SM.match_indicator(keys.join(best, "abstract_id", "left"), "abstract_id", "best")
@@ -109,7 +113,7 @@ def ratings(spark: SparkSession, users_items: str, sentiments: str, user_reviews
 
 
 def recommend(spark: SparkSession, ratings_dir: str, out: str, source: str = "recommend",
-              ranks: tuple[int, ...] = RC.DEFAULT_RANKS, users: int = 8, n: int = RC.TOP_N) -> str:
+              ranks: tuple[int, ...] = RC.DEFAULT_RANKS, users: int = 8, n: int = RC.TOP_N, at_once: int = 1) -> str:
     name = {"implicit": "encoded_ratings", "sentiment": "sentiment_ratings",
             "recommend": "recommend_ratings"}[source]
     path = os.path.join(ratings_dir, name)
@@ -122,9 +126,10 @@ def recommend(spark: SparkSession, ratings_dir: str, out: str, source: str = "re
     item_index = RC.index_ids(df, "item_id", "item")
     triples = RC.as_triples(df.join(item_index, "item_id"), "user_id_encoded", "item", value)
     who = spark.range(users).select(F.col("id").cast("int").alias("user"))
-    errors, recs = RC.rank_sweep(triples, ranks, users=who, n=n)
+    errors, recs = RC.rank_sweep(triples, ranks, users=who, n=n, at_once=at_once)
     recs = recs.join(item_index, "item").select("rank", "user", "pos", "item_id", "score")
-    _out(recs, out, "top_recommendations", partition_by=["rank"])
+    # a rank that is run again replaces its lists only
+    IO.write_partitions(recs, os.path.join(out, "top_recommendations"), ["rank"], "csv")
     return _out(errors, out, "rank_rmse", single_file=True)
 
 
@@ -148,6 +153,7 @@ def main(argv=None):
     parsers["review-board"].add_argument("--k", type=int, default=15)
     d = parsers["recommend"]
     d.add_argument("--source", default="recommend", choices=("implicit", "sentiment", "recommend"))
+    d.add_argument("--at-once", type=int, default=1, help="models fitted at the same time")
     d.add_argument("--ranks", default=",".join(str(r) for r in RC.DEFAULT_RANKS))
     args = p.parse_args(argv)
 
@@ -167,7 +173,7 @@ def main(argv=None):
         ratings(spark, args.users_items, args.sentiments, args.user_reviews, args.out)
     else:
         recommend(spark, args.ratings_dir, args.out, args.source,
-                  tuple(int(r) for r in args.ranks.split(",")))
+                  tuple(int(r) for r in args.ranks.split(",")), at_once=args.at_once)
 
 
 if __name__ == "__main__":

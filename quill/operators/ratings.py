@@ -34,6 +34,28 @@ def item_median(items: DataFrame, item_col: str = "item_id",
         F.percentile_approx(value_col, 0.5, accuracy).alias("median"))
 
 
+def value_sketches(items: DataFrame, item_col: str = "item_id", value_col: str = "playtime_forever",
+                   k: int = 200) -> DataFrame:
+    """``(item, n, sketch)``: a mergeable KLL quantile sketch of each item's values, kept as a
+    binary column. Keep the table, and add tomorrow's rows by sketching only these
+    (:func:`merge_sketches`). Null values don't count. Ranks are right within about 1.33 %
+    of ``n`` at ``k = 200`` (99 of 100 times); up to ``k`` values are kept exactly."""
+    values = items.where(F.col(value_col).isNotNull())
+    return values.groupBy(item_col).agg(F.count(F.lit(1)).alias("n"),
+                                        F.kll_sketch_agg_double(F.col(value_col).cast("double"), k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, item_col: str = "item_id", k: int = 200) -> DataFrame:
+    """One sketch per item from the union of sketch tables. Sketches merge in each task
+    first, so an item with very many of them crosses the network once per task."""
+    return sketches.groupBy(item_col).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def sketch_median(sketches: DataFrame, item_col: str = "item_id") -> DataFrame:
+    """``(item, n, median)``: the least kept value that half of an item's values reach."""
+    return sketches.select(item_col, "n", F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"))
+
+
 def playtime_rating(items: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
                     value_col: str = "playtime_forever") -> DataFrame:
     """``(user, item, playtime, median, rating)``: the 1..5 tier of each row's
@@ -78,10 +100,33 @@ def index_users(items: DataFrame, user_col: str = "user_id", out: str = "user_id
     return ranked.withColumn(out, F.col(out).cast("int")).select(user_col, "n", out)
 
 
+def grow_index(index: DataFrame, items: DataFrame, user_col: str = "user_id", out: str = "user_id_encoded") -> DataFrame:
+    """``index`` with the users of ``items`` that it lacks: ``(user, n, out)``. Old codes
+    stay; new users get the next ones, by descending number of rows in ``items``, ties by
+    the id read as a string. ``n`` is the number of rows a user came in with. An empty
+    ``index`` gives :func:`index_users`."""
+    counts = items.groupBy(user_col).agg(F.count(F.lit(1)).alias("n"))
+    new = counts.join(index.select(user_col), counts[user_col].eqNullSafe(index[user_col]), "left_anti")
+    ranked = global_index(new, [F.col("n").desc(), F.col(user_col).cast("string").asc()], "_at")
+    # one row: the first free code
+    free = index.select((F.coalesce(F.max(out), F.lit(-1)) + 1).alias("_free")).scalar()
+    return index.select(user_col, "n", out).unionByName(
+        ranked.select(user_col, "n", (F.col("_at") + free).cast("int").alias(out)))
+
+
 def encode_users(items: DataFrame, index: DataFrame, user_col: str = "user_id",
-                 out: str = "user_id_encoded") -> DataFrame:
-    """Adds the user's index; every user must be in ``index``."""
-    return items.join(index.select(user_col, out), on=user_col, how="inner")
+                 out: str = "user_id_encoded", unseen: str = "error") -> DataFrame:
+    """Adds the user's index. A user who is not in ``index`` (a null one included) fails
+    the query, as a row that silently went would bias every later count; ``unseen='null'``
+    keeps such rows with a null code, ``unseen='drop'`` leaves them out."""
+    joined = items.join(index.select(user_col, out), on=user_col, how="inner" if unseen == "drop" else "left")
+    if unseen == "error":
+        message = F.concat(F.lit("user not in the index: "), F.coalesce(F.col(user_col).cast("string"), F.lit("null")))
+        code = F.when(F.col(out).isNull(), F.raise_error(message).cast("int")).otherwise(F.col(out))
+        joined = joined.withColumn(out, code)
+    elif unseen not in ("null", "drop"):
+        raise ValueError(f"unseen={unseen!r}")
+    return joined
 
 
 def decode_users(encoded: DataFrame, index: DataFrame, user_col: str = "user_id",

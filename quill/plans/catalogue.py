@@ -10,15 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quill.functions.text import clean_text
+from quill.operators import index as IX
 from quill.operators import ratings as RT
 from quill.operators import recommend as RC
 from quill.operators import reviews as RV
 from quill.operators import similarity as SM
 from quill.operators import text as TX
 from quill.plans import fixtures as FX
-from quill.sources.scratch import written
+from quill.sources import files as IO
+from quill.sources import literal_source as LS
+from quill.sources.scratch import scratch_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +41,83 @@ def src_json(spark, d):
     return ev.select("event_id", F.from_json("props", "k BIGINT").getField("k").alias("k"))
 
 
+# Files written from a test table to the scratch folder, then read by the sources.
+def _text_file(spark, lines):
+    path = scratch_path(spark)
+    lines.toDF("value").write.text(path)
+    return path
+
+
+def _good_and_bad(lenient, *columns):
+    good, bad = IO.split_malformed(lenient)
+    return good.select(*columns, F.lit(None).cast("string").alias("line")).unionByName(
+        bad.select(*[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in columns], "line"))
+
+
+def malformed_json(spark, d):
+    """JSON lines of events, every seventh cut short: rows, and the lines that are none."""
+    line = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    cut = F.when(F.col("event_id") % 7 == 0, F.substring(line, 1, 20)).otherwise(line)
+    path = _text_file(spark, FX.events(spark, d).select(cut))
+    return _good_and_bad(IO.read_lenient(spark, path, "event_id BIGINT, user_id BIGINT, event_type STRING"),
+                         "event_id", "user_id", "event_type")
+
+
+def _part_lines(spark, d, cut):
+    line = F.format_string("{'key': %d, u'brand': u'%s', 'size': %s, 'new': True}", "p_partkey", "p_brand",
+                           F.when(F.col("p_size") % 10 == 0, "None").otherwise(F.col("p_size").cast("string")))
+    if cut:
+        line = F.when(F.col("p_partkey") % 7 == 0, F.substring(line, 1, 12)).otherwise(line)
+    return _text_file(spark, FX.table(spark, d, "part").select(line))
+
+
+_PART = T.StructType([T.StructField("key", T.LongType()), T.StructField("brand", T.StringType()),
+                      T.StructField("size", T.IntegerType())])
+
+
+def malformed_literals(spark, d):
+    """The same for Python-literal lines of parts."""
+    return _good_and_bad(IO.read_lenient(spark, _part_lines(spark, d, True), _PART, "literals"), "key", "brand", "size")
+
+
+def malformed_csv(spark, d):
+    """The same for CSV lines of customers, every seventh with a word for its nation."""
+    nation = F.when(F.col("c_custkey") % 7 == 0, F.lit("none")).otherwise(F.col("c_nationkey").cast("string"))
+    path = _text_file(spark, FX.table(spark, d, "customer").select(F.concat_ws(",", "c_custkey", "c_mktsegment", nation)))
+    return _good_and_bad(IO.read_lenient(spark, path, "custkey BIGINT, segment STRING, nation INT", "csv", header=False),
+                         "custkey", "segment", "nation")
+
+
+def src_literals(spark, d):
+    """Python-literal lines through the registered data source, in small byte ranges."""
+    reader = spark.read.format(LS.register(spark)).schema(_PART).option("splitBytes", 4096)
+    return reader.load(_part_lines(spark, d, False))
+
+
+def src_csv_columns(spark, d):
+    """A written CSV read by header names, columns in another order."""
+    path = scratch_path(spark)
+    IO.write_result(FX.table(spark, d, "customer").select("c_name", "c_acctbal", "c_custkey"), path, "csv")
+    return IO.read_csv_columns(spark, path, {"c_custkey": "bigint", "c_acctbal": "double"})
+
+
+def src_stop_words(spark, d):
+    """Documents without the words of a stop-word file."""
+    path = _text_file(spark, spark.createDataFrame([(w,) for w in FX.STOP_WORDS], "value string"))
+    _, toks = _doc_tokens(spark, d, stop=False, colocate=False)
+    kept = TX.remove_stop_words(toks, IO.read_stop_words(spark, path))
+    return kept.groupBy("id").agg(F.count(F.lit(1)).alias("n_kept"))
+
+
+def sink_partitions(spark, d):
+    """Daily statistics written by year, all of them twice and one year a third time: one copy."""
+    path = scratch_path(spark)
+    stats = RV.daily_review_stats(FX.reviews(spark, d)).withColumn("year", F.year("review_date"))
+    for part in (stats, stats, stats.where("year = 1997")):
+        IO.write_partitions(part, path, ["year"])
+    return spark.read.parquet(path).select("asin", "review_date", "n", "year")
+
+
 # ---------------------------------------------------------------- reviews
 def daily_reviews(spark, d):
     return RV.daily_review_stats(FX.reviews(spark, d), digits=2)
@@ -118,6 +199,20 @@ def tfidf_norm(spark, d):
     return w.select("id", "term", _r("w_norm"))
 
 
+def _index(spark, d):
+    return IX.build_index(FX.documents(spark, d), "id", "abstract", FX.STOP_WORDS, hot=500)
+
+
+def tfidf_indexed(spark, d):
+    """:func:`tfidf` from the bucketed postings, without an exchange."""
+    return _index(spark, d).reweighted().select("id", "term", "tf", "df", _r("w"))
+
+
+def tfidf_norm_indexed(spark, d):
+    """:func:`tfidf_norm` from the bucketed weights, without an exchange."""
+    return _index(spark, d).normalized().select("id", "term", _r("w_norm"))
+
+
 def doc_vector(spark, d):
     docs, tf = _doc_tf(spark, d)
     df = TX.document_frequency(tf)
@@ -255,6 +350,14 @@ def item_median(spark, d):
     return RT.item_median(FX.users_items(spark, d))
 
 
+def item_median_sketch(spark, d):
+    """Medians from sketches of odd and even order lines, kept and then merged."""
+    lines = FX.order_lines(spark, d).select(F.col("l_partkey").alias("item_id"), F.col("l_quantity").alias("playtime_forever"),
+                                            (F.col("l_linenumber") % 2).alias("half"))
+    halves = [written(RT.value_sketches(lines.where(F.col("half") == i))) for i in (0, 1)]
+    return RT.sketch_median(RT.merge_sketches(halves[0].unionByName(halves[1])))
+
+
 def playtime_rating(spark, d):
     return RT.playtime_rating(FX.users_items(spark, d)).select(
         "user_id", "item_id", "playtime_forever", "median", "rating")
@@ -275,6 +378,13 @@ def user_index_decode(spark, d):
     return RT.decode_users(codes, index).select("user_id_encoded", "user_id")
 
 
+def user_index_grow(spark, d):
+    """Users of the orders of the first half-year, then those that all orders add."""
+    lines = FX.order_lines(spark, d).select(F.col("o_custkey").alias("user_id"), "o_orderdate")
+    first = written(RT.index_users(lines.where("o_orderdate < DATE '1995-07-01'")))
+    return RT.grow_index(first, lines)
+
+
 def _encoded_ratings(spark, d):
     items = FX.users_items(spark, d)
     rated = RT.playtime_rating(items).select("user_id", "item_id", "rating")
@@ -426,6 +536,13 @@ def als_rank_sweep_facts(spark, d):
 
 QUERIES: dict[str, Query] = {
     "src_json": src_json,
+    "malformed_json": malformed_json,
+    "malformed_literals": malformed_literals,
+    "malformed_csv": malformed_csv,
+    "src_literals": src_literals,
+    "src_csv_columns": src_csv_columns,
+    "src_stop_words": src_stop_words,
+    "sink_partitions": sink_partitions,
     "daily_reviews": daily_reviews,
     "brand_filter": brand_filter,
     "daily_reviews_brand": daily_reviews_brand,
@@ -438,6 +555,8 @@ QUERIES: dict[str, Query] = {
     "doc_freq": doc_freq,
     "tfidf": tfidf,
     "tfidf_norm": tfidf_norm,
+    "tfidf_indexed": tfidf_indexed,
+    "tfidf_norm_indexed": tfidf_norm_indexed,
     "doc_vector": doc_vector,
     "title_term_freq": title_term_freq,
     "title_tfidf": title_tfidf,
@@ -454,9 +573,11 @@ QUERIES: dict[str, Query] = {
     "category_tiles": category_tiles,
     "nested_explode": nested_explode,
     "item_median": item_median,
+    "item_median_sketch": item_median_sketch,
     "playtime_rating": playtime_rating,
     "user_distinct": user_distinct,
     "user_index": user_index,
+    "user_index_grow": user_index_grow,
     "user_index_decode": user_index_decode,
     "sentiment_bucket": sentiment_bucket,
     "fuse_sentiment": fuse_sentiment,

@@ -55,15 +55,16 @@ def titled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace(F.regexp_extract(html, ARTICLE_PATTERN, 1), TAG_PATTERN, " ").alias("body"))
 
 
-def _orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their orders; Spark reads the columns a view asks for."""
     li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
 
 
 def users_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat ``(user_id, item_id, playtime_forever)``, one row per order line."""
-    return _orders_lines(spark, sf_dir).select(
+    return order_lines(spark, sf_dir).select(
         F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
         F.col("l_quantity").alias("playtime_forever"))
 
@@ -72,7 +73,7 @@ def users_items_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested ``(user_id, items: array<struct<item_id, playtime_forever>>)``,
     one record per order (an order has a bounded number of lines), so a user
     with many orders has many records and no array grows with the user."""
-    lines = _orders_lines(spark, sf_dir)
+    lines = order_lines(spark, sf_dir)
     return (lines.groupBy("o_orderkey", "o_custkey")
             .agg(F.collect_list(F.struct(F.col("l_partkey").alias("item_id"),
                                          F.col("l_quantity").alias("playtime_forever"))).alias("items"))
@@ -82,7 +83,7 @@ def users_items_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_id, item_id, vader_score)``, one row per pair, open lines only
     (so a left join has misses)."""
-    return (_orders_lines(spark, sf_dir).where(F.col("l_linestatus") == "O")
+    return (order_lines(spark, sf_dir).where(F.col("l_linestatus") == "O")
             .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
             .agg(F.max(F.round(F.col("l_discount") - F.lit(0.05), 2)).alias("vader_score")))
 
@@ -91,14 +92,14 @@ def user_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_id, item_id, recommend BOOLEAN)``: returned lines do not
     recommend, accepted ones do, the rest have no review."""
     flag = F.when(F.col("l_returnflag") == "R", F.lit(0)).when(F.col("l_returnflag") == "A", F.lit(1))
-    return (_orders_lines(spark, sf_dir).where(F.col("l_returnflag") != "N")
+    return (order_lines(spark, sf_dir).where(F.col("l_returnflag") != "N")
             .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
             .agg((F.max(flag) == 1).alias("recommend")))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_idx, item_id, rating)``: summed quantity per customer and part."""
-    return (_orders_lines(spark, sf_dir)
+    return (order_lines(spark, sf_dir)
             .groupBy(F.col("o_custkey").alias("user_idx"), F.col("l_partkey").alias("item_id"))
             .agg(F.sum("l_quantity").alias("rating")))
 

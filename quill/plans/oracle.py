@@ -171,7 +171,37 @@ def _with(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+def _cut(key: str, line: str, shown: str, n: int | None) -> str:
+    """Good rows, and as lines those whose key 7 divides (cut to ``n`` characters)."""
+    columns = shown.split(", ")
+    named = ", ".join(f"CASE WHEN {key} % 7 <> 0 THEN {c} END AS {c.split('.')[-1]}" for c in columns)
+    text = f"substr({line}, 1, {n})" if n else line
+    return f"SELECT {named}, CASE WHEN {key} % 7 = 0 THEN {text} END AS line"
+
+
+_PARTS = ("(SELECT p_partkey AS key, p_brand AS brand, CASE WHEN p_size % 10 <> 0 THEN p_size END AS size FROM part)")
+
 ORACLE: dict[str, str] = {
+    "malformed_json": _cut("event_id", "'{\"event_id\":' || event_id || ',\"user_id\":' || user_id || ',\"event_type\":\"' "
+                           "|| event_type || '\"}'", "event_id, user_id, event_type", 20) + " FROM events",
+    "malformed_literals": _cut("key", "'{''key'': ' || key || ', u''brand'': u'", "key, brand, size", 12) + f" FROM {_PARTS}",
+    "malformed_csv": _cut("custkey", "custkey || ',' || segment || ',none'", "custkey, segment, nation", None)
+    + " FROM (SELECT c_custkey AS custkey, c_mktsegment AS segment, c_nationkey AS nation FROM customer)",
+    "src_literals": f"SELECT key, brand, size FROM {_PARTS}",
+    "src_csv_columns": "SELECT c_custkey, c_acctbal FROM customer",
+    "src_stop_words": _with(DOC_TEXT[:2], "SELECT id, count(*) AS n_kept FROM toks GROUP BY id"),
+    "sink_partitions": _with([REVIEWS, STATS], "SELECT asin, review_date, n, CAST(year(review_date) AS INTEGER) AS year FROM stats"),
+    "tfidf_indexed": _with(DOC_TEXT, "SELECT id, term, tf, df, round(w, 6) AS w FROM wt"),
+    "tfidf_norm_indexed": _with(DOC_TEXT + [_normalized("wn", "wt", zero=False)],
+                                "SELECT id, term, round(w_norm, 6) AS w_norm FROM wn"),
+    "item_median_sketch": _with([USERS_ITEMS], "SELECT item_id, count(*) AS n, quantile_disc(playtime_forever, 0.5) AS median "
+                                "FROM ui GROUP BY item_id"),
+    "user_index_grow": _with([
+        "al AS (SELECT o_custkey AS user_id, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey)",
+        "old AS (SELECT user_id, count(*) AS n FROM al WHERE o_orderdate < DATE '1995-07-01' GROUP BY user_id)",
+        "new AS (SELECT user_id, count(*) AS n FROM al WHERE user_id NOT IN (SELECT user_id FROM old) GROUP BY user_id)"],
+        "SELECT user_id, n, CAST(row_number() OVER (ORDER BY batch, n DESC, CAST(user_id AS VARCHAR)) - 1 AS INTEGER) "
+        "AS user_id_encoded FROM (SELECT 1 AS batch, * FROM old UNION ALL SELECT 2, * FROM new)"),
     "src_json": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "daily_reviews": _with([REVIEWS, STATS], "SELECT asin, review_date, n, avg_overall, "
                            "round(avg_overall, 2) AS avg_2 FROM stats"),

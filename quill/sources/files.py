@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quill.sources.scratch import written
+
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str,
                     mode: str = "FAILFAST") -> DataFrame:
@@ -80,7 +82,7 @@ def _to_field(value, dtype: T.DataType):
     return value
 
 
-def _literal_decoder(schema: T.StructType, permissive: bool):
+def _literal_decoder(schema: T.StructType, permissive: bool, corrupt: str | None = None):
     arrow_schema = to_arrow_schema(schema)   # declared types throughout: no integer ever becomes a float
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,12 +90,14 @@ def _literal_decoder(schema: T.StructType, permissive: bool):
             rows = []
             for line in batch.column(0).to_pylist():
                 try:
-                    obj = ast.literal_eval(line)
-                    rows.append(_to_field(obj, schema))
+                    row = _to_field(ast.literal_eval(line), schema)
+                    if corrupt is not None:
+                        row[corrupt] = None
+                    rows.append(row)
                 except Exception:
                     if not permissive:
                         raise
-                    rows.append({f.name: None for f in schema.fields})
+                    rows.append({f.name: line if f.name == corrupt else None for f in schema.fields})
             yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
     return decode
 
@@ -108,6 +112,52 @@ def read_python_literals(spark: SparkSession, path: str, schema: T.StructType,
     return lines.mapInArrow(_literal_decoder(schema, mode.upper() == "PERMISSIVE"), schema)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def with_corrupt(schema: T.StructType | str) -> T.StructType:
+    """``schema`` and a string column for lines that don't fit it."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def read_lenient(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json",
+                 header: bool = True) -> DataFrame:
+    """``schema`` and ``_corrupt_record``, which holds the whole line where it is malformed
+    (not a JSON object, a literal or a CSV row, or of other types) and is null elsewhere.
+    ``fmt``: ``json``, ``csv`` or ``literals``. A malformed line gives one row."""
+    full = with_corrupt(schema)
+    if fmt == "literals":
+        lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
+        return lines.mapInArrow(_literal_decoder(full, True, CORRUPT), full)
+    reader = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if fmt == "csv":
+        return reader.option("header", header).option("quote", '"').option("escape", '"').csv(path)
+    return reader.json(path)
+
+
+def split_malformed(lenient: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` rows of :func:`read_lenient`: good ones without the corrupt column, bad
+    ones as ``(line)``. Both come from one scan: the rows are written once to the
+    shared scratch folder, in two partitions, and read from there."""
+    marked = lenient.withColumn("_bad", F.col(CORRUPT).isNotNull())
+    both = written(marked, partition_by=["_bad"])
+    return (both.where(~F.col("_bad")).drop("_bad", CORRUPT),
+            both.where(F.col("_bad")).select(F.col(CORRUPT).alias("line")))
+
+
+def write_partitions(df: DataFrame, path: str, by: list[str], fmt: str = "parquet") -> None:
+    """A sink that can be repeated: replaces the partitions (a rank, a day) that ``df`` has
+    and leaves all others, so a job that is run again leaves one copy. Rows are dealt by
+    partition with large ones split, so that a day with a third of all rows is not one
+    task's."""
+    w = df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
+    if fmt == "csv":
+        w = w.option("header", True)
+    w.partitionBy(*by).save(path)
+
+
 def write_result(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                  header: bool = True, partition_by: list[str] | None = None,
                  single_file: bool = False) -> None:

@@ -2,19 +2,52 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quill.session import ensure_checkpoint_dir
 
+_made: dict[str, list[str]] = {}
 
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder that the cluster names in
-    ``spark.checkpoint.dir`` and read it back: computed once however many branches
-    read it, columns pruned on reading, and lineage cut, so that a lost executor costs
-    only the tasks that read the files again."""
-    spark = df.sparkSession
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path below the shared folder that the cluster names in
+    ``spark.checkpoint.dir``. What lies there is deleted by :func:`clear`, at the latest
+    when the driver's process ends in good order."""
+    context = spark.sparkContext.applicationId
+    if context not in _made:
+        _made[context] = []
+        atexit.register(_at_exit, spark)
     path = f"{ensure_checkpoint_dir(spark)}/quill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _made[context].append(path)
+    return path
+
+
+def written(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to a scratch path and read it back: computed once however
+    many branches read it, columns pruned on reading, and lineage cut, so that a lost
+    executor costs only the tasks that read the files again."""
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path, partitionBy=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):                # the JVM may be gone already
+        clear(spark)
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes every intermediate that this application has written; returns how many.
+    Call it when no result that reads them is needed any more."""
+    sc = spark.sparkContext
+    if sc._jsc is None:                                 # stopped: nothing to delete with
+        return 0
+    paths, gone = _made.get(sc.applicationId, []), 0
+    while paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        gone += path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
