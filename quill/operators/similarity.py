@@ -98,8 +98,9 @@ def _one_of_each(side: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
 
 
 def _after(part, id_col: str):
-    """``part`` over the terms of a vector that follow in the order rarest first."""
-    order = Window.partitionBy(id_col).orderBy("_df", "_term").rowsBetween(1, Window.unboundedFollowing)
+    """``part`` over the terms of a vector that follow in the order rarest first (as what
+    precedes in the opposite order, which is one pass)."""
+    order = Window.partitionBy(id_col).orderBy(F.desc("_df"), F.desc("_term")).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(part.over(order), F.lit(0.0))
 
 
@@ -117,8 +118,7 @@ def match_candidates(lhs: DataFrame, rhs: DataFrame, own: DataFrame, a: str, b:
     """``(a, b)``: pairs that can be a left vector's best, from sides ``(a, _term, l_w)``
     and ``(b, _term, r_w)``; ``own`` holds pairs worth a first look. See
     :func:`best_match_bounded`."""
-    common = (lhs.groupBy("_term").agg(F.count(F.lit(1)).alias("_df"))
-              .join(rhs.select("_term").distinct(), "_term"))
+    common = lhs.groupBy("_term").agg(F.count(F.lit(1)).alias("_df"))
     lhs = (lhs.join(common, "_term")
            .withColumn("l_rest", F.sqrt(_after(F.sum(F.col("l_w") * F.col("l_w")), a)))
            .withColumn("l_most", _after(F.max("l_w"), a)))
@@ -143,11 +143,7 @@ def match_candidates(lhs: DataFrame, rhs: DataFrame, own: DataFrame, a: str, b:
     needed = (lhs.join(least, a).join(blocks, "_term").where(bound("_w", "_rest", "_sum") >= F.col("_least"))
               .drop("_w", "_rest", "_sum"))
     met = needed.join(rhs, ["_term", "_block"]).where(bound("r_w", "r_rest", "r_sum") >= F.col("_least"))
-    pairs = written(met.groupBy(a, b).agg(F.sum(F.col("l_w") * F.col("r_w")).alias("_got"),
-                                          F.max(bound("r_w", "r_rest", "r_sum")).alias("_most")))
-    # what the pairs have for certain raises the bar once more
-    bar = pairs.groupBy(a).agg((F.max("_got") - slack).alias("_bar"))
-    return pairs.join(bar, a).where(F.col("_most") >= F.col("_bar")).select(a, b)
+    return met.select(a, b).distinct()
 
 
 def best_match_bounded(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
@@ -169,14 +165,14 @@ def best_match_bounded(left: DataFrame, right: DataFrame, left_id: str = "id", r
        the two is what a winner has to reach.
     4. Second round: the right vectors of a term lie in blocks of similar weight and
        suffix norm. A left term meets the blocks whose maxima pass the bound, then the
-       vectors there that pass it themselves. What pairs have for certain raises the bar
-       again; the rest is scored over all terms.
+       vectors there that pass it themselves. These pairs are scored over all terms.
 
     All joins are equi-joins. A vector without a positive score is not in the result.
     Both inputs are read several times: pass tables or written intermediates."""
     a, b = out
-    lhs = _side(left, left_id, term, w, "l").withColumnRenamed("l_id", a)
     rhs = _side(right, right_id, term, w, "r").withColumnRenamed("r_id", b)
+    # terms that no right vector has add nothing: most of a long left vector goes here
+    lhs = written(_side(left, left_id, term, w, "l").withColumnRenamed("l_id", a).join(rhs.select("_term").distinct(), "_term", "left_semi"))
     l_class, r_class = (written(identical_vectors(side, i, x)) for side, i, x in ((lhs, a, "l_w"), (rhs, b, "r_w")))
     lhs, rhs = _one_of_each(lhs, l_class, a), _one_of_each(rhs, r_class, b)
     own = (l_class.join(r_class.withColumnRenamed("_rep", "_other"), F.col(a) == F.col(b))
@@ -264,7 +260,7 @@ def group_neighbours(vectors: DataFrame, threshold: float, group_col: str = "cat
         F.floor(F.log2(F.count(F.lit(1))) * LEVELS_PER_DOUBLING).alias("_level"))
     unit = written(vectors.join(levels, "_term").join(norms, "_g")
                    .select("_g", "_term", "_level", (F.col("_v") / F.col("_norm")).alias("_w")))
-    from_here = Window.partitionBy("_g").orderBy("_level").rowsBetween(0, Window.unboundedFollowing)
+    from_here = Window.partitionBy("_g").orderBy(F.desc("_level")).rowsBetween(Window.unboundedPreceding, 0)
     slack = 1e-9
     rest = (unit.groupBy("_g", "_level").agg(F.sum(F.col("_w") * F.col("_w")).alias("_mass"))
             .select("_g", "_level", F.sqrt(F.sum("_mass").over(from_here)).alias("_rest"))

@@ -49,6 +49,7 @@ def test_random_vectors_of_all_shapes(spark, seed):
 def _candidates(spark, body, title):
     lhs = SM._side(body, "id", "term", "w_norm", "l").withColumnRenamed("l_id", "a")
     rhs = SM._side(title, "id", "term", "w_norm", "r").withColumnRenamed("r_id", "b")
+    lhs = lhs.join(rhs.select("_term").distinct(), "_term", "left_semi")
     lc, rc = (SM.identical_vectors(s, i, w) for s, i, w in ((lhs, "a", "l_w"), (rhs, "b", "r_w")))
     lhs, rhs = SM._one_of_each(lhs, lc, "a"), SM._one_of_each(rhs, rc, "b")
     own = (lc.join(rc.withColumnRenamed("_rep", "_o"), F.col("a") == F.col("b"))
