@@ -12,11 +12,17 @@ whole content (``body``); equal windows lie in runs with equal keys, so
   distinct content) meet in a task and a *resolver* compares them.
 
 Tasks first aggregate what they have read, so a passage that a third of all rows
-share crosses the network once per task, not once per row. A key with very many
-distinct stretches is split by the leading units of each window; the resolver then
-sees only the windows of its part.
+share crosses the network once per task, not once per row.
 
-Identity of keys and bodies is by 64-bit hashes each.
+A key with more than ``GROUP`` distinct stretches, such as a passage shorter than the window
+with another continuation in every text, would bring them all to one resolver.
+It is settled window by window instead: each window is a run of its own, known by its
+anchor and by its whole content, and dealt by both, so that windows meet only
+their equals; tasks aggregate equal ones first.
+
+Identity of keys and bodies is by 64-bit hashes each. Texts of one row id are told apart
+by 15 bits of a hash of theirs: two different texts under one id take each other's
+places with probability 2^-15.
 """
 
 from __future__ import annotations
@@ -36,8 +42,8 @@ from quill.llm.text import BYTE_VALUE, SPACE, U64, mix, powers, range_hash, text
 PIECE = 1 << 19
 #: runs a task gathers before it hands them on
 FLUSH_RUNS = 1 << 19
-#: distinct stretches of one key that a resolver gets together
-GROUP = 4096
+#: distinct stretches of one key that a resolver gets together at most
+GROUP = 256
 _POS_BITS = U64(21)
 
 # a place packs 16 bits of the text's hash (to tell rows with the same id apart),
@@ -163,46 +169,73 @@ def _exchange_batch(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
 
+def _hand_on(plan: Plan, n_buckets: int, parts) -> pa.RecordBatch:
+    """A task's runs ``(key, body, row, place, many)``, aggregated, as one row per bucket."""
+    key, body, row, place, many = (np.concatenate(c) for c in zip(*parts))
+    order, first, repeat, stands = _settle(plan, key, body, row, place, many)
+    key, body, row, place, many = (c[order] for c in (key, body, row, place, many))
+    out = []
+    if repeat.any():
+        out.append((int(key[0] >> U64(1)) % n_buckets, True, b"", b"", row[repeat].tobytes(),
+                    place[repeat].tobytes(), b""))
+    if not plan.ordered:
+        many = repeat
+    key, body, row, place, many = (c[stands] for c in (key, body, row, place, many))
+    bucket = (mix(key) % U64(n_buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    key, body, row, place, many, bucket = (c[order] for c in (key, body, row, place, many, bucket))
+    cuts = np.append(_first_of(bucket), len(bucket))
+    out += [(int(bucket[a]), False, key[a:b].tobytes(), body[a:b].tobytes(), row[a:b].tobytes(),
+             place[a:b].tobytes(), many[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
+    return _exchange_batch(out)
+
+
+def _in_flushes(plan: Plan, n_buckets: int, runs: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    parts, size = [], 0
+    for run in runs:
+        parts.append(run)
+        size += len(run[0])
+        if size >= FLUSH_RUNS:
+            yield _hand_on(plan, n_buckets, parts)
+            parts, size = [], 0
+    if size:
+        yield _hand_on(plan, n_buckets, parts)
+
+
 def _gather(plan: Plan, n_buckets: int):
     """Scan: every text's runs, aggregated per task, as one row per bucket of keys."""
-    def hand_on(parts) -> pa.RecordBatch:
-        key, body, row, place = (np.concatenate(c) for c in zip(*parts))
-        many = np.zeros(len(key), bool)
-        order, first, repeat, stands = _settle(plan, key, body, row, place, many)
-        key, body, row, place = key[order], body[order], row[order], place[order]
-        out = []
-        if repeat.any():
-            out.append((int(key[0] >> U64(1)) % n_buckets, True, b"", b"", row[repeat].tobytes(),
-                        place[repeat].tobytes(), b""))
-        if not plan.ordered:
-            many = repeat
-        key, body, row, place, many = (c[stands] for c in (key, body, row, place, many))
-        bucket = (mix(key) % U64(n_buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        key, body, row, place, many, bucket = (c[order] for c in (key, body, row, place, many, bucket))
-        cuts = np.append(_first_of(bucket), len(bucket))
-        out += [(int(bucket[a]), False, key[a:b].tobytes(), body[a:b].tobytes(), row[a:b].tobytes(),
-                 place[a:b].tobytes(), many[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
-        return _exchange_batch(out)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+    def runs(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, values in plan.texts(batch.column(1)):
                 if len(values) < plan.window:
                     continue
                 key, body, start, n = runs_of(values, plan.window, plan.gram)
-                parts.append((key, body, np.full(len(key), ids[i], np.int64),
-                              pack_place(text_tag(values), start, n)))
-                size += len(key)
-                if size >= FLUSH_RUNS:
-                    yield hand_on(parts)
-                    parts, size = [], 0
-        if size:
-            yield hand_on(parts)
+                yield (key, body, np.full(len(key), ids[i], np.int64), pack_place(text_tag(values), start, n),
+                       np.zeros(len(key), bool))
 
-    return scan
+    return lambda batches: _in_flushes(plan, n_buckets, runs(batches))
+
+
+def _gather_windows(plan: Plan, n_buckets: int):
+    """Joined rows (row, text, edges): every window of the stretches of crowded keys as
+    a run of its own."""
+    def windows(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            ids, edges = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
+            for i, values in plan.texts(batch.column(1)):
+                tag = text_tag(values)
+                for e in edges[i].as_py():
+                    own, start, n = _place(e["place"])
+                    if own != tag or e["parts"] == 1:
+                        continue
+                    at = np.arange(n)
+                    body = range_hash(prefix(values[start:start + n + plan.window - 1]), at, at + plan.window)
+                    key = mix(U64(e["key"] & 0xFFFFFFFFFFFFFFFF) ^ body)
+                    yield (key, body, np.full(n, ids[i], np.int64), pack_place(tag, start + at, np.ones(n, np.int64)),
+                           np.full(n, e["many"]))
+
+    return lambda batches: _in_flushes(plan, n_buckets, windows(batches))
 
 
 def _meet(plan: Plan):
@@ -216,20 +249,8 @@ def _meet(plan: Plan):
              pa.array(np.zeros(n, bool) if many is None else many, pa.bool_())],
             ["row", "place", "key", "parts", "many"])
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = [[], [], [], [], []]
-        for batch in batches:
-            for r in batch.to_pylist():
-                if r["mark"]:
-                    yield found(np.frombuffer(r["rows"], np.int64), np.frombuffer(r["places"], np.int64), None, None, None)
-                    continue
-                for c, name, kind in zip(cols, ("keys", "bodies", "rows", "places", "many"),
-                                         (np.uint64, np.uint64, np.int64, np.int64, bool)):
-                    c.append(np.frombuffer(r[name], kind))
-        if not cols[0]:
-            return
+    def settled(cols) -> Iterator[pa.RecordBatch]:
         key, body, row, place, many = (np.concatenate(c) for c in cols)
-        del cols
         order, first, repeat, stands = _settle(plan, key, body, row, place, many)
         key, body, row, place = key[order], body[order], row[order], place[order]
         yield found(row[repeat], place[repeat], None, None, None)
@@ -240,23 +261,31 @@ def _meet(plan: Plan):
         if plan.ordered:
             needs &= np.minimum.reduceat(row, by_key) < np.maximum.reduceat(row, by_key)
         pick = np.repeat(needs, size) & stands
-        parts = np.repeat(1 + contents // GROUP, size).astype(np.int32)
+        parts = np.repeat(np.where(contents > GROUP, 2, 1), size).astype(np.int32)
         several = repeat if not plan.ordered else np.zeros(len(key), bool)
         yield found(row[pick], place[pick], key[pick], parts[pick], several[pick])
 
-    return meet
-
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols, bucket = [[], [], [], [], []], None
+        for batch in batches:
+            for r in (x for i in range(batch.num_rows) for x in batch.slice(i, 1).to_pylist()):
+                if r["mark"]:
+                    yield found(np.frombuffer(r["rows"], np.int64), np.frombuffer(r["places"], np.int64), None, None, None)
+                    continue
+                if r["bucket"] != bucket and cols[0]:   # buckets come one after another
+                    yield from settled(cols)
+                    cols = [[], [], [], [], []]
+                bucket = r["bucket"]
+                for c, name, kind in zip(cols, ("keys", "bodies", "rows", "places", "many"),
+                                         (np.uint64, np.uint64, np.int64, np.int64, bool)):
+                    c.append(np.frombuffer(r[name], kind))
+        if cols[0]:
+            yield from settled(cols)
 
-_STRETCH = "key long, part int, parts int, row long, place long, many boolean, units binary"
+    return meet
 
 
-def leading_parts(plan: Plan, values: np.ndarray, n: int, parts: int) -> np.ndarray:
-    """The part each of the first ``n`` windows of a stretch belongs to."""
-    if parts == 1:
-        return np.zeros(n, np.int64)
-    lead = min(3 if plan.words else 24, plan.window)
-    i = np.arange(n)
-    return (range_hash(prefix(values[:n + lead]), i, i + lead) % U64(parts)).astype(np.int64)
+_STRETCH = "key long, row long, place long, many boolean, units binary"
 
 
 def _cut_stretches(plan: Plan):
@@ -271,16 +300,15 @@ def _cut_stretches(plan: Plan):
                 data = None if plan.words else raw[i].as_py().encode()
                 for e in edges[i].as_py():
                     own, start, n = _place(e["place"])
-                    if own != tag:
+                    if own != tag or e["parts"] > 1:
                         continue
                     end = start + n + plan.window - 1
                     units = values[start:end].tobytes() if plan.words else data[start:end]
-                    for part in np.unique(leading_parts(plan, values[start:end], n, e["parts"])).tolist():
-                        out.append((e["key"], part, e["parts"], row[i].as_py(), e["place"], e["many"], units))
-            cols = list(zip(*out)) or [()] * 7
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+                    out.append((e["key"], row[i].as_py(), e["place"], e["many"], units))
+            cols = list(zip(*out)) or [()] * 5
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             ["key", "part", "parts", "row", "place", "many", "units"])
+                                             ["key", "row", "place", "many", "units"])
 
     return cut
 
@@ -289,9 +317,9 @@ def _place(place: int) -> tuple[int, int, int]:
     return (place >> (_N_BITS + _AT_BITS)) & 0x7FFF, (place >> _N_BITS) & ((1 << _AT_BITS) - 1), place & ((1 << _N_BITS) - 1)
 
 
-#: A resolver gets the stretches of some keys, ``(key, part, parts, row, place, many,
-#: units)`` with equal keys and parts next to each other and rows ascending, and
-#: yields ``(row, place)`` of repeated windows.
+#: A resolver gets the stretches of some keys, ``(key, row, place, many, units)`` with
+#: equal keys next to each other and rows ascending, and yields ``(row, place)`` of
+#: repeated windows.
 Resolver = Callable[[Iterator[tuple]], Iterator[tuple[int, int]]]
 
 
@@ -324,13 +352,18 @@ def find_repeats(texts: DataFrame, plan: Plan, resolver: Resolver) -> DataFrame:
     n_buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = texts.select("row", "text").where("row is not null and text != ''")
     found = written(texts.mapInArrow(_gather(plan, n_buckets), _EXCHANGE)
-                    .repartition("bucket").mapInArrow(_meet(plan), _FOUND))
+                    .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet(plan), _FOUND))
     edges = found.where("parts > 0").groupBy("row").agg(
         F.collect_list(F.struct("key", "place", "parts", "many")).alias("edges"))
-    stretches = (texts.join(edges, "row").select("row", "text", "edges").mapInArrow(_cut_stretches(plan), _STRETCH)
-                 .repartition("key", "part").sortWithinPartitions("key", "part", "row", "place"))
+    joined = texts.join(edges, "row").select("row", "text", "edges")
+    few, many = (joined.where(f"exists(edges, e -> e.parts = {n})") for n in (1, 2))
+    stretches = (few.mapInArrow(_cut_stretches(plan), _STRETCH)
+                 .repartition("key").sortWithinPartitions("key", "row", "place"))
     resolved = stretches.mapInArrow(_resolve(resolver), "row long, place long")
-    marks = found.where("parts = 0").select("row", "place").unionAll(resolved)
+    # of windows that are runs of their own none is left for a resolver
+    counted = (many.mapInArrow(_gather_windows(plan, n_buckets), _EXCHANGE).repartition("bucket")
+               .sortWithinPartitions("bucket").mapInArrow(_meet(plan), _FOUND))
+    marks = found.where("parts = 0").unionAll(counted.where("parts = 0")).select("row", "place").unionAll(resolved)
     return marks.groupBy("row").agg(F.collect_list("place").alias("places"))
 
 

@@ -9,7 +9,8 @@ straddle the factor's end (a greedy parse alone would miss repeats across a
 boundary), or by one word if no sufficiently long factor starts there. Factors of
 ``WINDOW`` words or more are duplicate spans. The stretch then joins the reference.
 
-Matches never cross texts. A document that has the run itself does not count, nor
+Matches never cross texts; a very long text is looked at in pieces that overlap by a
+window. A document that has the run itself does not count, nor
 does one with the same or a null id.
 
 Defined results: a null or empty text has no words and loses none; repeated rows
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.repeats import Plan, covered, find_repeats, leading_parts, pack_place, text_tag, unpack_place
+from quill.llm.repeats import Plan, covered, find_repeats, pack_place, text_tag, unpack_place
 
 WINDOW = 13
 PLAN = Plan(window=WINDOW, gram=5, words=True, ordered=True)
@@ -42,16 +43,15 @@ class Reference:
         self.size = window * _WORD
         self.runs: dict[bytes, tuple[bytes, int]] = {}
 
-    def add(self, block: bytes, allowed=None) -> None:
+    def add(self, block: bytes) -> None:
         for a in range(0, len(block) - self.size + 1, _WORD):
-            if allowed is None or allowed[a // _WORD]:
-                self.runs.setdefault(block[a:a + self.size], (block, a))
+            self.runs.setdefault(block[a:a + self.size], (block, a))
 
-    def factors(self, block: bytes, allowed=None) -> Iterator[tuple[int, int]]:
+    def factors(self, block: bytes) -> Iterator[tuple[int, int]]:
         """``(first word, words)`` of the factors that are long enough."""
         a, size = 0, self.size
         while a + size <= len(block):
-            hit = (allowed is None or allowed[a // _WORD]) and self.runs.get(block[a:a + size])
+            hit = self.runs.get(block[a:a + size])
             if not hit:
                 a += _WORD
                 continue
@@ -66,20 +66,17 @@ class Reference:
 
 def resolve(stretches: Iterator[tuple], plan: Plan = PLAN) -> Iterator[tuple[int, int]]:
     """Resolver: parses each stretch against those of smaller rows with its key."""
-    for (_, part, parts), group in groupby(stretches, key=lambda s: s[:3]):
+    for _, group in groupby(stretches, key=lambda s: s[0]):
         known = Reference(plan.window)
-        for row, same_row in groupby(group, key=lambda s: s[3]):
+        for row, same_row in groupby(group, key=lambda s: s[1]):
             fresh = []
-            for _, _, _, _, place, _, units in same_row:
-                tag, start, n = (int(x) for x in unpack_place(np.int64(place)))
-                allowed = None
-                if parts > 1:
-                    allowed = (leading_parts(plan, np.frombuffer(units, np.uint64), n, parts) == part).tolist()
-                for first, words in known.factors(units, allowed):
+            for _, _, place, _, units in same_row:
+                tag, start, _ = (int(x) for x in unpack_place(np.int64(place)))
+                for first, words in known.factors(units):
                     yield row, int(pack_place(tag, np.int64(start + first), np.int64(words - plan.window + 1)))
-                fresh.append((units, allowed))
-            for units, allowed in fresh:
-                known.add(units, allowed)
+                fresh.append(units)
+            for units in fresh:
+                known.add(units)
 
 
 DEDUPED = "doc_id long, n_words long, spans array<struct<start:bigint,end:bigint>>, kept string"

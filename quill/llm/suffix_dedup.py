@@ -8,7 +8,8 @@ Neighbours in the array whose common prefix reaches ``WINDOW`` bytes are repeats
 Only suffixes that start a window in question, and those their places are induced
 from, enter the array.
 
-Matches never cross texts; overlapping ones count, also within one text.
+Matches never cross texts; overlapping ones count, also within one text. A very long text
+is looked at in pieces that overlap by a window, so it is whole to every match.
 
 Defined results: a null or empty text has no bytes and no spans; repeated rows lose
 every byte that a window covers, each of them; an empty table gives no rows; rows
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quill.llm.repeats import Plan, covered, find_repeats, leading_parts, pack_place, text_tag, unpack_place
+from quill.llm.repeats import Plan, covered, find_repeats, pack_place, text_tag, unpack_place
 from quill.llm.text import BYTE_VALUE
 
 WINDOW = 400
@@ -107,15 +108,13 @@ def repeated_starts(blocks: list[bytes], wanted: np.ndarray, window: int) -> np.
 def resolve(stretches: Iterator[tuple], plan: Plan = PLAN) -> Iterator[tuple[int, int]]:
     """Resolver: repeated windows among the stretches of each key."""
     def settle(held):
-        blocks = [s[6] for s in held]
+        blocks = [s[4] for s in held]
         starts = np.cumsum([0, *map(len, blocks)])
         wanted = np.zeros(starts[-1], bool)
-        for a, (_, part, parts, _, place, _, units) in zip(starts, held):
-            n = place & 0xFFF
-            values = BYTE_VALUE[np.frombuffer(units, np.uint8)]
-            wanted[a:a + n] = leading_parts(plan, values, n, parts) == part
+        for a, (_, _, place, _, _) in zip(starts, held):
+            wanted[a:a + (place & 0xFFF)] = True
         again = repeated_starts(blocks, wanted, plan.window)
-        for a, (_, _, _, row, place, many, _) in zip(starts, held):
+        for a, (_, row, place, many, _) in zip(starts, held):
             tag, start, n = (int(x) for x in unpack_place(np.int64(place)))
             if many:                                    # known to be a repeat as a whole
                 continue
@@ -127,12 +126,12 @@ def resolve(stretches: Iterator[tuple], plan: Plan = PLAN) -> Iterator[tuple[int
 
     held, size, group = [], 0, None
     for s in stretches:
-        if size >= ARRAY_BYTES and (s[0], s[1]) != group:
+        if size >= ARRAY_BYTES and s[0] != group:
             yield from settle(held)
             held, size = [], 0
-        group = (s[0], s[1])
+        group = s[0]
         held.append(s)
-        size += len(s[6])
+        size += len(s[4])
     if held:
         yield from settle(held)
 

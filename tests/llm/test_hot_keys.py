@@ -1,0 +1,65 @@
+"""Passages shorter than a window that very many texts share, with other words after."""
+
+import random
+
+import pytest
+
+from quill.llm import repeats, rlz_dedup, suffix_dedup
+
+from .test_brute_force import without_repeats
+
+
+def texts(n, head, tail, rng):
+    return {i: head + " " + " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(tail)) for i in range(n)}
+
+
+@pytest.mark.parametrize("operator, head, tail", [(rlz_dedup, " ".join(f"c{i}" for i in range(12)), 3),
+                                                  (suffix_dedup, "x" * 150 + "common text " * 12, 30)])
+def test_no_resolver_gets_a_hot_passage(spark, docs_of, monkeypatch, operator, head, tail):
+    rows = texts(3000, head, tail, random.Random(1))
+    rows |= {10_000 + i: rows[i] for i in range(0, 3000, 50)}               # some whole copies
+    rows |= {20_000 + i: "other start " + rows[i] for i in range(0, 3000, 70)}   # windows again, in other stretches
+    plain = repeats._resolve
+
+    def watched(resolver):
+        def counted(stretches):
+            held, last = 0, None
+            for s in stretches:
+                held, last = (held + 1 if s[0] == last else 1), s[0]
+                assert held <= repeats.GROUP
+                yield s
+        return plain(lambda stretches: resolver(counted(stretches)))
+
+    monkeypatch.setattr(repeats, "_resolve", watched)
+    got = {r.doc_id: r for r in operator.repeat_summary(operator.remove_repeats(docs_of(list(rows.items()), 8))).collect()}
+    words = operator is rlz_dedup
+    units = {d: t.encode().split() if words else t.encode() for d, t in rows.items()}
+    want = without_repeats(units, operator.WINDOW, words)
+    assert {d: r.n_removed for d, r in got.items()} == {d: len(units[d]) - len(want[d][0]) for d in units}
+    assert sum(r.n_removed > 0 for r in got.values()) >= 60
+
+
+@pytest.mark.parametrize("operator", [rlz_dedup, suffix_dedup])
+def test_any_group_size_gives_the_same_rows(spark, monkeypatch, operator):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = sorted(map(str, operator.repeat_summary(operator.remove_repeats(docs)).collect()))
+    monkeypatch.setattr(repeats, "GROUP", 1)
+    monkeypatch.setattr(repeats, "FLUSH_RUNS", 300)
+    monkeypatch.setattr(repeats, "PIECE", 1000)
+    assert sorted(map(str, operator.repeat_summary(operator.remove_repeats(docs)).collect())) == want
+
+
+@pytest.mark.parametrize("operator", [rlz_dedup, suffix_dedup])
+def test_a_text_beyond_every_bound(spark, docs_of, operator):
+    """9 MB: more than a slice, a piece and a chunk. Its middle is in another text."""
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10 ** 12)}" for _ in range(700_000)]
+    inside = words[300_000:300_200]
+    rows = [(1, " ".join(["other", *inside, "end"])), (2, " ".join(words))]
+    assert len(rows[1][1]) > 9_000_000
+    got = {r.doc_id: r for r in operator.repeat_summary(operator.remove_repeats(docs_of(rows, 2))).collect()}
+    if operator is rlz_dedup:
+        assert (got[1].n_removed, got[2].n_removed) == (0, 200)
+    else:
+        # the blanks around the passage are common too
+        assert got[1].n_removed == got[2].n_removed == len(" ".join(inside)) + 2 and got[2].n_spans == 1
