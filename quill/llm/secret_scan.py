@@ -1,21 +1,29 @@
 """Secret scans: base patterns plus formats learned by grammar inference.
 
 The values that the base patterns find are the labelled credentials (label: the
-kind). For each kind a prefix tree of at most ``SAMPLE`` distinct values is folded
-into a probabilistic automaton by merging states whose end and next-character
-frequencies agree within a Hoeffding bound (red-blue order). Every candidate token
-of every text, base match or not, is then scored by its mean log-likelihood per
-character; a token that no base span touches becomes a span of kind ``format``
-when some automaton finds it at least as likely as the least likely hundredth of
-the values held out from its training.
-
-The learning sample (``SAMPLE`` values a kind, by hash order over all documents'
-values) is the only bounded part; scans and scores read every whole text.
+kind); ``plain`` is the label of ordinary tokens, one of each document without a base
+span. For each label a prefix tree of distinct values is folded into a probabilistic
+automaton by merging states whose end and next-character frequencies agree within a
+Hoeffding bound (red-blue order). The bound is wide for few examples, so an automaton
+of a handful of values is close to a table of character frequencies; one of a single value
+allows its own characters only.
+
+Every token of every text, ``CANDIDATE_BYTES`` bytes or longer, is then scored by its mean
+log-likelihood per character. A token that no base span touches becomes a span of kind
+``format`` when some format finds it at least as likely as the least likely hundredth of
+the values held out from its training (every other value; with a single one, that; with
+fewer than 100, an estimate from their mean and spread where that is lower), it is as long as that format's shortest value, and ordinary tokens' automaton finds it
+less likely. Tokens of a batch go through the automata side by side.
+
+The learning sample is the only bounded part: at most ``SAMPLE`` values a label, by hash
+order over all documents' values, and ``SAMPLE_CHARS`` characters in all; a value longer than
+``VALUE_CHARS`` does not teach. Scans and scores read every whole text.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned each
-by itself; without any labelled value there are only base spans; positions are code
-points, end exclusive; other columns are not read (``redact_secrets`` returns them
-unchanged).
+by itself; a label without any value has no automaton, so without labelled values
+there are only base spans; ties go to the first kind by name; a token of any length is one
+candidate; positions are code points, end exclusive; other columns are not read
+(``redact_secrets`` returns them unchanged).
 """
 
 from __future__ import annotations
@@ -25,11 +33,13 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quill.llm.io import written
+from quill.llm.text import mix, text_slices, word_hashes, word_spans
 
 #: Base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -40,13 +50,16 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "format")
 
 SAMPLE = 600
-VALUE_CHARS = (16, 128)
+SAMPLE_CHARS = 40_000
+VALUE_CHARS = 1024
 ALPHA = 0.05
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE_BYTES = 6
+PLAIN = "plain"
 
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _IS_HEX = bytes(120 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
-_IS_TOKEN = bytes(120 if re.match(rb"[A-Za-z0-9+/_=-]", bytes([c])) else 32 for c in range(256))
+#: bytes that are in no candidate token
+_NO_TOKEN = np.array([not re.match(rb"[A-Za-z0-9+/_=-]", bytes([c])) for c in range(256)])
 
 
 def base_spans(text: str, raw: bytes) -> list[tuple[int, int, str, str]]:
@@ -150,62 +163,161 @@ class Automaton:
 
 
 def infer_formats(labelled: dict[str, list[str]]) -> dict[str, tuple[Automaton, float, int]]:
-    """Per kind: automaton of every other value, least score and least length a
+    """Per label: automaton of every other value, least score and least length a
     candidate needs, taken from the values in between."""
     out = {}
     for kind, values in sorted(labelled.items()):
-        train, held = values[::2], values[1::2]
-        if len(held) < 10:
+        if not values:
             continue
+        train, held = values[::2], values[1::2] or values
         machine = Automaton(train)
         scores = sorted(machine.score(v) for v in held)
-        out[kind] = (machine, scores[len(scores) // 100], min(map(len, values)))
+        least = scores[len(scores) // 100]
+        if 1 < len(values) and len(scores) < 100:
+            # no hundredth to be seen yet: where it would lie if scores were normal, with a
+            # spread that few values underrate
+            spread = float(np.std([machine.score(v) for v in values], ddof=1)) * (1 + 4 / len(scores))
+            least = min(least, sum(scores) / len(scores) - 2.33 * spread)
+        out[kind] = (machine, least, min(map(len, values)))
     return out
 
 
+class Scorer:
+    """The automata as tables, to score many tokens side by side."""
+
+    def __init__(self, formats: dict[str, tuple[Automaton, float, int]]):
+        self.kinds = [k for k in sorted(formats) if k != PLAIN]
+        self.least = np.array([formats[k][1] for k in self.kinds])
+        self.size = np.array([formats[k][2] for k in self.kinds], np.int64)
+        self.tables = [self._table(formats[k][0]) for k in self.kinds]
+        self.plain = self._table(formats[PLAIN][0]) if PLAIN in formats else None
+
+    @staticmethod
+    def _table(machine: Automaton):
+        """Next state and log-likelihood per state and byte, and of ending there. A byte
+        that a state doesn't know leaves the state as it is."""
+        n = len(machine.seen)
+        seen = np.maximum(np.array(machine.seen, float), 1.0)
+        step = np.repeat(np.arange(n, dtype=np.int32)[:, None], 256, axis=1)
+        gain = np.repeat(np.log(0.01 / (seen + 1))[:, None], 256, axis=1)
+        for s in range(n):
+            for c, to in machine.next[s].items():
+                if ord(c) < 256:
+                    step[s, ord(c)] = to
+                    gain[s, ord(c)] = math.log((machine.times[s].get(c, 0) + 0.01) / (seen[s] + 1))
+        return step.ravel(), gain.ravel(), np.log((np.array(machine.ends, float) + 0.01) / (seen + 1))
+
+    @staticmethod
+    def _scores(table, buf: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Mean log-likelihood per character, the end included; longest tokens first."""
+        step, gain, end = table
+        state, total = np.zeros(len(starts), np.int32), np.zeros(len(starts))
+        for k in range(int(length[0]) if len(length) else 0):
+            m = np.searchsorted(-length, -k, "left")        # tokens with more than k bytes
+            at = state[:m].astype(np.int64) * 256 + buf[starts[:m] + k]
+            total[:m] += gain[at]
+            state[:m] = step[at]
+        return (total + end[state]) / (length + 1)
+
+    def margins(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per token the best margin over a format's least score (-inf if it is shorter
+        than all of them), and whether it is a find."""
+        order = np.argsort(starts - ends, kind="stable")
+        s, length = starts[order], (ends - starts)[order]
+        plain = self._scores(self.plain, buf, s, length) if self.plain else np.full(len(s), -np.inf)
+        best, found = np.full(len(s), -np.inf), np.zeros(len(s), bool)
+        for table, least, size in zip(self.tables, self.least, self.size):
+            score = self._scores(table, buf, s, length)
+            margin = np.where(length >= size, score - least, -np.inf)
+            found |= (margin >= 0) & (score > plain)
+            best = np.maximum(best, margin)
+        out, hit = np.empty(len(s)), np.empty(len(s), bool)
+        out[order], hit[order] = best, found
+        return out, hit
+
+
+def candidate_tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of all tokens that are long enough."""
+    starts, ends, first = word_spans(buf, offs, _NO_TOKEN)
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(first))
+    long = ends - starts >= CANDIDATE_BYTES
+    return starts[long], ends[long], row[long]
+
+
 def labelled_values(docs: DataFrame, sample: int = SAMPLE) -> dict[str, list[str]]:
-    """At most ``sample`` distinct base values of each kind, by hash order."""
+    """At most ``sample`` distinct base values of each kind, and as many ordinary tokens,
+    by hash order."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds, values = [], []
-            for v in batch.column(0):
-                text = v.as_py() or ""
-                for _, _, _, kind, value in base_spans(text, text.encode()):
-                    if VALUE_CHARS[0] <= len(value) <= VALUE_CHARS[1]:
+            for first, buf, offs in text_slices(batch.column(0)):
+                starts, ends, row = candidate_tokens(buf, offs)
+                hashes = mix(word_hashes(buf, starts, ends)) if len(starts) else np.zeros(0, np.uint64)
+                order = np.lexsort((hashes, row))
+                least = order[np.flatnonzero(np.diff(row[order], prepend=-1))]      # one token of each text
+                plain = dict(zip(row[least].tolist(), zip(starts[least].tolist(), ends[least].tolist())))
+                data = buf.tobytes()
+                for i in range(len(offs) - 1):
+                    raw = data[offs[i]:offs[i + 1]]
+                    own = base_spans(raw.decode(), raw)
+                    for _, _, _, kind, value in own:
                         kinds.append(kind)
                         values.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())],
+                    if not own and i in plain:
+                        a, b = plain[i]
+                        kinds.append(PLAIN)
+                        values.append(data[a:b].decode())
+            short = [len(v) <= VALUE_CHARS for v in values]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, ok in zip(kinds, short) if ok], pa.string()),
+                                              pa.array([v for v, ok in zip(values, short) if ok], pa.string())],
                                              ["kind", "value"])
 
     found = written(docs.select("text").mapInArrow(find, "kind string, value string").distinct())   # one scan for all kinds
     per_kind = None
-    for kind in LEAST:
+    for kind in (*LEAST, PLAIN):
         top = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample)
         per_kind = top if per_kind is None else per_kind.unionAll(top)
     out: dict[str, list[str]] = {}
     for r in per_kind.collect():
         out.setdefault(r.kind, []).append(r.value)
-    return {k: sorted(v, key=lambda x: hashlib.md5(x.encode()).digest()) for k, v in out.items()}
+    for kind, values in out.items():
+        values.sort(key=lambda x: hashlib.md5(x.encode()).digest())
+        total = np.cumsum([len(v) for v in values])
+        out[kind] = values[:max(1, int(np.searchsorted(total, SAMPLE_CHARS, "right")))]
+    return out
+
+
+def column_spans(column, scorer: Scorer | None) -> Iterator[tuple[str, list[tuple[int, int, int, str]], float | None]]:
+    """Per text of a column: the text, ``(start, rank, end, kind)`` of base and learned spans,
+    and the best margin of any candidate over its format's least score."""
+    for _, buf, offs in text_slices(column):
+        finds: dict[int, list[tuple[int, int]]] = {}
+        best = np.full(len(offs) - 1, -np.inf)
+        if scorer is not None and scorer.kinds:
+            starts, ends, row = candidate_tokens(buf, offs)
+            margin, hit = scorer.margins(buf, starts, ends)
+            np.maximum.at(best, row, margin)
+            for i, a, b in zip(row[hit].tolist(), starts[hit].tolist(), ends[hit].tolist()):
+                finds.setdefault(i, []).append((a - int(offs[i]), b - int(offs[i])))
+        data = buf.tobytes()
+        for i in range(len(offs) - 1):
+            raw = data[offs[i]:offs[i + 1]]
+            text = raw.decode()
+            spans = [(s, r, e, k) for s, r, e, k, _ in base_spans(text, raw)]
+            taken = [(s, e) for s, _, e, _ in spans]
+            at = chars = 0
+            for a, b in finds.get(i, ()):
+                chars += len(raw[at:a].decode())            # bytes to code points
+                at, s, e = a, chars, chars + b - a
+                if not any(x < e and s < y for x, y in taken):
+                    spans.append((s, 3, e, "format"))
+            yield text, sorted(spans), float(best[i]) if np.isfinite(best[i]) else None
 
 
 def all_spans(text: str, formats) -> tuple[list[tuple[int, int, int, str]], float | None]:
-    """``(start, rank, end, kind)`` of base and learned spans, and the best margin of
-    any candidate over its format's least score."""
-    raw = text.encode()
-    spans = [(s, r, e, k) for s, r, e, k, _ in base_spans(text, raw)]
-    best = None
-    if formats and b"x" * VALUE_CHARS[0] in raw.translate(_IS_TOKEN):
-        taken = [(s, e) for s, _, e, _ in spans]
-        for m in CANDIDATE.finditer(text):
-            s, e = m.span()
-            margin = max((machine.score(m.group()) - least for machine, least, size in formats.values()
-                          if e - s >= size), default=None)
-            if margin is None:
-                continue
-            best = margin if best is None else max(best, margin)
-            if margin >= 0 and not any(a < e and s < b for a, b in taken):
-                spans.append((s, 3, e, "format"))
-    return sorted(spans), best
+    """Spans and best margin of one text."""
+    (_, spans, best), = column_spans(pa.array([text], pa.large_string()), Scorer(formats) if formats else None)
+    return spans, best
 
 
 SPANS = "doc_id long, spans array<struct<kind:string,start:bigint,end:bigint>>, best_margin double"
@@ -220,10 +332,10 @@ def scan_secrets(docs: DataFrame, formats=None) -> DataFrame:
                         ("best_margin", pa.float64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(formats)
         for batch in batches:
             rows = []
-            for doc, v in zip(batch.column(0).to_pylist(), batch.column(1)):
-                spans, best = all_spans(v.as_py() or "", formats)
+            for doc, (_, spans, best) in zip(batch.column(0).to_pylist(), column_spans(batch.column(1), scorer)):
                 rows.append({"doc_id": doc, "best_margin": best,
                              "spans": [{"kind": k, "start": s, "end": e} for s, _, e, k in spans]})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -254,11 +366,11 @@ def redact_secrets(docs: DataFrame, formats=None, mark: str = "[secret]") -> Dat
     n_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(formats)
         for batch in batches:
             texts = batch.column(at).to_pylist()
             sizes = batch.column(n_at).to_pylist() if n_at is not None else None
-            for i, text in enumerate(texts):
-                spans, _ = all_spans(text, formats) if text else ([], None)
+            for i, (text, spans, _) in enumerate(column_spans(batch.column(at), scorer)):
                 if not spans:
                     continue
                 out, end = [], 0
