@@ -7,15 +7,17 @@ pair is tiled: the longest common runs that touch no marked token are marked, fo
 by Karp-Rabin hashes of a run length that shrinks step by step down to
 ``LEAST_TILE``, so reordered passages are covered piece by piece. The pair is a leak
 when the tiles cover at least ``COVERAGE`` of the item's tokens, or when one tile is
-a verbatim run of ``LONG_RUN`` tokens or more, however long the item.
+a verbatim run of ``LONG_RUN`` tokens or more, however long the item. An item of
+fewer than ``SEED`` tokens has no seed: it leaks where all its tokens stand in order.
 
 The benchmark is taken in blocks of at most ``BLOCK_BYTES`` of text, each small
 enough to send to every task whatever the benchmark's size; documents are scanned
 once per block, whole and never shuffled.
 
-Defined results: null or empty texts on either side give no pair; an item of fewer
-than ``SEED`` tokens is too short to test and gives none; repeated documents or
-items give a pair each; an empty table gives no rows; other columns are not read
+Defined results: null or empty texts on either side, and texts without tokens, give no
+pair; repeated documents or items give a pair each; ties between tiles go to the
+first place in the item, then in the document; a very long text is tiled around its
+seeds only, all of them; an empty table gives no rows; other columns are not read
 (``drop_leaks`` returns them unchanged).
 """
 
@@ -115,11 +117,18 @@ class Items:
 
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids, self.tokens = [], []
+        short: dict[int, list[tuple[int, int]]] = {}    # by number of tokens: (hash, id)
         for row, h, bounds in token_hashes(pa.array(texts, pa.large_string())):
             for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
                 if b - a >= SEED:
                     self.ids.append(ids[row + i])
                     self.tokens.append(h[a:b])
+                elif b > a:
+                    short.setdefault(int(b - a), []).append((int(ngram_hashes(h[a:b], int(b - a))[0]), ids[row + i]))
+        self.short = {}
+        for n, known in short.items():
+            known.sort(key=lambda x: (x[0], -1 if x[1] is None else x[1]))
+            self.short[n] = np.array([k for k, _ in known], np.uint64), [i for _, i in known]
         seeds = [ngram_hashes(t, SEED) for t in self.tokens]
         seed = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
@@ -139,6 +148,24 @@ class Items:
         maybe = maybe[self.seed[found] == h[maybe]]
         return maybe, h[maybe]
 
+    def short_leaks(self, tokens: np.ndarray, bounds: np.ndarray) -> Iterator[tuple]:
+        """``(row, item id, tiles, ...)`` for items too short for a seed, all rows of a
+        slice at once."""
+        for n, (known, ids) in sorted(self.short.items()):
+            h = ngram_hashes(tokens, n)
+            at = np.flatnonzero(np.isin(h, known))
+            doc = np.searchsorted(bounds, at, "right") - 1
+            whole = at + n <= bounds[doc + 1]
+            at, doc = at[whole], doc[whole]
+            order = np.lexsort((at, h[at], doc))
+            at, doc = at[order], doc[order]
+            new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(h[at], prepend=np.uint64(0)) != 0))
+            for a, b in zip(new, [*new[1:], len(at)]):
+                i, j = np.searchsorted(known, h[at[a]], "left"), np.searchsorted(known, h[at[a]], "right")
+                start = int(at[a] - bounds[doc[a]])
+                for item in ids[i:j]:
+                    yield int(doc[a]), item, 1, n, n, 1.0, start, start + n - 1
+
     def leaks(self, tokens: np.ndarray, at: np.ndarray, h: np.ndarray, coverage: float):
         """Leaks in one document, given the positions and hashes of its seeds."""
         near = defaultdict(list)
@@ -187,6 +214,8 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterato
 def _leaks_of(items: Items, column, coverage: float) -> Iterator[tuple]:
     """``(row, item id, tiles, ...)`` of every leak in a text column."""
     for row, tokens, bounds in token_hashes(column):
+        for doc, *leak in items.short_leaks(tokens, bounds):
+            yield (row + doc, *leak)
         at, h = items.seeds_of(tokens)
         doc = np.searchsorted(bounds, at, "right") - 1
         whole = at + SEED <= bounds[doc + 1]                    # not over a row's end

@@ -37,9 +37,9 @@ def test_leaks(spark, docs_of, items):
         (4, f"{whole[1]}. {pad(20)} {whole[3]}"), (5, pad(400)), (6, whole[4] + " " + pad(9)), (7, None)])
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
     found = decontam.find_leaks(docs, bench).collect()
-    assert {(r.doc_id, r.item_id) for r in found} == {(1, 0), (2, 0), (4, 1), (4, 3)}
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 0), (2, 0), (4, 1), (4, 3), (6, 4)}  # item 4 is short: whole
     assert {r.n_tiles for r in found if r.doc_id == 2} == {2} and all(r.coverage == 1 for r in found)
-    assert sorted(r.doc_id for r in decontam.drop_leaks(docs, bench).collect()) == [3, 5, 6, 7]
+    assert sorted(r.doc_id for r in decontam.drop_leaks(docs, bench).collect()) == [3, 5, 7]
 
 
 def test_long_passage_of_a_longer_item_is_a_leak(spark, docs_of):
@@ -61,3 +61,15 @@ def test_blocks_change_nothing(spark, docs_of, items, monkeypatch):
     assert len(list(blocks(bench))) > 2
     monkeypatch.setattr(decontam, "item_blocks", blocks)
     assert sorted(map(str, decontam.find_leaks(docs_of(rows), bench).collect())) == want
+
+
+def test_short_items_by_their_whole_sequence(spark, docs_of):
+    bench = spark.createDataFrame([(1, "blue whale"), (2, "Yes!"), (3, "one two three four"), (4, "..."), (5, "blue whale"), (None, "yes")],
+                                  "item_id long, text string")
+    docs = docs_of([(1, "A blue, WHALE and a blue whale"), (2, "whale blue"), (3, "yes or no"), (4, "two three four one two three"),
+                    (5, "zero one two three four five"), (6, None), (7, "blue"), (8, "end with one two three"), (9, "four at the start yes")])
+    got = {(r.doc_id, r.item_id, r.n_tiles, r.tiled_tokens, r.item_tokens, r.first_token, r.last_token) for r in decontam.find_leaks(docs, bench).collect()}
+    assert got == {(1, 1, 1, 2, 2, 1, 2), (1, 5, 1, 2, 2, 1, 2), (3, 2, 1, 1, 1, 0, 0), (3, None, 1, 1, 1, 0, 0),
+                   (5, 3, 1, 4, 4, 1, 4), (9, 2, 1, 1, 1, 4, 4), (9, None, 1, 1, 1, 4, 4)}
+    kept = decontam.drop_leaks(docs, bench.where("item_id in (1, 3)"))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6, 7, 8, 9]
