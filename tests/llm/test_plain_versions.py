@@ -1,0 +1,106 @@
+"""Tiling and the toxicity risk against plain versions."""
+
+import re
+
+import numpy as np
+import pytest
+
+from quill.llm import decontam, queries
+from quill.llm.toxicity import Classifier, sigmoid
+
+SF = "/root/testdata/sf0.01"
+ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def tokens(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(ASCII_LOWER))
+
+
+def plain_tiles(item, text, least=3):
+    """Greedy string tiling without hashes: the longest free common run, again and again."""
+    free_i, free_t, tiles = [True] * len(item), [True] * len(text), []
+    where = {}
+    for t, w in enumerate(text):
+        where.setdefault(w, []).append(t)
+    while True:
+        best = (least - 1, 0, 0)
+        for i in range(len(item)):
+            for t in where.get(item[i], ()):
+                n = 0
+                while i + n < len(item) and t + n < len(text) and free_i[i + n] and free_t[t + n] and item[i + n] == text[t + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, t)
+        n, i, t = best
+        if n < least:
+            return tiles
+        tiles.append((i, t, n))
+        free_i[i:i + n], free_t[t:t + n] = [False] * n, [False] * n
+
+
+def test_leaks_of_the_given_documents(spark):
+    docs = {r.doc_id: tokens(r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    items = {r.item_id: tokens(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    got = {(r.doc_id, r.item_id): r for r in queries.op4_decontamination(spark, SF).collect()}
+    grams = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    item_grams = {i: grams(w) for i, w in items.items()}
+    want = {}
+    for d, text in docs.items():
+        own = grams(text)
+        for i, item in items.items():
+            if own & item_grams[i]:
+                tiles = plain_tiles(item, text)
+                tiled = sum(n for *_, n in tiles)
+                if tiled >= decontam.COVERAGE * len(item) or max(n for *_, n in tiles) >= decontam.LONG_RUN:
+                    want[d, i] = tiled
+    assert len(want) > 5 and got.keys() == want.keys()
+    for k, r in got.items():
+        # the operator tiles around seeds, the plain version everywhere: chance runs of 3 or 4 may differ
+        assert r.item_tokens == len(items[k[1]]) and abs(r.tiled_tokens - want[k]) <= 0.1 * r.item_tokens
+        assert r.coverage == r.tiled_tokens / r.item_tokens
+        assert 0 <= r.first_token <= r.last_token < len(docs[k[0]])
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_tiles_of_random_sequences(seed):
+    """Every tile is a common run, none overlap, and no free common run is left."""
+    rng = np.random.default_rng(seed)
+    item = rng.integers(0, 12, 40).tolist()
+    text = [*rng.integers(0, 12, 30), *item[25:40], *rng.integers(0, 12, 20), *item[:22], *rng.integers(0, 12, 5)]
+    tiles = decontam.string_tiles(item, [int(x) for x in text])
+    used_i, used_t = set(), set()
+    for i, t, n in tiles:
+        assert n >= 3 and item[i:i + n] == text[t:t + n]
+        assert not used_i & set(range(i, i + n)) and not used_t & set(range(t, t + n))
+        used_i |= set(range(i, i + n))
+        used_t |= set(range(t, t + n))
+    for i in range(len(item) - 2):
+        for t in range(len(text) - 2):
+            free = not used_i & {i, i + 1, i + 2} and not used_t & {t, t + 1, t + 2}
+            assert not (free and item[i:i + 3] == text[t:t + 3])
+    assert abs(sum(n for *_, n in tiles) - sum(n for *_, n in plain_tiles(item, text))) <= 4
+
+
+@pytest.mark.parametrize("shift", [0.0, 4.0])
+def test_risk_gradient_by_differences(shift):
+    """Logistic non-negative risk; once with its negative part above 0, once below."""
+    rng = np.random.default_rng(1)
+    n_p, n_u, prior = 6, 9, 0.4
+    z = rng.normal(size=n_p + n_u)
+    z[:n_p] += shift
+    z[n_p:] -= shift
+
+    def parts(z):
+        q = sigmoid(z)
+        loss_pos, loss_neg = -np.log(q), -np.log(1 - q)
+        return prior * loss_pos[:n_p].mean(), loss_neg[n_p:].mean() - prior * loss_neg[:n_p].mean()
+
+    positive, negative = parts(z)
+    assert (negative < 0) == (shift > 0)
+    risk = (lambda v: sum(parts(v))) if negative >= 0 else (lambda v: -parts(v)[1])
+    slopes = Classifier._slopes(sigmoid(z), n_p, n_u, prior)
+    for k in range(len(z)):
+        up, down = z.copy(), z.copy()
+        up[k] += 1e-6
+        down[k] -= 1e-6
+        assert abs((risk(up) - risk(down)) / 2e-6 - slopes[k]) < 1e-6
