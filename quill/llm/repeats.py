@@ -360,8 +360,9 @@ def find_repeats(texts: DataFrame, plan: Plan, resolver: Resolver) -> DataFrame:
     stretches = (few.mapInArrow(_cut_stretches(plan), _STRETCH)
                  .repartition("key").sortWithinPartitions("key", "row", "place"))
     resolved = stretches.mapInArrow(_resolve(resolver), "row long, place long")
-    # of windows that are runs of their own none is left for a resolver
-    counted = (many.mapInArrow(_gather_windows(plan, n_buckets), _EXCHANGE).repartition("bucket")
+    # of windows that are runs of their own none is left for a resolver; a task sends one
+    # message to each of the shuffle's partitions
+    counted = (many.mapInArrow(_gather_windows(plan, n_buckets // 8), _EXCHANGE).repartition("bucket")
                .sortWithinPartitions("bucket").mapInArrow(_meet(plan), _FOUND))
     marks = found.where("parts = 0").unionAll(counted.where("parts = 0")).select("row", "place").unionAll(resolved)
     return marks.groupBy("row").agg(F.collect_list("place").alias("places"))
