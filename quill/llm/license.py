@@ -10,7 +10,8 @@ errors and so reports span and edits. Notices and errors are fixed, so a task's
 state is bounded; texts are taken one at a time, whole.
 
 Defined results: a null or empty text has no words, null positions, empty labels
-and score 0; repeated rows are scanned each by itself; overlapping places of the
+and score 0; repeated rows are scanned each by itself; the score is the best place's, so
+equally good places give one score; overlapping places of the
 same phrase all count; of overlapping fuzzy matches those with the
 fewest edits are reported (of one notice the leftmost of these), and also a longer
 one around them; other columns are not read.

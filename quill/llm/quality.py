@@ -7,8 +7,9 @@ space and U+0009-U+000D.
 Defined results: a null text counts as empty; an empty or blank text has no
 words and fails the length rule; repeated rows are judged each by itself; an
 empty table gives an empty table; other columns, whatever their names, are
-neither read nor returned (``quality_filter`` returns them unchanged). Equal
-8-word windows are found by 64-bit hash within one text.
+neither read nor returned (``quality_filter`` returns them unchanged). A measure that
+equals its limit passes. A very long text is measured whole, in memory in proportion
+to its words. Equal 8-word windows are found by 64-bit hash within one text.
 """
 
 from __future__ import annotations

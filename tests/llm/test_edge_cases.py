@@ -1,5 +1,8 @@
 """Every operator on nulls, empty tables, repeats, long texts and clashing names."""
 
+import hashlib
+import math
+
 import pytest
 
 import corpus_pipeline as P
@@ -61,3 +64,71 @@ def test_stage_survives(spark, clashing, empty, stage, tmp_path):
         assert kept.count() <= len(HARD) and kept.columns == clashing.columns
     assert kept.count() > 0
     assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+NOTHING = hashlib.sha256(b"").hexdigest()
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+#: the defined result of every hard row, in the order of HARD, columns as named
+DEFINED = {
+    "license": ("n_words n_base first_word base_labels labels score",
+                [(n, 0, None, "", "", 0.0) for n in (0, 0, 0, 1, 1, 1, 3, 0, 160, 1, 16_000, 4, 22)]),
+    "near_dup": ("n_shingles component_id kept",
+                 [(0, 1, True), (0, 2, True), (0, 3, True), (1, 4, True), (1, 4, False), (1, 4, False), (1, None, True), (0, None, True),
+                  (4, 6, True), (1, 7, True), (4, 8, True), (1, 9, True), (19, 10, True)]),
+    "suffix": ("n_bytes n_removed n_spans kept_sha256",
+               [(n, 0, 0, sha(t or "")) if n < 400 else (n, n, 1, NOTHING) for n, t in
+                ((len((t or "").encode()), t) for _, t in HARD)]),
+    "secrets": ("n_assign n_access n_hex base_sha256 spans",
+                [(0, 0, 1, sha("hex:0:50000"), "hex:0:50000") if i == 7 else (0, 0, 0, NOTHING, "") for i, _ in HARD]),
+    "quality": ("n_words base_failed kept failed",
+                [(0, True, False, "too_short")] * 3 + [(1, True, False, "too_short,few_stop_words")] * 3
+                + [(3, True, False, "too_short,few_stop_words"), (0, True, False, "too_short"),
+                   (160, True, False, "repeated_windows,few_stop_words"), (1, True, False, "too_short,long_words,few_stop_words"),
+                   (16_000, True, False, "repeated_windows"), (3, True, False, "too_short,short_words"), (22, False, True, "")]),
+    "lm": ("n_words", [(n,) for n in (0, 0, 0, 1, 1, 1, 3, 0, 160, 1, 16_000, 3, 22)]),
+    # no earlier document has these runs: everything stays, joined by single spaces
+    "rlz": ("n_words n_removed kept_sha256", [(len((t or "").encode().split()), 0, sha(" ".join(w.decode() for w in (t or "").encode().split())))
+                                              for _, t in HARD]),
+    # no label of theirs is positive outside the held-out fold: the score is 0
+    "toxicity": ("held_out score predicted", [(i in (5, 7), 0.0, 0) for i, _ in HARD]),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PER_ROW))
+def test_defined_values(spark, hard, name):
+    columns, want = DEFINED[name]
+    ids = [i for i, _ in HARD]
+    got = [(r.doc_id, *(r[c] for c in columns.split())) for r in PER_ROW[name](spark, hard).collect()]
+    assert sorted(map(str, got)) == sorted(str((i, *w)) for i, w in zip(ids, want))
+
+
+def test_losses_of_texts_without_words(spark, hard):
+    rows = PER_ROW["lm"](spark, hard).where("n_words = 0").collect()
+    assert len(rows) == 4 and all((r.target_loss, r.background_loss, r.score) == (0, 0, 0) for r in rows)
+
+
+def test_rows_at_the_limit_of_a_rule_pass(docs_of):
+    """20 words is enough; 30 repeated words of 100 are not too many."""
+    words = ["the", "of"] * 4 + [f"word{i}" for i in range(12)]
+    rows = quality.quality_rules(docs_of([(1, " ".join(words)), (2, " ".join(words[:19]))])).collect()
+    assert {r.doc_id: r.base_failed for r in rows} == {1: False, 2: True}
+
+
+def test_a_text_larger_than_a_chunk_is_scored_whole(spark, docs_of):
+    """9 MB in one row: a chunk of its own. Counts are as if it stood in many rows."""
+    line = "alpha beta gamma delta "
+    n = 400_000
+    rows = [(1, line * n), (2, "alpha beta epsilon"), (3, None)]
+    assert len(rows[0][1]) > lm_score.CHUNK_BYTES
+    d = docs_of(rows)
+    got = {r.doc_id: r for r in lm_score.score(d, lm_score.train_models(d, labels(spark, ((2, 1, 0),)).where("quality = 1"))).collect()}
+    total, words = 4 * n + 3, 5
+    uni = {w: (c + 1) / (total + words + 1) for w, c in (("alpha", n + 1), ("beta", n + 1), ("epsilon", 1))}
+    mix = lm_score.BIGRAM_WEIGHT
+    want = [uni["alpha"], mix * 1.0 + (1 - mix) * uni["beta"], mix * (1 / (n + 1)) + (1 - mix) * uni["epsilon"]]
+    assert got[1].n_words == 4 * n and abs(got[2].background_loss - sum(-math.log(p) for p in want) / 3) < 1e-9
