@@ -86,7 +86,7 @@ def remove_repeats(docs: DataFrame, plan: Plan = PLAN) -> DataFrame:
     """One row per document (``DEDUPED``): removed word spans and the words kept,
     joined by single spaces."""
     own = docs.select(F.col("doc_id").cast("long").alias("row"), "text")
-    marked = own.join(find_repeats(own, plan, resolve), "row", "left").select("row", "text", "places")
+    marked = own.join(find_repeats(own, plan, lambda s: resolve(s, plan)), "row", "left").select("row", "text", "places")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                         ("kept", pa.string())])

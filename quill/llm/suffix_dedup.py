@@ -143,7 +143,7 @@ def remove_repeats(docs: DataFrame, plan: Plan = PLAN) -> DataFrame:
     """One row per document (``DEDUPED``): removed byte spans and the bytes kept."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                       F.xxhash64("doc_id", "text").alias("row"))
-    marked = own.join(find_repeats(own, plan, resolve), "row", "left").select("doc_id", "text", "places")
+    marked = own.join(find_repeats(own, plan, lambda s: resolve(s, plan)), "row", "left").select("doc_id", "text", "places")
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()),
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                         ("kept", pa.binary())])

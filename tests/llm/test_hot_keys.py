@@ -5,6 +5,7 @@ import random
 import pytest
 
 from quill.llm import repeats, rlz_dedup, suffix_dedup
+from quill.llm.repeats import Plan
 
 from .test_brute_force import without_repeats
 
@@ -63,3 +64,14 @@ def test_a_text_beyond_every_bound(spark, docs_of, operator):
     else:
         # the blanks around the passage are common too
         assert got[1].n_removed == got[2].n_removed == len(" ".join(inside)) + 2 and got[2].n_spans == 1
+
+
+@pytest.mark.parametrize("operator, plan", [(rlz_dedup, Plan(window=20, gram=7, words=True, ordered=True)),
+                                            (suffix_dedup, Plan(window=90, gram=40, words=False, ordered=False))])
+def test_other_windows(spark, operator, plan):
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: r.n_removed for r in operator.repeat_summary(operator.remove_repeats(docs, plan)).collect()}
+    units = {d: t.encode().split() if plan.words else t.encode() for d, t in texts.items()}
+    want = without_repeats(units, plan.window, plan.ordered)
+    assert got == {d: len(u) - len(want[d][0]) for d, u in units.items()}
