@@ -65,6 +65,23 @@ def test_a_sweep_checkpoints_every_iteration_and_releases_files(spark, monkeypat
     assert asked == [1, 1] and entered == [1] and errors.count() == 2
 
 
+def test_a_sweep_keeps_one_model_at_most(spark):
+    import time
+    triples = spark.createDataFrame([(u, i, 1.0) for u in range(8) for i in range(6)], "user int, item int, rating float")
+    kept = spark.sparkContext._jsc.getPersistentRDDs
+    before = set(kept().keySet())
+    errors, recs = RC.rank_sweep(triples, (2, 3), users=spark.range(2), n=2, max_iter=2)
+    assert errors.count() == 2
+    assert {(r["rank"], r["user"], r["pos"]) for r in recs.collect()} == {(k, u, p) for k in (2, 3) for u in (0, 1) for p in (1, 2)}
+    for _ in range(50):                                                      # the cleaner runs beside the job
+        left = set(kept().keySet()) - before
+        if len(left) <= 2:                                                   # user and item factors of the last fit
+            break
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
+    assert len(left) <= 2
+
+
 @pytest.mark.parametrize("broken", [False, True])
 def test_released_files_stop_collecting(spark, broken):
     import threading
