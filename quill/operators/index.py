@@ -28,6 +28,10 @@ from quill.operators import text as TX
 from quill.sources.scratch import scratch_path, written
 
 
+#: postings that a bucket holds; a task sorts those of a bucket, some 100 bytes each
+BUCKET_ROWS = 4_000_000
+
+
 @dataclass
 class TfidfIndex:
     """Names of the tables, and the number of documents that the weights are for."""
@@ -67,10 +71,13 @@ class TfidfIndex:
 def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "text", stop: Iterable[str] | DataFrame = (),
                 keep_empty: bool = True, buckets: int | None = None, hot: int = 1_000_000,
                 path: str | None = None) -> TfidfIndex:
-    """Index of a corpus. ``buckets``: as many as tasks should read it (the session's shuffle
-    partitions by default); a bucket of 100 to 200 MB is a good size."""
+    """Index of a corpus. ``buckets``: as many as tasks should read it; by default the session's
+    shuffle partitions, or more if a bucket would have over ``BUCKET_ROWS`` postings, so that what a
+    task sorts does not grow with the corpus."""
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tokens = TX.tokenize(TX.by_document(docs, id_col), id_col, text_col, keep_empty)
+    tf = written(TX.term_frequency(TX.remove_stop_words(tokens, stop)))
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tf.count() // BUCKET_ROWS))
     index = TfidfIndex(spark, f"quill_index_{uuid.uuid4().hex}", docs.count(), buckets)
     base = path or scratch_path(spark)
 
@@ -78,12 +85,13 @@ def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "text", sto
         (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
          .option("path", f"{base}/{part}").saveAsTable(f"{index.name}_{part}"))
 
-    tokens = TX.tokenize(TX.by_document(docs, id_col), id_col, text_col, keep_empty)
-    tf = written(TX.term_frequency(TX.remove_stop_words(tokens, stop)))
     # written: both tables must deal a term alike
     df = written(TX.document_frequency(tf).withColumn("_salts", F.ceil(F.col("df") / hot)))
     save(df.select("term", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("salt"), "df"), "terms", "term", "salt")
-    save(tf.join(df.select("term", "_salts"), "term")
-         .select("term", F.pmod(F.xxhash64("id"), F.col("_salts")).alias("salt"), "id", "tf"), "postings", "term", "salt")
+    # only hot terms have several salts: while these are few, the postings meet them without a shuffle
+    hot_terms = written(df.where("_salts > 1").select("term", "_salts"))
+    salts = F.coalesce("_salts", F.lit(1).cast("long"))
+    save(tf.join(hot_terms, "term", "left")
+         .select("term", F.pmod(F.xxhash64("id"), salts).alias("salt"), "id", "tf"), "postings", "term", "salt")
     save(index.reweighted(), "weights", "id")
     return index

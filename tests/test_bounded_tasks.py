@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from quill.operators import index as IX
 from quill.operators import recommend as RC
 from quill.operators import text as TX
 from quill.plans import catalogue as C
@@ -82,6 +83,19 @@ def test_a_sweep_keeps_one_model_at_most(spark):
     assert len(left) <= 2
 
 
+def test_buckets_follow_the_postings(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i % 7} w{j}" for j in range(5))) for i in range(40)], "id long, text string")
+    few = IX.build_index(docs, hot=10)
+    monkeypatch.setattr(IX, "BUCKET_ROWS", 20)
+    built = IX.build_index(docs, hot=10)
+    rows = built.table("postings").count()
+    assert few.buckets == 8 and built.buckets == math.ceil(rows / 20) > 8
+    key = ["id", "term", "tf", "df", "w"]
+    assert sorted(map(tuple, built.reweighted().select(key).collect())) == sorted(map(tuple, few.reweighted().select(key).collect()))
+    assert built.table("terms").groupBy("term").count().where("count > 1").count() == 5      # w0-w4 are in more than ten documents
+    assert IX.build_index(docs, buckets=3).buckets == 3
+
+
 @pytest.mark.parametrize("broken", [False, True])
 def test_released_files_stop_collecting(spark, broken):
     import threading
