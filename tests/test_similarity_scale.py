@@ -124,3 +124,25 @@ def test_pivot_takes_its_labels_from_written_pairs(spark):
     pairs = spark.createDataFrame([("a", "a", 1.0), ("b", "b", 1.0)], "category_1 string, category_2 string, value double")
     SM.pivot_matrix(pairs.coalesce(1).mapInArrow(seen, pairs.schema)).collect()
     assert runs.value == 2
+
+
+def test_terms_that_a_body_lacks_make_no_candidates(spark):
+    """Forty titles share one rare term with each body, their other terms are in other bodies only."""
+    body = {i: {"g": 1.0, "m": 1 + i / 100} for i in range(20)} | {i: {"p": 1.0, "q": 1 + i / 100} for i in range(20, 45)}
+    title = {100 + j: {"g": 1 + j / 100, "p": 1.0, "q": 1.0} for j in range(40)} | {99: {"m": 1.0}}
+    lhs, rhs = (spark.createDataFrame(rows(v), f"{i} long, _term string, {w} double") for v, i, w in ((body, "a", "l_w"), (title, "b", "r_w")))
+    own = spark.createDataFrame([], "a long, b long")
+    found = SM.match_candidates(lhs, rhs, own, "a", "b", 1e-8).where("a < 20")
+    assert 20 <= found.count() <= 100
+    got = SM.best_match_bounded(spark.createDataFrame(rows(body), V), spark.createDataFrame(rows(title), V)).collect()
+    assert {r.id_1: (r.best, round(r.cos, 9)) for r in got} == best_of(body, title)
+
+
+def test_right_vectors_longer_than_what_a_signature_is_asked(spark, monkeypatch):
+    rng = random.Random(7)
+    pick = lambda n: {f"t{i}": rng.random() ** 2 + 0.01 for i in rng.sample(range(60), n)}
+    left, right = ({i: pick(rng.randint(5, 50)) for i in range(n)} for n in (50, 40))
+    monkeypatch.setattr(SM, "SIGNED_TERMS", 3)
+    monkeypatch.setattr(SM, "SIGNATURE_WORDS", 1)
+    got = SM.best_match_bounded(spark.createDataFrame(rows(left), V), spark.createDataFrame(rows(right), V)).collect()
+    assert {r.id_1: (r.best, round(r.cos, 9)) for r in got} == best_of(left, right)
