@@ -108,3 +108,23 @@ def test_released_files_stop_collecting(spark, broken):
     except ValueError:
         assert broken
     assert threading.active_count() <= before
+
+
+def test_counts_meet_their_terms_in_bounded_tasks(spark, monkeypatch):
+    tf = scratch.written(spark.createDataFrame([(i, t, i % 3 + 1) for i in range(200) for t in ("all", f"w{i % 20}", f"own{i}")], "id long, term string, tf long"))
+    df = scratch.written(TX.document_frequency(tf))
+    n = F.lit(400)
+    want = sorted(map(tuple, TX.tfidf(tf, df, n).select("id", "term", "tf", "df", "w").collect()))
+    assert TX.deal_by_term(tf, df).tasks is None                             # a few tasks' worth: the session's settings
+    monkeypatch.setattr(TX, "COUNT_TASK_ROWS", 40)
+    deal = TX.deal_by_term(tf, df)
+    assert deal.tasks == 600 / 40 and deal.counts(tf).where("term = 'all'").select("_salt").distinct().count() == 20
+    weights = TX.tfidf(deal.counts(tf), deal.terms(df), n, deal.on)
+    assert sorted(map(tuple, weights.select("id", "term", "tf", "df", "w").collect())) == want
+    sizes = deal.counts(tf).rdd.glom().map(len).collect()
+    assert len(sizes) == 15 and max(sizes) <= 3 * 40                         # the hot term alone has 200 rows
+    assert deal.by_id(weights).rdd.getNumPartitions() == 15
+    queries = spark.createDataFrame([(1, "all", 2), (1, "no", 1), (None, "w3", 1)], "id long, term string, tf long")
+    rows = [sorted(map(str, q.select("id", "term", "tf", "df", "w").collect()))
+            for q in (TX.query_tfidf(queries, df, n), TX.query_tfidf(deal.counts(queries), deal.terms(df), n, deal.on))]
+    assert rows[0] == rows[1] and len(rows[0]) == 3
