@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quill.operators import index as IX
 from quill.operators import recommend as RC
+from quill.operators import similarity as SM
 from quill.operators import text as TX
 from quill.plans import catalogue as C
 from quill.sources import scratch
@@ -110,6 +111,34 @@ def test_released_files_stop_collecting(spark, broken):
     assert threading.active_count() <= before
 
 
+def grid_sides(spark):
+    left = [(i if i else None, f"w{j}", float(i % 5 + j)) for i in range(30) for j in range(i % 7)] + [(3, None, 1.0), (3, "w0", 2.0)]
+    right = [(f"t{i}", f"w{j}", float(j - 1) if i % 4 else None) for i in range(25) for j in range(i % 9)] + [("t5", "w0", 2.0), ("t5", None, 1.0)]
+    return spark.createDataFrame(left, "id long, term string, w double"), spark.createDataFrame(right, "id string, term string, w double")
+
+
+@pytest.mark.parametrize("blocks", [(1, 1), (3, 4), (7, 1)])
+def test_pairs_in_cells_are_those_that_meet_by_term(spark, blocks):
+    left, right = grid_sides(spark)
+    key = lambda r: (str(r.id_1), r.id_2)                                    # noqa: E731
+    want = sorted(SM.dot_products(left, right).collect(), key=key)
+    got = SM.dot_products(left, right, blocks=blocks)
+    assert plan(got).count("Exchange") == 1                                  # products are not shuffled
+    assert [tuple(r) for r in sorted(got.collect(), key=key)] == [tuple(r) for r in want] and len(want) > 100
+    assert got.rdd.getNumPartitions() == blocks[0] * blocks[1]
+
+
+def test_cells_follow_the_products(spark, monkeypatch):
+    left, right = grid_sides(spark)
+    assert SM.pair_blocks(left, right) is None                               # a few tasks' worth: the session's settings
+    monkeypatch.setattr(SM, "PAIR_TASK_ROWS", 10)
+    l, r = (SM._side(v, "id", "term", "w", x) for v, x in ((left, "l"), (right, "r")))
+    products = l.join(r, "_term").count()
+    a, b = SM.pair_blocks(left, right)
+    assert products / 10 <= a * b <= 2 * products / 10
+    assert SM.pair_blocks(left.where("false"), right) is None
+
+
 def test_counts_meet_their_terms_in_bounded_tasks(spark, monkeypatch):
     tf = scratch.written(spark.createDataFrame([(i, t, i % 3 + 1) for i in range(200) for t in ("all", f"w{i % 20}", f"own{i}")], "id long, term string, tf long"))
     df = scratch.written(TX.document_frequency(tf))
@@ -128,3 +157,12 @@ def test_counts_meet_their_terms_in_bounded_tasks(spark, monkeypatch):
     rows = [sorted(map(str, q.select("id", "term", "tf", "df", "w").collect()))
             for q in (TX.query_tfidf(queries, df, n), TX.query_tfidf(deal.counts(queries), deal.terms(df), n, deal.on))]
     assert rows[0] == rows[1] and len(rows[0]) == 3
+
+
+def test_dealt_text_queries_keep_their_rows(spark, monkeypatch):
+    names = ("tfidf", "tfidf_norm", "doc_vector", "title_match_scores", "title_match_top1")
+    run = lambda: [sorted(map(str, C.QUERIES[x](spark, SF).collect())) for x in names]               # noqa: E731
+    want = run()
+    monkeypatch.setattr(TX, "COUNT_TASK_ROWS", 2000)
+    monkeypatch.setattr(SM, "PAIR_TASK_ROWS", 10)
+    assert run() == want
