@@ -166,3 +166,13 @@ def test_dealt_text_queries_keep_their_rows(spark, monkeypatch):
     monkeypatch.setattr(TX, "COUNT_TASK_ROWS", 2000)
     monkeypatch.setattr(SM, "PAIR_TASK_ROWS", 10)
     assert run() == want
+
+
+def test_ratings_and_what_they_are_fused_with_read_the_lines_once(spark, monkeypatch):
+    made, lines = [], C.FX.order_lines
+    monkeypatch.setattr(C.FX, "order_lines", lambda s, d: made.append(d) or lines(s, d))
+    for name in ("fuse_recommend", "fuse_sentiment"):
+        made.clear()
+        fused = C.QUERIES[name](spark, SF)
+        assert made == [SF] and fused.count() >= spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert sorted(C.FX.user_reviews(spark, SF).collect()) == sorted(C.FX.user_reviews(spark, SF, lines(spark, SF)).collect())
