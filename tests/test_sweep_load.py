@@ -31,7 +31,7 @@ def _watched(monkeypatch, **short):
     return seen
 
 
-@pytest.mark.parametrize("query", ["als_rank_sweep_facts"])
+@pytest.mark.parametrize("query", ["als_rank_sweep_facts", "als_topn_facts"])
 def test_queries_fit_two_ranks_at_a_time_largest_first(spark, monkeypatch, query):
     seen = _watched(monkeypatch, max_iter=1)
     got = C.QUERIES[query](spark, SF).collect()
