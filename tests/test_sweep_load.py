@@ -1,5 +1,6 @@
 """What a sweep of ranks asks of the cluster: fits at a time, their order, and work done once for all."""
 
+import contextlib
 import threading
 
 import pytest
@@ -58,3 +59,26 @@ def test_the_split_is_hashed_once_for_all_ranks(spark, monkeypatch):
     train, test = RC.hash_split(triples)
     assert sorted(map(tuple, tested[0].collect())) == sorted(map(tuple, test.collect()))
     assert train.count() + test.count() == len(rows)
+
+
+@pytest.mark.parametrize("query", ["als_residual_facts", "als_predict_facts", "als_rmse_facts"])
+def test_a_single_fit_releases_its_files_too(spark, monkeypatch, query):
+    asked, inside, plain, real = [], [], RC.fit_implicit, C.files_released
+    depth = []
+
+    @contextlib.contextmanager
+    def released(session):
+        depth.append(1)
+        with real(session, every=0.5):
+            yield
+        depth.pop()
+
+    def fit(train, **kw):
+        asked.append(kw.get("checkpoint_interval"))
+        inside.append(len(depth))
+        return plain(train, **kw)
+
+    monkeypatch.setattr(RC, "fit_implicit", fit)
+    monkeypatch.setattr(C, "files_released", released)
+    assert C.QUERIES[query](spark, SF).count() > 0
+    assert asked == [1] and inside == [1] and not depth
